@@ -55,7 +55,7 @@ def input_bytes(df: DataFrame) -> int | None:
         leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
         total = 0
         for i in range(leaves.size()):
-            total += int(leaves.apply(i).stats().sizeInBytes().toString())
+            total += int(str(leaves.apply(i).stats().sizeInBytes()))
         return total
     except Exception:  # noqa: BLE001 - any failure means "unknown size"
         return None
