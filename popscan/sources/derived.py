@@ -70,7 +70,7 @@ SELECT o_orderkey AS condition_occurrence_id,
     AS condition_end_date,
   CAST(CASE WHEN o_orderkey % 251 = 0 THEN 44999 ELSE 44000 + o_orderkey % 3 END AS int)
     AS condition_type_concept_id,
-  o_orderkey % 12 AS provider_id,
+  CASE WHEN o_orderkey % 101 = 0 THEN 9998 ELSE o_orderkey % 12 END AS provider_id,
   CASE WHEN o_orderkey % 61 = 0 THEN -1 ELSE o_orderkey END AS visit_occurrence_id
 FROM {orders}"""
 
@@ -87,7 +87,8 @@ FROM (
 ) AS l JOIN {orders} AS o ON l.l_orderkey = o.o_orderkey"""
 
 DERIVED["drug_exposure"] = """
-SELECT line_id AS drug_exposure_id, o_custkey AS person_id,
+SELECT line_id AS drug_exposure_id,
+  CASE WHEN line_id % 523 = 0 THEN 900000 ELSE o_custkey END AS person_id,
   CAST(CASE WHEN line_id % 331 = 0 THEN 0 WHEN line_id % 337 = 0 THEN 200999
        ELSE 200000 + partkey % 100 END AS int) AS drug_concept_id,
   shipdate AS drug_exposure_start_date,
@@ -97,18 +98,19 @@ SELECT line_id AS drug_exposure_id, o_custkey AS person_id,
   CAST(quantity AS int) * 5 AS days_supply,
   CASE WHEN line_id % 31 = 0 THEN 12 ELSE l_linenumber END AS refills,
   CAST(44100 + partkey % 2 AS int) AS drug_type_concept_id,
-  suppkey % 13 AS provider_id,
+  CASE WHEN line_id % 103 = 0 THEN 9998 ELSE suppkey % 13 END AS provider_id,
   CASE WHEN line_id % 67 = 0 THEN -1 ELSE l_orderkey END AS visit_occurrence_id
 FROM {order_line}"""
 
 DERIVED["procedure_occurrence"] = """
-SELECT line_id AS procedure_occurrence_id, o_custkey AS person_id,
+SELECT line_id AS procedure_occurrence_id,
+  CASE WHEN line_id % 521 = 0 THEN 900000 ELSE o_custkey END AS person_id,
   CAST(CASE WHEN line_id % 331 = 0 THEN 0 WHEN line_id % 347 = 0 THEN 300999
        ELSE 300000 + partkey % 60 END AS int) AS procedure_concept_id,
   shipdate AS procedure_date,
   CAST(CASE WHEN line_id % 353 = 0 THEN 44299 ELSE 44200 + suppkey % 2 END AS int)
     AS procedure_type_concept_id,
-  suppkey % 13 AS provider_id,
+  CASE WHEN line_id % 103 = 0 THEN 9998 ELSE suppkey % 13 END AS provider_id,
   CASE WHEN line_id % 71 = 0 THEN -1 ELSE l_orderkey END AS visit_occurrence_id
 FROM {order_line}
 WHERE returnflag = 'R'"""
@@ -131,7 +133,8 @@ SELECT event_id AS observation_id,
   CAST(44300 + event_id % 2 AS int) AS observation_type_concept_id,
   CASE WHEN event_id % 13 = 0 THEN NULL ELSE CAST(100 AS double) END AS range_low,
   CASE WHEN event_id % 13 = 0 THEN NULL ELSE CAST(250 + event_id % 50 AS double) END AS range_high,
-  CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_id % 12 END AS provider_id,
+  CASE WHEN event_id % 5 = 0 THEN NULL WHEN event_id % 107 = 0 THEN 9998 ELSE event_id % 12 END
+    AS provider_id,
   CASE WHEN event_id % 83 = 0 THEN -1 ELSE event_id % 150 END AS visit_occurrence_id
 FROM {{events}}"""
 
@@ -146,7 +149,7 @@ SELECT event_id AS measurement_id,
   CAST(44500 + event_id % 2 AS int) AS measurement_type_concept_id,
   CASE WHEN event_id % 13 = 0 THEN NULL ELSE CAST(100 + event_id % 7 AS double) END AS range_low,
   CASE WHEN event_id % 13 = 0 THEN NULL ELSE CAST(300 + event_id % 40 AS double) END AS range_high,
-  event_id % 12 AS provider_id,
+  CASE WHEN event_id % 109 = 0 THEN 9998 ELSE event_id % 12 END AS provider_id,
   CASE WHEN event_id % 79 = 0 THEN -1 ELSE event_id % 150 END AS visit_occurrence_id
 FROM {{events}}"""
 
