@@ -9,10 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from popscan.catalogue import Analysis, analyses
+from popscan.analyses.domains import FROM_EVENTS
 from popscan.cdm import Cdm
+from popscan.heel import ALL_RULES, run_heel
+from popscan.operators import distribution
+from popscan.reports import DOCUMENTS, REPORTS, Vocabulary, concept_documents, document, report
+from popscan.reports.documents import DETAILS
+from popscan.results import LiveResults
 from popscan.sources.derived import DerivedTables
 from popscan_checks.analyses import analysis_sql
 from popscan_checks.base import OFF_HALF, with_tables
+from popscan_checks.reports import report_sql
+from popscan_checks.rules import THIS_YEAR, rule_sql
 
 _ROUNDED = ("avg_value", "stdev_value")
 
@@ -46,10 +54,81 @@ def entry(spark: SparkSession) -> DataFrame:
     return _analysis_query(116)(spark, "/root/testdata/sf0.001")
 
 
+def _live(spark: SparkSession, sf_dir: str, version: str = "v5") -> tuple[LiveResults, Vocabulary]:
+    cdm = _cdm(spark, sf_dir, version)
+    return LiveResults(spark, cdm), Vocabulary(cdm.tables, "v5")
+
+
+def _rule_query(number: int) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        results, vocabulary = _live(spark, sf_dir)
+        return run_heel(results, vocabulary.concept, rules=[number], this_year=THIS_YEAR)
+
+    return run
+
+
+def _report_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = report(name, *_live(spark, sf_dir))
+        if "length_of_era" in df.columns:  # a mean, hence cut like the others
+            df = df.withColumn("length_of_era", F.round("length_of_era", 5))
+        return df
+
+    return run
+
+
+def _document_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: document(name, *_live(spark, sf_dir))
+
+
+def _details_query(domain: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: concept_documents(domain, *_live(spark, sf_dir))
+
+
+def _located_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Analysis 1508 by the way large inputs take: ranks located by bucket, cell and value."""
+    tables = _cdm(spark, sf_dir)
+    costs = tables["drug_cost"].select("drug_exposure_id", "total_paid")
+    mapped = tables["drug_exposure"].filter("drug_concept_id <> 0").select("drug_exposure_id", "drug_concept_id")
+    df = distribution(
+        costs.join(mapped, "drug_exposure_id").filter("total_paid IS NOT NULL"),
+        ["drug_concept_id"], "total_paid", bounded=False, window_bytes=0,
+    )
+    number = F.lit(1508).cast("int").alias("analysis_id")
+    return _rounded(df.select(number, F.col("drug_concept_id").cast("string").alias("stratum_1"), *df.columns[1:]))
+
+
+def _rolled_up(number: int) -> Callable[[SparkSession, str], DataFrame]:
+    """An analysis read from the person-level rollup instead of the event table."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        cdm = _cdm(spark, sf_dir)
+        domain = FROM_EVENTS[number]
+        cdm = cdm.with_rollups({domain.table: cdm.rollup(domain)})
+        return _rounded(analyses()[number].frame(cdm))
+
+    return run
+
+
+_ROLLED_UP = (400, 401, 404, 405, 406, 409)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {_key(a): _analysis_query(i) for i, a in analyses().items()}
+    out = {_key(a): _analysis_query(i) for i, a in analyses().items()}
+    out["family_dist_located_ranks"] = _located_costs
+    out.update({f"rollup_a{i:04d}": _rolled_up(i) for i in _ROLLED_UP})
+    out.update({f"heel_{n:02d}": _rule_query(n) for n in ALL_RULES})
+    out.update({f"rpt_{name}": _report_query(name) for name in REPORTS if name != "heel_messages"})
+    out.update({f"doc_{name}": _document_query(name) for name in DOCUMENTS if name != "heel"})
+    out.update({f"doc_{domain}_details": _details_query(domain) for domain in DETAILS})
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
     bodies = analysis_sql()
-    return {_key(a): with_tables(bodies[i]) for i, a in analyses().items()}
+    out = {_key(a): with_tables(bodies[i]) for i, a in analyses().items()}
+    out["family_dist_located_ranks"] = with_tables(bodies[1508])
+    out.update({f"rollup_a{i:04d}": with_tables(bodies[i]) for i in _ROLLED_UP})
+    out.update({f"heel_{n:02d}": sql for n, sql in rule_sql().items()})
+    out.update({f"rpt_{name}": sql for name, sql in report_sql().items() if name != "heel_messages"})
+    return out

@@ -7,9 +7,10 @@ are data: a number, a shape, the analyses they look at and their wording.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from pyspark.sql import Window as W
 from popscan.catalogue import analyses
 from popscan.results import ResultSet
 
+NAME = object()  # stands for the analysis name in a message
 MIN_BASE_COUNT = 10  # fixed value: months with fewer records never trigger the change rules
 
 # Analyses per rule.
@@ -37,204 +39,233 @@ BY_MONTH = (420, 620, 720, 820, 920, 1020)
 BY_CONCEPT_AND_MONTH = (402, 602, 702, 802, 902, 1002)
 
 
-@dataclass(frozen=True)
-class Rule:
-    number: int
-    ids: tuple[int, ...]
-    title: str
-    find: Callable[[HeelInput, Rule], DataFrame]
-    needs: str | None = None  # column of the concept table the rule reads
-    versions: tuple[str, ...] = ("v4", "v5")
+# Limits on the smallest or largest value of distributions.
+# rule -> analyses, column, sign of the forbidden side, limit, severity, separator, wording
+LIMITS: dict[int, tuple[tuple[int, ...], str, int, float, str, str, str]] = {
+    2: (NEVER_NEGATIVE, "min_value", -1, 0, "ERROR", " - ", "min value should not be negative"),
+    3: (AFTER_DEATH, "max_value", 1, 30, "WARNING", "-",
+        "max value should not be positive, otherwise its a zombie with data >1mo after death "),
+    24: ((715,), "max_value", 1, 180, "WARNING", "-", "max value should not be > 180"),
+    25: ((716,), "max_value", 1, 10, "WARNING", "-", "max value should not be > 10"),
+    26: ((717,), "max_value", 1, 600, "WARNING", "-", "max value should not be > 600"),
+}
+
+# Accepted domains (version 4 rules: vocabulary numbers).
+# rule -> analyses, column, accepted values, wording appended
+ACCEPTED: dict[int, tuple[tuple[int, ...], str, tuple[str, ...], str]] = {
+    7: ((2,), "domain_id", ("gender",), ""),
+    8: ((4,), "domain_id", ("race",), ""),
+    9: ((5,), "domain_id", ("ethnicity",), " (CMS Ethnicity)"),
+    10: ((202,), "domain_id", ("visit",), ""),
+    11: ((301,), "domain_id", ("provider specialty",), " (Specialty)"),
+    12: ((400, 1000), "domain_id",
+         ("condition", "condition/drug", "condition/meas", "condition/obs", "condition/procedure"), ""),
+    13: ((700, 900), "domain_id",
+         ("drug", "condition/drug", "device/drug", "drug/measurement", "drug/obs", "drug/procedure"), ""),
+    14: ((600,), "domain_id",
+         ("procedure", "condition/procedure", "device/procedure", "drug/procedure", "obs/procedure"), ""),
+    15: ((800,), "vocabulary_id", ("0", "6"), " (LOINC)"),
+    16: ((1609,), "vocabulary_id", ("0", "40"), " (DRG)"),
+    17: ((1610,), "domain_id", ("revenue code",), " (revenue code)"),
+}
+
+# Implausible years and ages; ``None`` stands for the current year.
+# rule -> analysis, sign of the forbidden side, limit, wording
+IMPLAUSIBLE: dict[int, tuple[int, int, int | None, str]] = {
+    18: (3, 1, None, "should not have year of birth in the future"),
+    19: (3, -1, 1800, "should not have year of birth < 1800"),
+    20: (101, -1, 0, "should not have age < 0"),
+    21: (101, 1, 150, "should not have age > 150"),
+}
+
+V4_ONLY = (15, 16)
+ALL_RULES = tuple(range(1, 27))
 
 
 @dataclass(frozen=True)
-class HeelInput:
+class _Input:
     results: ResultSet
     concept: DataFrame | None
     this_year: Column
 
-    def counts(self, rule: Rule) -> DataFrame:
-        return self.results.counts(*_known(rule.ids)).withColumn("name", _name(rule.ids))
-
-    def dist(self, rule: Rule) -> DataFrame:
-        return self.results.dist(*_known(rule.ids)).withColumn("name", _name(rule.ids))
 
-
-def _known(ids: Sequence[int]) -> list[int]:
-    known = analyses()
-    return [i for i in ids if i in known]
-
-
-def _name(ids: Sequence[int]) -> Column:
+def _names(ids: Iterable[int]) -> Column:
     """The analysis name, looked up in the catalogue."""
     known = analyses()
-    cases = [F.col("analysis_id") == i for i in _known(ids)]
-    names = [F.lit(known[i].name) for i in _known(ids)]
-    out = F.when(cases[0], names[0])
-    for c, n in zip(cases[1:], names[1:]):
-        out = out.when(c, n)
+    out = F.when(F.lit(False), F.lit(None).cast("string"))
+    for i in ids:
+        out = out.when(F.col("analysis_id") == i, known[i].name)
     return out
 
 
-def _finding(df: DataFrame, rule: Rule, severity: str, text: Sequence[Column | str], count: Column | None) -> DataFrame:
-    parts = [F.lit(t) if isinstance(t, str) else t.cast("string") for t in text]
-    message = F.concat(F.lit(f"{severity}: "), F.col("analysis_id").cast("string"), *parts)
+def _findings(
+    df: DataFrame, ids: Iterable[int], severity: Column | str, text: Sequence[Any], count: Column | None
+) -> DataFrame:
+    """Compose the messages; ``df`` carries ``rule_id``, ``analysis_id`` and what ``text`` reads."""
+
+    def part(t: Column | str) -> Column:
+        return F.lit(t) if isinstance(t, str) else t.cast("string")
+
+    pieces = [part(severity), F.lit(": "), F.col("analysis_id").cast("string")]
+    pieces += [_names(sorted(set(ids))) if t is NAME else part(t) for t in text]
     return df.select(
         F.col("analysis_id").cast("int").alias("analysis_id"),
-        message.alias("heel_warning"),
-        F.lit(rule.number).cast("int").alias("rule_id"),
+        F.concat(*pieces).alias("heel_warning"),
+        F.col("rule_id").cast("int").alias("rule_id"),
         (F.lit(None) if count is None else count).cast("long").alias("record_count"),
     )
 
 
-def _by_analysis(df: DataFrame, count: Column) -> DataFrame:
-    return df.groupBy("analysis_id", "name").agg(count.alias("n"))
-
-
-def _defects(x: HeelInput, rule: Rule) -> DataFrame:
-    bad = x.counts(rule).filter(F.col("count_value") > 0)
-    text = ["-", F.col("name"), "; count (n=", F.col("count_value"), ") should not be > 0"]
-    return _finding(bad, rule, "ERROR", text, F.col("count_value")).distinct()
-
-
-def _limit(severity: str, column: str, test: Callable[[Column], Column], dash: str, tail: str):
-    """Distributions whose smallest or largest value passes a limit; counts the strata."""
-
-    def find(x: HeelInput, rule: Rule) -> DataFrame:
-        bad = _by_analysis(x.dist(rule).filter(test(F.col(column))), F.count(column))
-        text = [dash, F.col("name"), " (count = ", F.col("n"), f"); {tail}"]
-        return _finding(bad, rule, severity, text, F.col("n"))
-
-    return find
-
+def _by_rule(values: dict[int, str]) -> Column:
+    out = F.when(F.lit(False), F.lit(None).cast("string"))
+    for rule, value in values.items():
+        out = out.when(F.col("rule_id") == rule, value)
+    return out
 
-def _not_in_vocabulary(stratum: str):
-    def find(x: HeelInput, rule: Rule) -> DataFrame:
-        ids = x.concept.select(F.col("concept_id").cast("string").alias(stratum))
-        used = x.counts(rule).filter(F.col(stratum).isNotNull())
-        bad = _by_analysis(used.join(ids, stratum, "left_anti"), F.countDistinct(stratum))
-        text = ["-", F.col("name"), "; ", F.col("n"), " concepts in data are not in vocabulary"]
-        return _finding(bad, rule, "ERROR", text, F.col("n"))
 
-    return find
+def _broken(df: DataFrame, tests: dict[int, Column]) -> DataFrame:
+    """One row per broken rule: rows are tested against all rules in one pass."""
+    hits = F.array(*[F.when(test, F.lit(rule)) for rule, test in tests.items()])
+    return df.withColumn("rule_id", F.explode(F.array_compact(hits)))
 
 
-def _unmapped(x: HeelInput, rule: Rule) -> DataFrame:
-    bad = x.counts(rule).filter(F.col("stratum_1") == "0").select("analysis_id", "name").distinct()
-    return _finding(bad, rule, "WARNING", ["-", F.col("name"), "; data with unmapped concepts"], None)
+def _beyond(c: Column, sign: int, limit: Column) -> Column:
+    return c > limit if sign > 0 else c < limit
 
 
-def _wrong_vocabulary(accepted: Sequence, column: str = "domain_id", suffix: str = "", skip_zero: bool = True):
-    """Concepts whose domain (or vocabulary) is none of the accepted ones."""
+def _defects(x: _Input, rules: Sequence[int]) -> DataFrame:
+    """Counts of improper data that are not zero."""
+    bad = x.results.counts(*COUNTED_DEFECTS).filter(F.col("count_value") > 0).withColumn("rule_id", F.lit(1))
+    text = ["-", NAME, "; count (n=", F.col("count_value"), ") should not be > 0"]
+    return _findings(bad, COUNTED_DEFECTS, "ERROR", text, F.col("count_value")).distinct()
 
-    def find(x: HeelInput, rule: Rule) -> DataFrame:
-        kind = F.lower(F.col(column)) if column == "domain_id" else F.col(column).cast("string")
-        wrong = x.concept.filter(~kind.isin(*[str(a) for a in accepted]))
-        if skip_zero:
-            wrong = wrong.filter(F.col("concept_id") != 0)
-        wrong = wrong.select(F.col("concept_id").cast("string").alias("stratum_1"))
-        bad = _by_analysis(x.counts(rule).join(wrong, "stratum_1", "left_semi"), F.countDistinct("stratum_1"))
-        text = ["-", F.col("name"), "; ", F.col("n"), f" concepts in data are not in correct vocabulary{suffix}"]
-        return _finding(bad, rule, "ERROR", text, F.col("n"))
 
-    return find
+def _limits(x: _Input, rules: Sequence[int]) -> DataFrame:
+    """Distributions that pass a limit; counts the strata that do."""
+    used = {r: LIMITS[r] for r in rules}
+    ids = sorted({i for ids, *_ in used.values() for i in ids})
+    tests = {
+        r: F.col("analysis_id").isin(*of) & _beyond(F.col(column), sign, F.lit(limit))
+        for r, (of, column, sign, limit, *_) in used.items()
+    }
+    bad = _broken(x.results.dist(*ids), tests).groupBy("rule_id", "analysis_id").agg(F.count(F.lit(1)).alias("n"))
+    text = [
+        _by_rule({r: u[5] for r, u in used.items()}), NAME, " (count = ", F.col("n"), "); ",
+        _by_rule({r: u[6] for r, u in used.items()}),
+    ]
+    return _findings(bad, ids, _by_rule({r: u[4] for r, u in used.items()}), text, F.col("n"))
 
 
-def _implausible(test: Callable[[HeelInput, Column], Column], tail: str):
-    """Persons whose first stratum (a year or an age) is implausible."""
+def _not_in_vocabulary(x: _Input, rules: Sequence[int]) -> DataFrame:
+    """Concepts (rule 4) and type concepts (rule 5) the vocabulary does not know."""
+    ids = [*(BY_CONCEPT if 4 in rules else ()), *(BY_TYPE if 5 in rules else ())]
+    typed = F.col("analysis_id").isin(*BY_TYPE)
+    used = x.results.counts(*ids).select(
+        "analysis_id",
+        F.when(typed, 5).otherwise(4).alias("rule_id"),
+        F.when(typed, F.col("stratum_2")).otherwise(F.col("stratum_1")).alias("id"),
+    )
+    known = x.concept.select(F.col("concept_id").cast("string").alias("id"))
+    bad = used.filter(F.col("id").isNotNull()).join(known, "id", "left_anti")
+    bad = bad.groupBy("rule_id", "analysis_id").agg(F.countDistinct("id").alias("n"))
+    text = ["-", NAME, "; ", F.col("n"), " concepts in data are not in vocabulary"]
+    return _findings(bad, ids, "ERROR", text, F.col("n"))
 
-    def find(x: HeelInput, rule: Rule) -> DataFrame:
-        value = F.col("stratum_1").try_cast("int")
-        bad = x.counts(rule).filter(test(x, value) & (F.col("count_value") > 0))
-        bad = _by_analysis(bad, F.sum("count_value"))
-        return _finding(bad, rule, "ERROR", ["-", F.col("name"), f"; {tail}, (n=", F.col("n"), ")"], F.col("n"))
 
-    return find
+def _unmapped(x: _Input, rules: Sequence[int]) -> DataFrame:
+    """Data under concept 0."""
+    bad = x.results.counts(*BY_CONCEPT).filter(F.col("stratum_1") == "0").select("analysis_id").distinct()
+    text = ["-", NAME, "; data with unmapped concepts"]
+    return _findings(bad.withColumn("rule_id", F.lit(6)), BY_CONCEPT, "WARNING", text, None)
 
 
-def _changes(df: DataFrame, month: str, keys: Sequence[str]) -> DataFrame:
-    """Rows whose count changes by more than 100 % from one month to the next.
+def _wrong_vocabulary(x: _Input, rules: Sequence[int]) -> DataFrame:
+    """Concepts whose domain (or vocabulary) is none of the accepted ones."""
+    used = {r: ACCEPTED[r] for r in rules}
+    ids = sorted({i for ids, *_ in used.values() for i in ids})
+    columns = sorted({u[1] for u in used.values()})
+    concept = x.concept.select(
+        F.col("concept_id").cast("string").alias("stratum_1"),
+        *[F.lower(F.col(c).cast("string")).alias(c) for c in columns],
+    )
+    tests = {
+        r: F.col("analysis_id").isin(*of)
+        & ~F.col(column).isin(*accepted)
+        & ((F.col("stratum_1") != "0") if column == "domain_id" else F.lit(True))
+        for r, (of, column, accepted, _) in used.items()
+    }
+    bad = _broken(x.results.counts(*ids).join(concept, "stratum_1"), tests)
+    bad = bad.groupBy("rule_id", "analysis_id").agg(F.countDistinct("stratum_1").alias("n"))
+    text = [
+        "-", NAME, "; ", F.col("n"), " concepts in data are not in correct vocabulary",
+        _by_rule({r: u[3] for r, u in used.items()}),
+    ]
+    return _findings(bad, ids, "ERROR", text, F.col("n"))
+
+
+def _implausible(x: _Input, rules: Sequence[int]) -> DataFrame:
+    """Persons whose year of birth or age is implausible."""
+    used = {r: IMPLAUSIBLE[r] for r in rules}
+    ids = sorted({u[0] for u in used.values()})
+    value = F.col("stratum_1").try_cast("int")
+    tests = {
+        r: (F.col("analysis_id") == of) & _beyond(value, sign, x.this_year if limit is None else F.lit(limit))
+        for r, (of, sign, limit, _) in used.items()
+    }
+    bad = _broken(x.results.counts(*ids).filter(F.col("count_value") > 0), tests)
+    bad = bad.groupBy("rule_id", "analysis_id").agg(F.sum("count_value").alias("n"))
+    text = ["-", NAME, "; ", _by_rule({r: u[3] for r, u in used.items()}), ", (n=", F.col("n"), ")"]
+    return _findings(bad, ids, "ERROR", text, F.col("n"))
+
+
+def _monthly_changes(x: _Input, rules: Sequence[int]) -> DataFrame:
+    """Counts that change by more than 100 % from one month to the next.
 
     Instead of joining the results with themselves, each row looks at the next
-    month present under its keys and checks that it is the adjacent one.
+    month present under its analysis and concept and checks that it is the
+    adjacent one. Rule 22 looks at whole tables, rule 23 at single concepts.
     """
-    value = F.col(month).try_cast("int")
-    index = F.floor(value / 100) * 12 + value % 100
-    following = W.partitionBy(*keys).orderBy("at")
-    ahead = df.withColumn("at", index).filter(F.col("at").isNotNull())
-    ahead = ahead.withColumn("next_at", F.lead("at").over(following)).withColumn(
+    ids = [*(BY_MONTH if 22 in rules else ()), *(BY_CONCEPT_AND_MONTH if 23 in rules else ())]
+    whole = F.col("analysis_id").isin(*BY_MONTH)
+    month = F.when(whole, F.col("stratum_1")).otherwise(F.col("stratum_2")).try_cast("int")
+    rows = x.results.counts(*ids).select(
+        "analysis_id",
+        F.when(whole, 22).otherwise(23).alias("rule_id"),
+        F.when(~whole, F.col("stratum_1")).alias("concept"),
+        (F.floor(month / 100) * 12 + month % 100).alias("at"),
+        "count_value",
+    )
+    rows = rows.filter(F.col("at").isNotNull() & ((F.col("rule_id") == 22) | F.col("concept").isNotNull()))
+    following = W.partitionBy("analysis_id", "concept").orderBy("at")
+    ahead = rows.withColumn("next_at", F.lead("at").over(following)).withColumn(
         "next_count", F.lead("count_value").over(following)
     )
     change = F.abs(F.col("next_count") - F.col("count_value"))
-    return ahead.filter(
+    bad = ahead.filter(
         (F.col("next_at") == F.col("at") + 1)
         & (F.col("count_value") > MIN_BASE_COUNT)
         & (change > F.col("count_value"))
     )
-
-
-def _monthly_change(x: HeelInput, rule: Rule) -> DataFrame:
-    bad = _changes(x.counts(rule), "stratum_1", ["analysis_id"]).select("analysis_id", "name").distinct()
-    text = ["-", F.col("name"), "; theres a 100% change in monthly count of events"]
-    return _finding(bad, rule, "WARNING", text, None)
-
-
-def _concept_monthly_change(x: HeelInput, rule: Rule) -> DataFrame:
-    used = x.counts(rule).filter(F.col("stratum_1").isNotNull())
-    bad = _changes(used, "stratum_2", ["analysis_id", "stratum_1"])
-    bad = _by_analysis(bad, F.countDistinct("stratum_1"))
-    text = ["-", F.col("name"), "; ", F.col("n"), " concepts have a 100% change in monthly count of events"]
-    return _finding(bad, rule, "WARNING", text, F.col("n"))
-
-
-def _above(limit: float):
-    return lambda c: c > limit
-
-
-DOMAIN, V4 = "domain_id", ("v4",)
-
-# Rule numbers, accepted domains and vocabularies, limits and wording.
-RULES: tuple[Rule, ...] = (
-    Rule(1, COUNTED_DEFECTS, "counts of improper data", _defects),
-    Rule(2, NEVER_NEGATIVE, "negative minimum",
-         _limit("ERROR", "min_value", lambda c: c < 0, " - ", "min value should not be negative")),
-    Rule(3, AFTER_DEATH, "events long after death",
-         _limit("WARNING", "max_value", _above(30), "-",
-                "max value should not be positive, otherwise its a zombie with data >1mo after death ")),
-    Rule(4, BY_CONCEPT, "concept not in vocabulary", _not_in_vocabulary("stratum_1")),
-    Rule(5, BY_TYPE, "type concept not in vocabulary", _not_in_vocabulary("stratum_2")),
-    Rule(6, BY_CONCEPT, "unmapped concept", _unmapped),
-    Rule(7, (2,), "gender domain", _wrong_vocabulary(["gender"]), DOMAIN),
-    Rule(8, (4,), "race domain", _wrong_vocabulary(["race"]), DOMAIN),
-    Rule(9, (5,), "ethnicity domain", _wrong_vocabulary(["ethnicity"], suffix=" (CMS Ethnicity)"), DOMAIN),
-    Rule(10, (202,), "visit domain", _wrong_vocabulary(["visit"]), DOMAIN),
-    Rule(11, (301,), "specialty domain", _wrong_vocabulary(["provider specialty"], suffix=" (Specialty)"), DOMAIN),
-    Rule(12, (400, 1000), "condition domain",
-         _wrong_vocabulary(["condition", "condition/drug", "condition/meas", "condition/obs",
-                            "condition/procedure"]), DOMAIN),
-    Rule(13, (700, 900), "drug domain",
-         _wrong_vocabulary(["drug", "condition/drug", "device/drug", "drug/measurement", "drug/obs",
-                            "drug/procedure"]), DOMAIN),
-    Rule(14, (600,), "procedure domain",
-         _wrong_vocabulary(["procedure", "condition/procedure", "device/procedure", "drug/procedure",
-                            "obs/procedure"]), DOMAIN),
-    Rule(15, (800,), "observation vocabulary",
-         _wrong_vocabulary([0, 6], "vocabulary_id", " (LOINC)", skip_zero=False), "vocabulary_id", V4),
-    Rule(16, (1609,), "disease class vocabulary",
-         _wrong_vocabulary([0, 40], "vocabulary_id", " (DRG)", skip_zero=False), "vocabulary_id", V4),
-    Rule(17, (1610,), "revenue code domain", _wrong_vocabulary(["revenue code"], suffix=" (revenue code)"), DOMAIN),
-    Rule(18, (3,), "birth in the future",
-         _implausible(lambda x, v: v > x.this_year, "should not have year of birth in the future")),
-    Rule(19, (3,), "birth before 1800",
-         _implausible(lambda x, v: v < 1800, "should not have year of birth < 1800")),
-    Rule(20, (101,), "age below 0", _implausible(lambda x, v: v < 0, "should not have age < 0")),
-    Rule(21, (101,), "age above 150", _implausible(lambda x, v: v > 150, "should not have age > 150")),
-    Rule(22, BY_MONTH, "monthly change", _monthly_change),
-    Rule(23, BY_CONCEPT_AND_MONTH, "monthly change by concept", _concept_monthly_change),
-    Rule(24, (715,), "days supply", _limit("WARNING", "max_value", _above(180), "-", "max value should not be > 180")),
-    Rule(25, (716,), "refills", _limit("WARNING", "max_value", _above(10), "-", "max value should not be > 10")),
-    Rule(26, (717,), "quantity", _limit("WARNING", "max_value", _above(600), "-", "max value should not be > 600")),
-)
+    bad = bad.groupBy("rule_id", "analysis_id").agg(F.countDistinct("concept").alias("n"))
+    concepts = F.col("rule_id") == 23
+    text = [
+        "-", NAME, "; ",
+        F.when(concepts, F.concat(F.col("n").cast("string"), F.lit(" concepts have a"))).otherwise("theres a"),
+        " 100% change in monthly count of events",
+    ]
+    return _findings(bad, ids, "WARNING", text, F.when(concepts, F.col("n")))
+
+
+# rules by shape; rules of one shape share one pass
+_SHAPES: tuple[tuple[tuple[int, ...], Callable[[_Input, Sequence[int]], DataFrame]], ...] = (
+    ((1,), _defects),
+    (tuple(LIMITS), _limits),
+    ((4, 5), _not_in_vocabulary),
+    ((6,), _unmapped),
+    (tuple(ACCEPTED), _wrong_vocabulary),
+    (tuple(IMPLAUSIBLE), _implausible),
+    ((22, 23), _monthly_changes),
+)
 
 
 def run_heel(
@@ -246,16 +277,27 @@ def run_heel(
 ) -> DataFrame:
     """Findings of the given rules (default: all of ``version``).
 
-    ``this_year`` fixes the clock of the birth-year rule. Rules on domains are
-    left out when the concept table has no domains (early version 4
-    vocabularies).
+    ``this_year`` fixes the clock of the birth-year rule. By default rules on
+    columns the concept table lacks are left out (early version 4 vocabularies
+    have no domains), and all rules on concepts if there is no such table.
     """
+    if rules is None:
+        have = set() if concept is None else set(concept.columns)
+        rules = [
+            r
+            for r in ALL_RULES
+            if (version == "v4" or r not in V4_ONLY)
+            and (r not in ACCEPTED or ACCEPTED[r][1] in have)
+            and (r not in (4, 5) or concept is not None)
+        ]
     year = F.year(F.current_date()) if this_year is None else F.lit(this_year)
-    given = HeelInput(results, concept, year)
-    wanted = [r for r in RULES if (r.number in rules if rules is not None else version in r.versions)]
-    if rules is None and concept is not None:
-        wanted = [r for r in wanted if r.needs is None or r.needs in concept.columns]
-    return reduce(DataFrame.unionByName, [r.find(given, r) for r in wanted])
+    given = _Input(results, concept, year)
+    parts = []
+    for of, find in _SHAPES:
+        wanted = [r for r in of if r in rules]
+        if wanted:
+            parts.append(find(given, wanted))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def fetch_heel(findings: DataFrame) -> DataFrame:

@@ -274,7 +274,7 @@ SELECT CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 1 WHEN 'BUILDING' THEN 2 WHEN 'F
   CAST(o_orderdate AS date) + CAST(o_orderkey % 30 - 1 AS int) AS cohort_end_date
 FROM {orders} JOIN {customer} ON o_custkey = c_custkey"""
 
-# (source, id, domain, vocabulary, class, name); each row is SELECT DISTINCT over the whole source
+# (source, id, domain, vocabulary, class, name); each entry reads the whole source
 _CONCEPTS: list[tuple[str, str, str, str, str, str]] = [
     ("nation", "CASE n_nationkey % 3 WHEN 0 THEN 8507 WHEN 1 THEN 8532 ELSE 8551 END", "'Gender'",
      "'Gender'", "'Gender'", "CASE n_nationkey % 3 WHEN 0 THEN 'MALE' WHEN 1 THEN 'FEMALE' ELSE 'UNKNOWN' END"),
@@ -334,13 +334,17 @@ _CONCEPTS: list[tuple[str, str, str, str, str, str]] = [
 def _concept_branch(source: str, cid: str, domain: str, vocabulary: str, klass: str, name: str) -> str:
     name = name or f"concat('concept_', CAST({cid} AS string))"
     return (
-        f"SELECT DISTINCT CAST({cid} AS int) AS concept_id, {name} AS concept_name, {domain} AS domain_id, "
+        f"SELECT CAST({cid} AS int) AS concept_id, {name} AS concept_name, {domain} AS domain_id, "
         f"{vocabulary} AS vocabulary_id, {klass} AS concept_class_id, "
         f"concat('C', CAST({cid} AS string)) AS concept_code FROM {{{source}}}"
     )
 
 
-DERIVED["concept"] = "\nUNION ALL\n".join(_concept_branch(*row) for row in _CONCEPTS)
+DERIVED["concept"] = (
+    "SELECT DISTINCT concept_id, concept_name, domain_id, vocabulary_id, concept_class_id, concept_code FROM (\n"
+    + "\nUNION ALL\n".join(_concept_branch(*row) for row in _CONCEPTS)
+    + "\n) AS c"
+)
 
 DERIVED["vocabulary"] = """
 SELECT DISTINCT vocabulary_id, concat(vocabulary_id, ' vocabulary') AS vocabulary_name
