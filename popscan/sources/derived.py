@@ -64,15 +64,19 @@ SELECT o_orderkey AS condition_occurrence_id,
   CASE WHEN o_orderkey % 499 = 0 THEN 900000 ELSE o_custkey END AS person_id,
   CAST(CASE WHEN o_orderkey % 211 = 0 THEN 0 WHEN o_orderkey % 197 = 0 THEN 100999
        ELSE 100000 + o_orderkey % 40 END AS int) AS condition_concept_id,
-  CAST(o_orderdate AS date) + CAST(o_orderkey % 5 AS int) AS condition_start_date,
-  CASE WHEN o_orderkey % 7 = 0 THEN NULL
-       ELSE CAST(o_orderdate AS date) + CAST(o_orderkey % 5 + o_orderkey % 11 - 1 AS int) END
+  started AS condition_start_date,
+  CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE started + CAST(o_orderkey % 11 - 1 AS int) END
     AS condition_end_date,
   CAST(CASE WHEN o_orderkey % 251 = 0 THEN 44999 ELSE 44000 + o_orderkey % 3 END AS int)
     AS condition_type_concept_id,
   CASE WHEN o_orderkey % 101 = 0 THEN 9998 ELSE o_orderkey % 12 END AS provider_id,
   CASE WHEN o_orderkey % 61 = 0 THEN -1 ELSE o_orderkey END AS visit_occurrence_id
-FROM {orders}"""
+FROM (
+  SELECT o_orderkey, o_custkey, CAST(o_orderdate AS date) + CAST(o_orderkey % 5 +
+    CASE WHEN year(o_orderdate) = 1998 AND month(o_orderdate) = 12 AND o_orderkey % 6 <> 0 THEN 31 ELSE 0 END
+    AS int) AS started
+  FROM {orders}
+) AS o"""
 
 # one row per (order, line number); the driver's pairs repeat
 DERIVED["order_line"] = """
@@ -276,8 +280,8 @@ FROM {orders} JOIN {customer} ON o_custkey = c_custkey"""
 
 # (source, id, domain, vocabulary, class, name); each entry reads the whole source
 _CONCEPTS: list[tuple[str, str, str, str, str, str]] = [
-    ("nation", "CASE n_nationkey % 3 WHEN 0 THEN 8507 WHEN 1 THEN 8532 ELSE 8551 END", "'Gender'",
-     "'Gender'", "'Gender'", "CASE n_nationkey % 3 WHEN 0 THEN 'MALE' WHEN 1 THEN 'FEMALE' ELSE 'UNKNOWN' END"),
+    ("nation", "CASE n_nationkey % 3 WHEN 0 THEN 8507 WHEN 1 THEN 8532 ELSE 8551 END",
+     "CASE WHEN n_nationkey % 3 = 2 THEN 'Observation' ELSE 'Gender' END", "'Gender'", "'Gender'", "CASE n_nationkey % 3 WHEN 0 THEN 'MALE' WHEN 1 THEN 'FEMALE' ELSE 'UNKNOWN' END"),
     ("nation", "n_nationkey * 0", "'Metadata'", "'None'", "'Undefined'", "'No matching concept'"),
     ("nation", "8515 + n_nationkey % 3",
      "CASE WHEN n_nationkey % 3 = 2 THEN 'Observation' ELSE 'Race' END", "'Race'", "'Race'", ""),
@@ -393,6 +397,43 @@ DERIVED["concept_ancestor"] = (
 )
 
 
+# On Spark the two vocabulary tables are one pass over each source: every source
+# row yields all its concepts at once instead of one UNION branch per entry.
+_CONCEPT_COLUMNS = (
+    "concept_id", "concept_name", "domain_id", "vocabulary_id", "concept_class_id", "concept_code",
+)
+
+
+def _one_pass(rows: list[tuple[str, list[str]]], columns: tuple[str, ...]) -> str:
+    by_source: dict[str, list[str]] = {}
+    for source, values in rows:
+        fields = ", ".join(f"'{c}', {x}" for c, x in zip(columns, values))
+        by_source.setdefault(source, []).append(f"named_struct({fields})")
+    parts = [f"SELECT explode(array({', '.join(v)})) AS r FROM {{{s}}}" for s, v in by_source.items()]
+    return f"SELECT DISTINCT {', '.join('r.' + c for c in columns)} FROM (\n" + "\nUNION ALL\n".join(parts) + "\n) AS c"
+
+
+SPARK_FORMS: dict[str, str] = {
+    "concept": _one_pass(
+        [
+            (
+                source,
+                [
+                    f"CAST({cid} AS int)", name or f"concat('concept_', CAST({cid} AS string))", domain, vocabulary,
+                    klass, f"concat('C', CAST({cid} AS string))",
+                ],
+            )
+            for source, cid, domain, vocabulary, klass, name in _CONCEPTS
+        ],
+        _CONCEPT_COLUMNS,
+    ),
+    "concept_ancestor": _one_pass(
+        [("part", [f"CAST({a} AS int)", f"CAST({d} AS int)", str(n)]) for a, d, n in _ANCESTORS],
+        ("ancestor_concept_id", "descendant_concept_id", "min_levels_of_separation"),
+    ),
+}
+
+
 def references(sql: str) -> list[str]:
     """Names a derived text refers to, in order of first use."""
     return list(dict.fromkeys(re.findall(r"\{(\w+)\}", sql)))
@@ -420,7 +461,7 @@ class DerivedTables:
             if name in SOURCE_TABLES:
                 self._frames[name] = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
             else:
-                sql = DERIVED[name]
+                sql = SPARK_FORMS.get(name, DERIVED[name])
                 self._frames[name] = self._spark.sql(sql, **{r: self[r] for r in references(sql)})
         return self._frames[name]
 
