@@ -3,24 +3,26 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from popscan.catalogue import Analysis, analyses
 from popscan.analyses.domains import FROM_EVENTS
+from popscan.catalogue import Analysis, analyses
 from popscan.cdm import Cdm
 from popscan.heel import ALL_RULES, run_heel
 from popscan.operators import distribution
 from popscan.reports import DOCUMENTS, REPORTS, Vocabulary, concept_documents, document, report
 from popscan.reports.documents import DETAILS
-from popscan.results import LiveResults
-from popscan.sources.derived import DerivedTables
+from popscan.results import LiveResults, compare_results, fetch_analysis, suppress_small_cells
+from popscan.schemas import V4_RENAMES
+from popscan.sources import DerivedTables, adapt_v4, normalise_dates
 from popscan_checks.analyses import analysis_sql
 from popscan_checks.base import OFF_HALF, with_tables
 from popscan_checks.reports import report_sql
 from popscan_checks.rules import THIS_YEAR, rule_sql
+from popscan_checks.stored import with_results
 
 _ROUNDED = ("avg_value", "stdev_value")
 
@@ -110,6 +112,99 @@ def _rolled_up(number: int) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+class _V4Tables(Mapping):
+    """The derived tables under their version 4 column names."""
+
+    def __init__(self, tables: DerivedTables):
+        self._tables = tables
+
+    def __getitem__(self, name: str) -> DataFrame:
+        old = {new: old for old, new in V4_RENAMES.get(name, {}).items()}
+        return self._tables[name].withColumnsRenamed(old)
+
+    def __iter__(self):
+        return iter(self._tables)
+
+    def __len__(self) -> int:
+        return len(self._tables.keys())
+
+
+def _v4_query(number: int) -> Callable[[SparkSession, str], DataFrame]:
+    """A version 4 data set, adapted, under the legacy quantile."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = _V4Tables(DerivedTables(spark, sf_dir))
+        cdm = Cdm({n: adapt_v4({n: tables[n]})[n] for n in _V4_NEEDS}, version="v4")
+        return _rounded(analyses()[number].frame(cdm))
+
+    return run
+
+
+_V4_NEEDS = (
+    "person", "observation_period", "visit_occurrence", "condition_occurrence", "drug_exposure", "observation",
+    "drug_era", "death", "payer_plan_period", "drug_cost", "cohort", "provider",
+)
+_V4 = (103, 104, 107, 200, 203, 206, 211, 412, 500, 506, 512, 715, 717, 815, 907, 1406, 1502, 1700)
+
+
+def _suppressed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    results, _ = _live(spark, sf_dir)
+    return suppress_small_cells(results.counts(402)).select("analysis_id", "stratum_1", "stratum_2", "count_value")
+
+
+def _fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = fetch_analysis(_live(spark, sf_dir)[0], 116)
+    return df.toDF(*[c.lower().replace(" ", "_") for c in df.columns])
+
+
+def _compared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What suppression removes, as a comparison of two result sets."""
+    counts = _live(spark, sf_dir)[0].counts(101, 818)
+    return compare_results(counts, suppress_small_cells(counts, 20)).select(
+        "analysis_id", "stratum_1", "stratum_2", "stratum_3", "difference", "expected"
+    )
+
+
+def _dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order dates written in three ways, one of them unreadable, and read back."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    text = F.expr(
+        "CASE o_orderkey % 3 WHEN 0 THEN date_format(o_orderdate, 'M/d/yyyy') "
+        "WHEN 1 THEN date_format(o_orderdate, 'yyyy-MM-dd') ELSE concat('x', o_orderkey) END"
+    )
+    read = normalise_dates(orders.select(text.alias("order_date")))
+    return read.groupBy("order_date").agg(F.count(F.lit(1)).alias("n"))
+
+
+_MANAGEMENT: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
+    "results_suppress_small_cells": (
+        _suppressed,
+        with_results(
+            "SELECT analysis_id, stratum_1, stratum_2, count_value FROM res WHERE count_value > 5", (402,)
+        ),
+    ),
+    "results_fetch_analysis": (
+        _fetched,
+        with_results(
+            "SELECT analysis_id, stratum_1 AS calendar_year, stratum_2 AS gender_concept_id, stratum_3 AS age_decile, "
+            "count_value FROM res", (116,),
+        ),
+    ),
+    "results_compare": (
+        _compared,
+        with_results(
+            "SELECT analysis_id, coalesce(stratum_1, '') AS stratum_1, coalesce(stratum_2, '') AS stratum_2, "
+            "coalesce(stratum_3, '') AS stratum_3, 'only left' AS difference, analysis_id = 818 AS expected "
+            "FROM res WHERE count_value <= 20", (101, 818),
+        ),
+    ),
+    "source_normalise_dates": (
+        _dates,
+        "SELECT CASE WHEN o_orderkey % 3 < 2 THEN CAST(o_orderdate AS date) END AS order_date, count(*) AS n "
+        "FROM orders GROUP BY 1",
+    ),
+}
+
 _ROLLED_UP = (400, 401, 404, 405, 406, 409)
 
 
@@ -117,6 +212,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {_key(a): _analysis_query(i) for i, a in analyses().items()}
     out["family_dist_located_ranks"] = _located_costs
     out.update({f"rollup_a{i:04d}": _rolled_up(i) for i in _ROLLED_UP})
+    out.update({f"v4_a{i:04d}": _v4_query(i) for i in _V4})
+    out.update({name: query for name, (query, _) in _MANAGEMENT.items()})
     out.update({f"heel_{n:02d}": _rule_query(n) for n in ALL_RULES})
     out.update({f"rpt_{name}": _report_query(name) for name in REPORTS if name != "heel_messages"})
     out.update({f"doc_{name}": _document_query(name) for name in DOCUMENTS if name != "heel"})
@@ -129,6 +226,9 @@ def oracle_sql() -> dict[str, str]:
     out = {_key(a): with_tables(bodies[i]) for i, a in analyses().items()}
     out["family_dist_located_ranks"] = with_tables(bodies[1508])
     out.update({f"rollup_a{i:04d}": with_tables(bodies[i]) for i in _ROLLED_UP})
+    old = analysis_sql("v4")
+    out.update({f"v4_a{i:04d}": with_tables(old[i]) for i in _V4})
+    out.update({name: sql for name, (_, sql) in _MANAGEMENT.items()})
     out.update({f"heel_{n:02d}": sql for n, sql in rule_sql().items()})
     out.update({f"rpt_{name}": sql for name, sql in report_sql().items() if name != "heel_messages"})
     return out

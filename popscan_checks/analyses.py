@@ -14,8 +14,13 @@ def _select(number: int, source: str, strata: list[str], count: str, group: bool
     return f"SELECT {head} FROM {source}{by}{tail}"
 
 
+class _Mode:
+    legacy = False  # version 4: the legacy quantile everywhere
+
+
 def dist(number: int, raw: str, strata: int, legacy: bool = False) -> str:
     """Statistics of ``raw`` (columns s1.., v) by numbering every row."""
+    legacy = legacy or _Mode.legacy
     keys = [f"s{i}" for i in range(1, strata + 1)]
     part = f"PARTITION BY {', '.join(keys)} " if keys else ""
     keep = " AND ".join(f"{k} IS NOT NULL" for k in keys) if keys and not legacy else "true"
@@ -340,8 +345,16 @@ def _checks() -> dict[int, str]:
     return out
 
 
-def analysis_sql() -> dict[int, str]:
+def analysis_sql(version: str = "v5") -> dict[int, str]:
     """Check query bodies by analysis number, without the table prefix."""
+    _Mode.legacy = version == "v4"
+    try:
+        return _all()
+    finally:
+        _Mode.legacy = False
+
+
+def _all() -> dict[int, str]:
     out: dict[int, str] = {}
     for part in (_person(), _periods(), _payer(), _death(), _values(), _costs(), _checks()):
         out.update(part)
