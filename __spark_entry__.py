@@ -14,12 +14,13 @@ from popscan.cdm import Cdm
 from popscan.heel import ALL_RULES, run_heel
 from popscan.operators import distribution
 from popscan.reports import DOCUMENTS, REPORTS, Vocabulary, concept_documents, document, report
-from popscan.reports.documents import DETAILS
+from popscan.reports.documents import DETAILS, Histogram
 from popscan.results import LiveResults, compare_results, fetch_analysis, suppress_small_cells
 from popscan.schemas import V4_RENAMES
 from popscan.sources import DerivedTables, adapt_v4, normalise_dates
 from popscan_checks.analyses import analysis_sql
 from popscan_checks.base import OFF_HALF, with_tables
+from popscan_checks.documents import detail_entries, summary_entries
 from popscan_checks.reports import report_sql
 from popscan_checks.rules import THIS_YEAR, rule_sql
 from popscan_checks.stored import with_results
@@ -87,6 +88,40 @@ def _details_query(domain: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: concept_documents(domain, *_live(spark, sf_dir))
 
 
+def _entries(docs: DataFrame, arrays: Mapping[str, str]) -> DataFrame:
+    """Read documents back: ``path, section, entries``; ``arrays`` maps sections to a JSON path."""
+    sizes = F.array(
+        *[
+            F.struct(F.lit(k).alias("section"), F.json_array_length(F.get_json_object("document", at)).alias("entries"))
+            for k, at in arrays.items()
+        ]
+    )
+    return docs.select("path", F.explode(sizes).alias("s")).select("path", "s.section", "s.entries")
+
+
+def _document_entries(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        arrays = {
+            k: f"$.{k}.DATA.{p.data.columns[0].upper()}" if isinstance(p, Histogram) else f"$.{k}.{p.columns[0].upper()}"
+            for k, p in DOCUMENTS[name].items()
+        }
+        return _entries(document(name, *_live(spark, sf_dir)), arrays)
+
+    return run
+
+
+def _details_entries(domain: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        arrays = {k: f"$.{k}.{s.columns[0].upper()}" for k, s in DETAILS[domain][2].items()}
+        return _entries(concept_documents(domain, *_live(spark, sf_dir)), arrays)
+
+    return run
+
+
+_ENTRIES_SUMMARY = ("person", "observationperiod", "datadensity", "death")
+_ENTRIES_DETAIL = ("visit", "conditionera", "measurement")
+
+
 def _located_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Analysis 1508 by the way large inputs take: ranks located by bucket, cell and value."""
     tables = _cdm(spark, sf_dir)
@@ -218,6 +253,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out.update({f"rpt_{name}": _report_query(name) for name in REPORTS if name != "heel_messages"})
     out.update({f"doc_{name}": _document_query(name) for name in DOCUMENTS if name != "heel"})
     out.update({f"doc_{domain}_details": _details_query(domain) for domain in DETAILS})
+    out.update({f"entries_{name}": _document_entries(name) for name in _ENTRIES_SUMMARY})
+    out.update({f"entries_{domain}_details": _details_entries(domain) for domain in _ENTRIES_DETAIL})
     return out
 
 
@@ -231,4 +268,6 @@ def oracle_sql() -> dict[str, str]:
     out.update({name: sql for name, (_, sql) in _MANAGEMENT.items()})
     out.update({f"heel_{n:02d}": sql for n, sql in rule_sql().items()})
     out.update({f"rpt_{name}": sql for name, sql in report_sql().items() if name != "heel_messages"})
+    out.update({f"entries_{name}": summary_entries(name) for name in _ENTRIES_SUMMARY})
+    out.update({f"entries_{domain}_details": detail_entries(domain) for domain in _ENTRIES_DETAIL})
     return out
