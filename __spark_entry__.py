@@ -25,6 +25,11 @@ from popscan_checks.reports import report_sql
 from popscan_checks.rules import THIS_YEAR, rule_sql
 from popscan_checks.stored import with_results
 
+try:  # the operators for training data, where they are installed
+    from popscan.llm import queries as llm
+except ImportError:
+    llm = None
+
 _ROUNDED = ("avg_value", "stdev_value")
 
 
@@ -255,6 +260,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out.update({f"doc_{domain}_details": _details_query(domain) for domain in DETAILS})
     out.update({f"entries_{name}": _document_entries(name) for name in _ENTRIES_SUMMARY})
     out.update({f"entries_{domain}_details": _details_entries(domain) for domain in _ENTRIES_DETAIL})
+    if llm:
+        out.update(llm.queries())
     return out
 
 
@@ -270,4 +277,6 @@ def oracle_sql() -> dict[str, str]:
     out.update({f"rpt_{name}": sql for name, sql in report_sql().items() if name != "heel_messages"})
     out.update({f"entries_{name}": summary_entries(name) for name in _ENTRIES_SUMMARY})
     out.update({f"entries_{domain}_details": detail_entries(domain) for domain in _ENTRIES_DETAIL})
+    if llm:
+        out.update(llm.oracle_sql())
     return out
