@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from popscan.llm import block_anchors, chat_render, piece_agenda, quality_convnet, string_tiling, warc_zstd
+from popscan.llm import (
+    backoff_lm, block_anchors, chat_render, line_rules, line_templates, partenum, piece_agenda, quality_convnet, string_tiling, warc_zstd,
+)
 from popscan.llm.storage import fresh, stored
 
 PIECES = "piece_bpe_32k.model"
@@ -28,6 +30,19 @@ def op1_quality_convnet(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = line_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_removed_words",
+    )
+
+
+def op3_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_templates.drop_recurring(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op4_chat_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     probe = spark.range(2).select(
@@ -38,6 +53,11 @@ def op4_chat_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_render.read_back(chat_render.render(rows))
 
 
+def op5_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = backoff_lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return scored.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"))
+
+
 def op6_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh(spark, "archives")
     index = stored(warc_zstd.write_archives(warc_zstd.roles(table(spark, sf_dir, "pages")), folder), "archive-index")
@@ -50,6 +70,10 @@ def op7_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_anchors.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), 35)
 
 
+def op8_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), 4, 85)
+
+
 def op9_piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = piece_agenda.encode(documents, public_tokenizers.path(PIECES), digest=True)
@@ -66,10 +90,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
-            op1_quality_convnet, op4_chat_render, op6_warc_zstd, op7_block_anchors, op9_piece_agenda, op10_string_tiling,
+            op1_quality_convnet, op2_line_rules, op3_line_templates, op4_chat_render, op5_backoff_lm, op6_warc_zstd,
+            op7_block_anchors, op8_partenum, op9_piece_agenda, op10_string_tiling,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_line_rules": line_rules.ORACLE,
+        "op3_line_templates": line_templates.ORACLE,
+        "op5_backoff_lm": backoff_lm.ORACLE,
+    }
