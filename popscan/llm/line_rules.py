@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from popscan.llm.storage import stored
+
 WORD = r"[^\x20\x09-\x0D]+"  # fixed value: a word
 SYMBOLS = r"[#*$%&|<>]"  # fixed value: symbols counted
 SALT = 16
@@ -111,15 +113,18 @@ def judge(
         .groupBy("_row")
         .agg(F.sum("_k").alias("n_removed_words"), F.collect_set("_line").alias("_gone"))
     )
-    judged = base_columns(documents).withColumn("_row", F.xxhash64("doc_id", "text")).join(gone, "_row", "left")
+    base = base_columns(documents.select("text", F.xxhash64("doc_id", "text").alias("_row"))).drop("text").dropDuplicates(["_row"])
     removed = F.coalesce(F.col("n_removed_words"), F.lit(0).cast("long"))
-    judged = judged.withColumn("n_removed_words", removed)
+    judged = base.join(gone, "_row", "left").withColumn("n_removed_words", removed)
     enough = F.col("n_words") - F.col("n_removed_words") >= left * F.col("n_words")
+    # a table, so that a later filter is not pushed into the word-level expressions and has them computed twice over
+    verdicts = stored(judged.withColumn("kept", ~F.col("base_failed") & enough), "verdicts")
+    joined = documents.withColumn("_row", F.xxhash64("doc_id", "text")).join(verdicts, "_row")
     lines_left = F.filter(
         F.split("text", "\n"), lambda t: ~F.array_contains("_gone", F.xxhash64(normalised(t)))
     )
     kept_text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(lines_left, "\n"))
-    return judged.withColumns({"kept": ~F.col("base_failed") & enough, "kept_text": kept_text}).drop("_row", "_gone")
+    return joined.withColumn("kept_text", kept_text).drop("_row", "_gone")
 
 
 #: The query's rows in DuckDB, limits as :func:`judge` has them by default.

@@ -364,11 +364,27 @@ def link(documents: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataFrame
 
 
 def near_duplicates(documents: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every document."""
+    """``doc_id, id, n_shingles, component_id, first_id`` of every document.
+
+    ``id`` is the document's id, or a hash of its text where that is null; ``first_id`` the one of the component's
+    smallest document.
+    """
     member, links = link(documents, n, percent)
     labels = components(links).withColumnsRenamed({"node": "set_key", "component": "label"})
-    labelled = member.join(labels, "set_key", "left").withColumn("label", F.coalesce("label", "set_key"))
-    smallest = labelled.filter("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    joined = labelled.filter("n_shingles > 0").join(smallest, "label").select("doc_id", "n_shingles", "component_id")
-    alone = member.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    full = member.filter("n_shingles > 0").join(labels, "set_key", "left")
+    full = full.withColumn("label", F.coalesce("label", "set_key"))
+    order = F.struct(F.col("doc_id").isNull().alias("lost"), F.col("doc_id").alias("doc_id"), F.col("id").alias("id"))
+    smallest = full.groupBy("label").agg(F.min(order).alias("_s"))
+    smallest = smallest.select("label", F.col("_s.doc_id").alias("component_id"), F.col("_s.id").alias("first_id"))
+    joined = full.join(smallest, "label").select("doc_id", "id", "n_shingles", "component_id", "first_id")
+    alone = member.filter("n_shingles = 0").select(
+        "doc_id", "id", "n_shingles", F.col("doc_id").alias("component_id"), F.col("id").alias("first_id")
+    )
     return joined.unionByName(alone)
+
+
+def representatives(documents: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
+    """``documents`` without all but the first of each group: the smallest id; rows that repeat stay once."""
+    first = near_duplicates(documents, n, percent).filter("id = first_id").select(F.col("id").alias("_id")).distinct()
+    keyed = documents.withColumn("_id", _ident()).withColumn("_text", F.xxhash64("text"))
+    return keyed.join(first, "_id", "left_semi").dropDuplicates(["_id", "_text"]).drop("_id", "_text")

@@ -71,7 +71,8 @@ def op7_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return partenum.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), 4, 85)
+    groups = partenum.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), 4, 85)
+    return groups.select("doc_id", "n_shingles", "component_id")
 
 
 def op9_piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
