@@ -26,9 +26,10 @@ from popscan_checks.rules import THIS_YEAR, rule_sql
 from popscan_checks.stored import with_results
 
 try:  # the operators for training data, where they are installed
+    import corpus_pipeline
     from popscan.llm import queries as llm
 except ImportError:
-    llm = None
+    llm = corpus_pipeline = None
 
 _ROUNDED = ("avg_value", "stdev_value")
 
@@ -262,6 +263,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out.update({f"entries_{domain}_details": _details_entries(domain) for domain in _ENTRIES_DETAIL})
     if llm:
         out.update(llm.queries())
+        out["pipeline"] = corpus_pipeline.run
     return out
 
 
