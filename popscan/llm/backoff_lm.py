@@ -154,7 +154,7 @@ def _score(order: int, lay: Layout, n_words: int, min_count: int, alpha: float):
                     steps = np.minimum(order, place[last] + 1) - n
                     logs[last] = np.log(ratio) + steps * np.log(alpha)
                     done[last] = True
-                sums = np.bincount(w.doc, logs, minlength=len(ids))
+                sums = np.bincount(w.doc, logs, minlength=len(ids)).astype(float)  # without words it counts integers
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()), pa.array(w.counts.astype(np.int64)), pa.array(sums)],
                     names=["doc_id", "n_words", "log_score"],
