@@ -196,7 +196,7 @@ def _candidates(n: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(want[lo + same]), pa.array(sets.size[same].astype(np.int64)),
-                        pa.array([vectors[i].tobytes() for i in same.tolist()], pa.binary()),
+                        pa.array(vectors[same].tolist(), pa.list_(pa.int64())),
                         batch.column("text").take(pa.array(lo + same)),
                     ],
                     names=["set_key", "n", "parity", "text"],
@@ -220,7 +220,7 @@ def _propose(percent: int, everything: bool):
         label = np.asarray(table.column("label"))
         part = np.asarray(table.column("part"))
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        odd = np.frombuffer(b"".join(table.column("parity").to_pylist()), "<u8").reshape(len(key), -1)
+        odd = np.asarray(table.column("parity").combine_chunks().flatten()).astype(np.uint64).reshape(len(key), -1)
         a: list[np.ndarray] = []
         b: list[np.ndarray] = []
         rows = np.flatnonzero(part == i)
@@ -329,21 +329,29 @@ def link(documents: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataFrame
         .filter("_n > 1")
         .groupBy("_n", "_h")  # signatures of the same sets need one look
         .agg(F.min("sig").alias("sig"))
-        .select("sig", F.ceil(F.col("_n") / GROUP_BLOCK).cast("int").alias("parts"))
+        .select("sig", F.col("_n").alias("members"), F.ceil(F.col("_n") / GROUP_BLOCK).cast("int").alias("parts"))
     )
     groups = stored(keyed.join(groups, "sig"), "groups")
     classes = groups.select("set_key").distinct()
     first = member.join(classes, "set_key").groupBy("set_key").agg(F.min("id").alias("id"))
     candidates = stored(
         docs.select("id", "text").join(first, "id").select("set_key", "text").mapInArrow(
-            _candidates(n), "set_key long, n long, parity binary, text string"
+            _candidates(n), "set_key long, n long, parity array<long>, text string"
         ),
         "candidates",
     )
+    vectors = candidates.select("set_key", "n", "parity").dropDuplicates(["set_key"])
+    two = groups.filter("members = 2").groupBy("sig").agg(F.min("set_key").alias("a"), F.max("set_key").alias("b"))
+    for side in ("a", "b"):
+        two = two.join(vectors.select(F.col("set_key").alias(side), F.col("n").alias(f"n_{side}"), F.col("parity").alias(f"p_{side}")), side)
+    apart = F.aggregate(
+        F.zip_with("p_a", "p_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x
+    )
+    two = two.filter((100 + percent) * apart <= (100 - percent) * (F.col("n_a") + F.col("n_b"))).select("a", "b")
     part = F.pmod(F.xxhash64("set_key"), F.col("parts")).cast("int")
-    laid = groups.withColumn("part", part).withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    laid = groups.filter("members > 2").withColumn("part", part).withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     laid = laid.select("sig", "set_key", "part", F.least("part", "_o").alias("i"), F.greatest("part", "_o").alias("j"))
-    laid = laid.join(candidates.select("set_key", "n", "parity").dropDuplicates(["set_key"]), "set_key")
+    laid = laid.join(vectors, "set_key")
     links = None
     for everything in (False, False, True):
         if links is None:
@@ -353,7 +361,8 @@ def link(documents: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataFrame
             labelled = laid.join(labels, "set_key", "left").withColumn("label", F.coalesce("label", "set_key"))
             open_ = labelled.groupBy("sig").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).filter("_a < _b")
             labelled = labelled.join(open_.select("sig"), "sig")
-        pairs = labelled.groupBy("sig", "i", "j").applyInArrow(_propose(percent, everything), "a long, b long").distinct()
+        pairs = labelled.groupBy("sig", "i", "j").applyInArrow(_propose(percent, everything), "a long, b long")
+        pairs = (pairs.union(two) if links is None else pairs).distinct()
         left = candidates.select(F.col("set_key").alias("a"), F.col("text").alias("text_a"))
         right = candidates.select(F.col("set_key").alias("b"), F.col("text").alias("text_b"))
         found = stored(pairs.join(left, "a").join(right, "b").mapInArrow(_linked(n, percent), "a long, b long"), "links")
