@@ -129,13 +129,13 @@ _ENTRIES_DETAIL = ("visit", "conditionera", "measurement")
 
 
 def _located_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Analysis 1508 by the way large inputs take: ranks located by bucket, cell and value."""
+    """Analysis 1508 from the operator alone: ranks located by bucket and value."""
     tables = _cdm(spark, sf_dir)
     costs = tables["drug_cost"].select("drug_exposure_id", "total_paid")
     mapped = tables["drug_exposure"].filter("drug_concept_id <> 0").select("drug_exposure_id", "drug_concept_id")
     df = distribution(
         costs.join(mapped, "drug_exposure_id").filter("total_paid IS NOT NULL"),
-        ["drug_concept_id"], "total_paid", bounded=False, window_bytes=0,
+        ["drug_concept_id"], "total_paid", bounded=False,
     )
     number = F.lit(1508).cast("int").alias("analysis_id")
     return _rounded(df.select(number, F.col("drug_concept_id").cast("string").alias("stratum_1"), *df.columns[1:]))

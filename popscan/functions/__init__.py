@@ -4,7 +4,6 @@ from popscan.functions.exprs import (
     age_decile,
     decile_label,
     first_of_month,
-    input_bytes,
     month_index,
     month_key,
     month_key_of_index,
@@ -15,7 +14,6 @@ __all__ = [
     "age_decile",
     "decile_label",
     "first_of_month",
-    "input_bytes",
     "month_index",
     "month_key",
     "month_key_of_index",

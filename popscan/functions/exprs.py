@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -43,19 +43,3 @@ def ratio(numerator: Column, denominator: Column, scale: int = 1, digits: int |
     if scale != 1:
         value = F.lit(float(scale)) * value
     return value if digits is None else F.round(value, digits)
-
-
-def input_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size of the files a frame reads, summed over its scans.
-
-    No job runs. Returns ``None`` when the plan cannot be inspected (for
-    instance over Spark Connect); callers then take the path without a bound.
-    """
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        total = 0
-        for i in range(leaves.size()):
-            total += int(str(leaves.apply(i).stats().sizeInBytes()))
-        return total
-    except Exception:  # noqa: BLE001 - any failure means "unknown size"
-        return None

@@ -10,10 +10,15 @@ Both quantile rules read the value at a rank:
 Rows are never ranked. They are reduced to a histogram (stratum, value, n)
 with map-side combine, and ranks are read off its running sum. For values from
 a small range (ages, days, counts) one stratum's histogram is small. For free
-numbers (costs, lab values) it is not bounded, so above a size limit the rank
-is located step by step: order-keeping buckets, then cells within the bucket
-that holds the rank, then values within that cell. No task then sees more than
-one cell's values, however large the stratum. Both ways are exact.
+numbers (costs, lab values) it is not bounded, so ranks are located in two
+steps, at any size of the input: order-keeping buckets, then the values of the
+buckets that hold a rank. No task then sees more than one bucket's values,
+however large the stratum.
+
+NaN sorts behind infinity and before NULL, counts in N like any value, and is
+the largest value where it occurs. Mean and deviation follow IEEE arithmetic:
+NaN with a NaN value; with an infinite one the mean is infinite (NaN for both
+signs) and the deviation NaN.
 """
 
 from __future__ import annotations
@@ -25,8 +30,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from popscan.functions import input_bytes
-
 QUANTILES = (10, 25, 50, 75, 90)
 NAMES = {10: "p10_value", 25: "p25_value", 50: "median_value", 75: "p75_value", 90: "p90_value"}
 STATISTICS = (
@@ -35,13 +38,10 @@ STATISTICS = (
 )
 SENTINEL = -9999.0  # fixed value: legacy quantile without a qualifying row
 
-# Inputs up to this many bytes use one window per stratum even for free numbers.
-WINDOW_BYTES = 256 * 1024 * 1024
-WINDOW_BYTES_CONF = "popscan.dist.windowBytes"
-
 _LOG_STEPS = 512.0  # buckets per e-fold
 _LOG_SCALE = 1024.0  # values below 1/1024 share buckets
-_CELLS = 4096
+_LARGE = 1e300  # finite values beyond it share buckets
+_INFINITE = 1 << 29  # bucket of infinity; NaN has the next one
 
 
 def _int_rank(q: int, total: str, legacy: bool) -> Column:
@@ -109,8 +109,13 @@ def _from_window(hist: DataFrame, strata: Sequence[str], legacy: bool) -> DataFr
 
 
 def _bucket(v: Column) -> Column:
-    """An order-keeping bucket number: even steps of the logarithm, sign kept."""
-    return (F.signum(v) * F.lit(_LOG_STEPS) * F.log1p(F.abs(v) * F.lit(_LOG_SCALE))).cast("int")
+    """An order-keeping bucket number: even steps of the logarithm, sign kept; infinities and NaN have their own."""
+    size = F.least(F.abs(v), F.lit(_LARGE))
+    return (
+        F.when(F.isnan(v), F.lit(_INFINITE + 1))
+        .when(F.abs(v) == float("inf"), F.signum(v).cast("int") * _INFINITE)
+        .otherwise((F.signum(v) * F.lit(_LOG_STEPS) * F.log1p(size * F.lit(_LOG_SCALE))).cast("int"))
+    )
 
 
 def _located(ranges: DataFrame, ranks: Column) -> DataFrame:
@@ -126,10 +131,13 @@ def _located(ranges: DataFrame, ranks: Column) -> DataFrame:
 
 
 def _from_buckets(hist: DataFrame, strata: Sequence[str], legacy: bool) -> DataFrame:
-    """Locate each rank by bucket, cell and value; see the module text."""
+    """Locate each rank by bucket and value; see the module text."""
     hist = hist.withColumn("b", _bucket(F.col("v")))
     # deviations from a fixed point in the bucket stay accurate for large values
-    point = F.signum(F.col("b")) * F.expm1(F.abs(F.col("b")) / F.lit(_LOG_STEPS)) / F.lit(_LOG_SCALE)
+    finite = F.abs(F.col("b")) < _INFINITE
+    point = F.when(
+        finite, F.signum(F.col("b")) * F.expm1(F.abs(F.col("b")) / F.lit(_LOG_STEPS)) / F.lit(_LOG_SCALE)
+    ).otherwise(F.when(F.col("b").isNotNull(), 0.0))
     off = F.col("v") - point
     known = F.when(F.col("v").isNotNull(), F.col("n")).otherwise(0)
     buckets = hist.groupBy(*strata, "b").agg(
@@ -162,39 +170,15 @@ def _from_buckets(hist: DataFrame, strata: Sequence[str], legacy: bool) -> DataF
     ranks = F.array(
         *[F.struct(F.lit(q).alias("q"), _int_rank(q, "total", legacy).alias("rank")) for q in QUANTILES]
     )
-    in_bucket = _located(
-        buckets.filter(F.col("b").isNotNull()).select(*strata, "b", "low", "high", "n", "cum", "total"), ranks
-    ).drop("total")
+    in_bucket = _located(buckets.filter(F.col("b").isNotNull()).select(*strata, "b", "n", "cum", "total"), ranks)
 
     keys = [*strata, "b"]
-    picked = in_bucket.select(*keys, "low", "high").distinct()
-    width = F.col("p.high") - F.col("p.low")
-    cell = F.when(width > 0, F.floor((F.col("h.v") - F.col("p.low")) / width * _CELLS)).otherwise(0)
-    values = (
-        hist.alias("h")
-        .join(picked.alias("p"), _same(keys, "h", "p"))
-        .select(*[F.col(f"h.{k}") for k in keys], cell.cast("int").alias("c"), "h.v", "h.n")
-    )
-    cells = values.groupBy(*keys, "c").agg(F.sum("n").alias("n"))
-    cells = cells.withColumn(
-        "cum",
-        F.sum("n").over(W.partitionBy(*keys).orderBy("c").rowsBetween(W.unboundedPreceding, W.currentRow)),
-    )
     wanted = in_bucket.groupBy(*keys).agg(
         F.collect_list(F.struct("q", F.col("rest").alias("rank"))).alias("ranks")  # at most five
     )
-    in_cell = _located(
-        cells.alias("h")
-        .join(wanted.alias("p"), _same(keys, "h", "p"))
-        .select(*[F.col(f"h.{k}") for k in keys], "h.c", "h.n", "h.cum", "p.ranks"),
-        F.col("ranks"),
-    ).drop("ranks")
-
-    keys = [*strata, "b", "c"]
-    final = in_cell.groupBy(*keys).agg(F.collect_list(F.struct("q", F.col("rest").alias("rank"))).alias("ranks"))
     in_reach = (
-        values.alias("h")
-        .join(final.alias("p"), _same(keys, "h", "p"))
+        hist.alias("h")
+        .join(wanted.alias("p"), _same(keys, "h", "p"))
         .select(*[F.col(f"h.{k}") for k in keys], "h.v", "h.n", "p.ranks")
     )
     running = W.partitionBy(*keys).orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -221,28 +205,19 @@ def distribution(
     weight: str | None = None,
     legacy: bool = False,
     bounded: bool = True,
-    window_bytes: int | None = None,
 ) -> DataFrame:
     """``strata, count_value`` and the statistics of ``value``.
 
     ``bounded`` states that the values come from a small range, so that a
-    stratum's histogram fits a task. Otherwise the size of the input decides:
-    up to ``window_bytes`` one window per stratum, beyond it the step-by-step
-    location. NULL strata are dropped under the cumulative rule and kept under
-    the legacy rule; the legacy count leaves NULL values out.
+    stratum's histogram fits a task; otherwise ranks are located by buckets.
+    NULL strata are dropped under the cumulative rule and kept under the legacy
+    rule; the legacy count leaves NULL values out.
     """
     if not legacy:
         for s in strata:
             df = df.filter(F.col(s).isNotNull())
     hist = histogram(df, strata, value, weight)
-    if bounded:
-        small = True
-    else:
-        if window_bytes is None:
-            window_bytes = int(df.sparkSession.conf.get(WINDOW_BYTES_CONF, str(WINDOW_BYTES)))
-        size = input_bytes(df)
-        small = size is not None and size <= window_bytes
-    stats = _from_window(hist, strata, legacy) if small else _from_buckets(hist, strata, legacy)
+    stats = _from_window(hist, strata, legacy) if bounded else _from_buckets(hist, strata, legacy)
     if not strata and not legacy:
         stats = stats.filter(F.col("total") > 0)
     deviation = F.when(F.col("known") > 1, F.sqrt(F.greatest(F.col("dev"), F.lit(0.0)) / (F.col("known") - 1)))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from popscan import heel, schemas
 from popscan.analyses.domains import FROM_EVENTS
-from popscan.catalogue import DIST, RESULTS, analyses, analysis_catalogue, frames
+from popscan.catalogue import BOTH, DIST, RESULTS, analyses, analysis_catalogue, frames
 from popscan.cdm import Cdm
 from popscan.results import SMALL_CELL_COUNT, StoredResults, suppress_small_cells, write_results
 
@@ -95,10 +95,11 @@ def run_analyses(
             parts = [df for k, df in built if k == kind]
             if not parts:
                 continue
+            asked = [i for i in batch if analyses(cdm.version)[i].kind in (kind, BOTH)]
             df = reduce(DataFrame.unionByName, parts)
             if small_cell_count is not None:
                 df = suppress_small_cells(df, small_cell_count)
-            write_results(df, f"{output}/{kind}", fresh[kind])
+            write_results(df, f"{output}/{kind}", fresh[kind], asked)
             fresh[kind] = False
     for kind, empty in fresh.items():
         if empty:  # keep both tables readable even if nothing of a kind was asked for

@@ -77,22 +77,34 @@ class FrameResults(ResultSet):
 
 
 class StoredResults(FrameResults):
-    """Results written by ``run_analyses``; ids prune partitions."""
+    """Results written by ``run_analyses``; ids prune partitions, markers of reruns are left out."""
 
     def __init__(self, spark: SparkSession, path: str):
         super().__init__(
-            spark.read.schema(schemas.RESULTS).parquet(f"{path}/{RESULTS}"),
-            spark.read.schema(schemas.RESULTS_DIST).parquet(f"{path}/{DIST}"),
+            spark.read.schema(schemas.RESULTS).parquet(f"{path}/{RESULTS}").filter("count_value IS NOT NULL"),
+            spark.read.schema(schemas.RESULTS_DIST).parquet(f"{path}/{DIST}").filter("count_value IS NOT NULL"),
         )
 
 
-def write_results(df: DataFrame, path: str, create: bool) -> None:
+def write_results(df: DataFrame, path: str, create: bool, ids: Iterable[int] = ()) -> None:
     """Write long results partitioned by analysis.
 
     ``create`` replaces whatever is there. Otherwise the partitions of the
-    analyses in ``df`` are replaced and all others kept, so an interrupted or
-    repeated run can simply be run again.
+    analyses in ``df`` and ``ids`` are replaced and all others kept, so an
+    interrupted or repeated run can simply be run again. Only partitions that
+    get a row are replaced, so each of ``ids`` gets a marker: a row without a
+    count, which readers leave out.
     """
+    if ids and not create:
+        marked = df.sparkSession.createDataFrame([(i,) for i in ids], "analysis_id int")
+        df = df.unionByName(
+            marked.select(
+                *[
+                    F.col("analysis_id").cast(f.dataType) if f.name == "analysis_id" else F.lit(None).cast(f.dataType).alias(f.name)
+                    for f in df.schema
+                ]
+            )
+        )
     # rebalance: no tiny files for small analyses, no single writer for a large one
     (
         df.hint("rebalance", "analysis_id")

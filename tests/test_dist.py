@@ -77,8 +77,8 @@ def test_null_values_count_but_do_not_rank(spark):
 
 
 @pytest.mark.parametrize("legacy", [False, True])
-@pytest.mark.parametrize("window_bytes", [0, 1 << 40])
-def test_both_ways_match_brute_force(spark, legacy, window_bytes):
+@pytest.mark.parametrize("bounded", [False, True])
+def test_both_ways_match_brute_force(spark, legacy, bounded):
     rng = random.Random(7)
     groups = {
         "hot": [rng.lognormvariate(3, 2) for _ in range(900)],
@@ -93,7 +93,7 @@ def test_both_ways_match_brute_force(spark, legacy, window_bytes):
     rows = [(g, v) for g, vs in groups.items() for v in vs]
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "g string, v double").repartition(5)
-    got = distribution(df, ["g"], "v", legacy=legacy, bounded=False, window_bytes=window_bytes)
+    got = distribution(df, ["g"], "v", legacy=legacy, bounded=bounded)
     for row in got.collect():
         values = groups[row.g]
         known = [v for v in values if v is not None]
@@ -110,6 +110,35 @@ def test_both_ways_match_brute_force(spark, legacy, window_bytes):
     assert got.count() == len(groups)
 
 
+@pytest.mark.parametrize("bounded", [False, True])
+def test_values_that_are_not_finite(spark, bounded):
+    inf, nan = math.inf, math.nan
+    groups = {
+        "nan": [1.0, 2.0, nan], "inf": [1.0, 2.0, 3.0, inf], "both": [-inf, 0.0, 5.0, inf, None],
+        "huge": [1.7e308, -1.7e308, 1e-320, 3.0, 1.6e308],
+    }
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "g string, v double")
+    got = {r.g: r for r in distribution(df, ["g"], "v", bounded=bounded).collect()}
+    assert [got["nan"][NAMES[q]] for q in (10, 25, 50)] == [1, 1, 2]
+    assert math.isnan(got["nan"].p90_value) and math.isnan(got["nan"].max_value) and math.isnan(got["nan"].avg_value)
+    assert got["nan"].count_value == 3 and math.isnan(got["nan"].stdev_value)
+    assert (got["inf"].median_value, got["inf"].p90_value, got["inf"].avg_value) == (2.0, inf, inf)
+    assert math.isnan(got["inf"].stdev_value)
+    assert (got["both"].min_value, got["both"].median_value, got["both"].count_value) == (-inf, 5.0, 5)
+    assert math.isnan(got["both"].avg_value)
+    assert [got["huge"][NAMES[q]] for q in QUANTILES] == [-1.7e308, 1e-320, 3.0, 1.6e308, 1.7e308]
+
+
+def test_located_ranks_plan_at_most_ten_exchanges(spark, capsys):
+    df = spark.range(50).selectExpr("id % 3 AS g", "rand(1) * 100 AS v")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        distribution(df, ["g"], "v", bounded=False).explain()
+        assert capsys.readouterr().out.count(" Exchange hashpartitioning") <= 10
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_quantiles_are_ordered(derived):
     from popscan.catalogue import analyses
 

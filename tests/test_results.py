@@ -51,6 +51,15 @@ def test_rerun_replaces_only_its_analyses(spark, derived, tmp_path):
     assert StoredResults(spark, out).counts(1, 2).count() == 0
 
 
+def test_rerun_that_finds_nothing_leaves_nothing(spark, derived, tmp_path):
+    out = str(tmp_path)
+    run_analyses(spark, derived, out, ids=[1, 2, 103], small_cell_count=None, with_heel=False)
+    run_analyses(spark, derived, out, ids=[2, 103], small_cell_count=1 << 40, create=False, with_heel=False)
+    results = StoredResults(spark, out)
+    assert results.counts(2).count() == 0 and results.dist(103).count() == 0
+    assert results.counts(1).count() == 1
+
+
 def test_run_with_heel_and_unknown_ids(spark, derived, tmp_path):
     run_analyses(spark, derived, str(tmp_path), ids=[7, 8], this_year=2020)
     heel = spark.read.parquet(f"{tmp_path}/heel")
