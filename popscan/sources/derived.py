@@ -78,17 +78,19 @@ FROM (
   FROM {orders}
 ) AS o"""
 
-# one row per (order, line number); the driver's pairs repeat
-DERIVED["order_line"] = """
-SELECT l.l_orderkey * 10 + l.l_linenumber AS line_id, l.l_orderkey, l.l_linenumber, o.o_custkey,
-  l.partkey, l.suppkey, l.quantity, l.price, l.discount, l.tax, l.shipdate, l.returnflag
+_LINE = ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate", "l_returnflag", "l_linestatus")
+
+# every order line, one to one: the driver's pairs of order and line number repeat a few times, so the rank among equal
+# pairs by all other columns completes the id; rows that agree in everything may swap ranks, which changes nothing
+DERIVED["order_line"] = f"""
+SELECT (l.l_orderkey * 10 + l.l_linenumber) * 1009 + l.nth AS line_id, l.l_orderkey, l.l_linenumber, o.o_custkey,
+  l.l_partkey AS partkey, l.l_suppkey AS suppkey, l.l_quantity AS quantity, l.l_extendedprice AS price,
+  l.l_discount AS discount, l.l_tax AS tax, CAST(l.l_shipdate AS date) AS shipdate
 FROM (
-  SELECT l_orderkey, l_linenumber, min(l_partkey) AS partkey, min(l_suppkey) AS suppkey,
-    max(l_quantity) AS quantity, max(l_extendedprice) AS price, max(l_discount) AS discount,
-    max(l_tax) AS tax, min(CAST(l_shipdate AS date)) AS shipdate, min(l_returnflag) AS returnflag
-  FROM {lineitem}
-  GROUP BY l_orderkey, l_linenumber
-) AS l JOIN {orders} AS o ON l.l_orderkey = o.o_orderkey"""
+  SELECT *, row_number() OVER (
+    PARTITION BY l_orderkey, l_linenumber ORDER BY {", ".join(f"{c} NULLS FIRST" for c in _LINE)}) - 1 AS nth
+  FROM {{lineitem}}
+) AS l JOIN {{orders}} AS o ON l.l_orderkey = o.o_orderkey"""
 
 DERIVED["drug_exposure"] = """
 SELECT line_id AS drug_exposure_id,
@@ -116,8 +118,7 @@ SELECT line_id AS procedure_occurrence_id,
     AS procedure_type_concept_id,
   CASE WHEN line_id % 103 = 0 THEN 9998 ELSE suppkey % 13 END AS provider_id,
   CASE WHEN line_id % 71 = 0 THEN -1 ELSE l_orderkey END AS visit_occurrence_id
-FROM {order_line}
-WHERE returnflag = 'R'"""
+FROM {order_line}"""
 
 _EVENT_RANK = (
     "CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3 "
@@ -268,8 +269,7 @@ SELECT line_id AS procedure_cost_id,
   CAST(CASE WHEN line_id % 6 = 0 THEN NULL ELSE 38001000 + partkey % 5 END AS int)
     AS disease_class_concept_id,
   CASE WHEN line_id % 3 = 0 THEN NULL ELSE o_custkey * 10 + 2 END AS payer_plan_period_id
-FROM {{order_line}}
-WHERE returnflag = 'R'"""
+FROM {{order_line}}"""
 
 DERIVED["cohort"] = """
 SELECT CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 1 WHEN 'BUILDING' THEN 2 WHEN 'FURNITURE' THEN 3

@@ -2,10 +2,14 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
+from conftest import SF
 from popscan import schemas
 from popscan.catalogue import analyses, analysis_catalogue
 from popscan.operators import inverted_dates
 from popscan.sources import adapt_v4, load_cdm, normalise_dates, validate_schema
+from popscan.sources.derived import DerivedTables
 
 
 def test_text_dates(spark):
@@ -63,3 +67,13 @@ def test_catalogue(spark):
     assert set(analyses("v4")) & {816, 817, 818, 1300, 1609} == {816, 817, 818, 1300, 1609}
     assert not set(analyses("v5")) & {816, 817, 818, 1300, 1609}
     assert not set(analyses("v4")) & set(range(1800, 1821))
+
+
+def test_every_order_line_reaches_the_clinical_tables(spark):
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").join(
+        spark.read.parquet(f"{SF}/orders.parquet"), F.col("l_orderkey") == F.col("o_orderkey")
+    )
+    n, derived = lines.count(), DerivedTables(spark, SF)
+    for table in ("drug_exposure", "procedure_occurrence", "drug_cost", "procedure_cost"):
+        ids = derived[table].select(F.col(derived[table].columns[0]).alias("id"))
+        assert (ids.count(), ids.distinct().count()) == (n, n)
