@@ -37,3 +37,19 @@ def components(links: DataFrame) -> DataFrame:
         labels = after.select("node", "component")
         if after.filter("was <> component").isEmpty():
             return labels
+
+
+def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``labels`` of :func:`components` after more ``links``: only components that a link joins are looked at again."""
+    if labels is None:
+        return components(links)
+    if links.isEmpty():
+        return labels
+    of_a, of_b = (labels.withColumnsRenamed({"node": c, "component": f"_{c}"}) for c in ("a", "b"))
+    ends = links.join(of_a, "a", "left").join(of_b, "b", "left")
+    ends = stored(ends.select("a", "b", F.coalesce("_a", "a").alias("_a"), F.coalesce("_b", "b").alias("_b")), "ends")
+    joined = components(ends.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
+    joined = joined.withColumnsRenamed({"component": "_root", "node": "component"})
+    nodes = labels.union(ends.select("a", "_a")).union(ends.select("b", "_b")).distinct()
+    after = nodes.join(joined, "component", "left").select("node", F.coalesce("_root", "component").alias("component"))
+    return stored(after, "labels")

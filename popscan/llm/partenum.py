@@ -11,8 +11,8 @@ rare (under one in ten million); they are held against all documents in blocks i
 Equal sets are one class, found by a 64-bit key of the set before anything is paired. Sets that share a signature are
 candidates: the most connected one of each signature's sets is paired with the others first; then only sets that are
 still in different components are paired with each other, and pairs whose parity vectors prove them too different are
-left out. Every remaining pair is verified on the texts themselves. Components come from the links by repeated
-large-star and small-star steps over tables.
+left out. Every remaining pair is verified on the texts themselves. Components come from the links by passing
+smallest labels on, over tables; later links only merge components found before.
 
 Defined results: texts that are null or have no word have the empty set and link with nothing (each its own
 component); repeated rows link like any equal texts, and each keeps its row; a null id never is a component's smallest
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from popscan.llm.components import components
+from popscan.llm.components import merged
 from popscan.llm.storage import stored
 from popscan.llm.textual import mix, raw, sliced_words, words_of
 
@@ -312,10 +312,7 @@ def _short_links(docs: DataFrame, member: DataFrame, n: int, percent: int, block
 
 
 def link(documents: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
-    """``doc_id, id, set_key, n_shingles, short`` of every document, and links ``a, b`` between set keys.
-
-    The links connect whatever linked sets connect; a link between two sets that are connected already may be absent.
-    """
+    """``doc_id, id, set_key, n_shingles, short`` of every document, and ``node, component`` of every linked set key."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), _ident().alias("id"), "text")
     member = stored(
         docs.mapInArrow(_members(n, percent), "doc_id long, id long, set_key long, n_shingles long, short boolean"), "sets"
@@ -352,24 +349,24 @@ def link(documents: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataFrame
     laid = groups.filter("members > 2").withColumn("part", part).withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     laid = laid.select("sig", "set_key", "part", F.least("part", "_o").alias("i"), F.greatest("part", "_o").alias("j"))
     laid = laid.join(vectors, "set_key")
-    links = None
+    labels = None
     for everything in (False, False, True):
-        if links is None:
+        if labels is None:
             labelled = laid.withColumn("label", F.col("set_key"))
         else:
-            labels = components(links).withColumnsRenamed({"node": "set_key", "component": "label"})
-            labelled = laid.join(labels, "set_key", "left").withColumn("label", F.coalesce("label", "set_key"))
+            known = labels.withColumnsRenamed({"node": "set_key", "component": "label"})
+            labelled = laid.join(known, "set_key", "left").withColumn("label", F.coalesce("label", "set_key"))
             open_ = labelled.groupBy("sig").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).filter("_a < _b")
             labelled = labelled.join(open_.select("sig"), "sig")
         pairs = labelled.groupBy("sig", "i", "j").applyInArrow(_propose(percent, everything), "a long, b long")
-        pairs = (pairs.union(two) if links is None else pairs).distinct()
+        pairs = (pairs.union(two) if labels is None else pairs).distinct()
         left = candidates.select(F.col("set_key").alias("a"), F.col("text").alias("text_a"))
         right = candidates.select(F.col("set_key").alias("b"), F.col("text").alias("text_b"))
         found = stored(pairs.join(left, "a").join(right, "b").mapInArrow(_linked(n, percent), "a long, b long"), "links")
-        links = found if links is None else links.union(found)
+        labels = merged(labels, found)
     for found in _short_links(docs, member, n, percent):
-        links = links.union(stored(found, "links"))
-    return member, links
+        labels = merged(labels, stored(found, "links"))
+    return member, labels
 
 
 def near_duplicates(documents: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
@@ -378,8 +375,8 @@ def near_duplicates(documents: DataFrame, n: int = 4, percent: int = 85) -> Data
     ``id`` is the document's id, or a hash of its text where that is null; ``first_id`` the one of the component's
     smallest document.
     """
-    member, links = link(documents, n, percent)
-    labels = components(links).withColumnsRenamed({"node": "set_key", "component": "label"})
+    member, labels = link(documents, n, percent)
+    labels = labels.withColumnsRenamed({"node": "set_key", "component": "label"})
     full = member.filter("n_shingles > 0").join(labels, "set_key", "left")
     full = full.withColumn("label", F.coalesce("label", "set_key"))
     order = F.struct(F.col("doc_id").isNull().alias("lost"), F.col("doc_id").alias("doc_id"), F.col("id").alias("id"))

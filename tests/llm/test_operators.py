@@ -26,6 +26,7 @@ from popscan.llm import (
     textual,
     warc_zstd,
 )
+from popscan.llm.components import merged
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, keys string, bucket int, key long, a long"
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -342,3 +343,22 @@ def test_recurring_templates(spark):
     copies = line_templates.drop_recurring(documents(spark, [texts[0]] * 30)).collect()
     assert all(r.n_dropped == 0 for r in copies)
     assert line_templates.drop_recurring(documents(spark, [])).collect() == []
+
+
+def test_links_that_come_later_merge_components(spark):
+    rng = random.Random(5)
+    given = [[(rng.randrange(60), rng.randrange(60)) for _ in range(k)] for k in (25, 1, 12)]
+    labels, root = None, {}
+
+    def top(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for links in ([*given[0]], [], given[1], [(7, 7), (99, 99)], given[2]):
+        labels = merged(labels, spark.createDataFrame(links, "a long, b long"))
+        for a, b in links:
+            low, high = sorted((top(a), top(b)))
+            root[high] = low
+        linked = {r.node: r.component for r in labels.collect()}
+        assert linked == {x: top(x) for x in linked} and {x for x in root if top(x) != x} <= set(linked)
