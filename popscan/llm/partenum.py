@@ -330,7 +330,7 @@ def link(documents: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataFrame
     )
     groups = stored(keyed.join(groups, "sig"), "groups")
     classes = groups.select("set_key").distinct()
-    first = member.join(classes, "set_key").groupBy("set_key").agg(F.min("id").alias("id"))
+    first = member.groupBy("set_key").agg(F.min("id").alias("id")).join(classes, "set_key")
     candidates = stored(
         docs.select("id", "text").join(first, "id").select("set_key", "text").mapInArrow(
             _candidates(n), "set_key long, n long, parity array<long>, text string"
@@ -377,12 +377,15 @@ def near_duplicates(documents: DataFrame, n: int = 4, percent: int = 85) -> Data
     """
     member, labels = link(documents, n, percent)
     labels = labels.withColumnsRenamed({"node": "set_key", "component": "label"})
-    full = member.filter("n_shingles > 0").join(labels, "set_key", "left")
-    full = full.withColumn("label", F.coalesce("label", "set_key"))
+    full = member.filter("n_shingles > 0")
     order = F.struct(F.col("doc_id").isNull().alias("lost"), F.col("doc_id").alias("doc_id"), F.col("id").alias("id"))
-    smallest = full.groupBy("label").agg(F.min(order).alias("_s"))
-    smallest = smallest.select("label", F.col("_s.doc_id").alias("component_id"), F.col("_s.id").alias("first_id"))
-    joined = full.join(smallest, "label").select("doc_id", "id", "n_shingles", "component_id", "first_id")
+    classes = full.groupBy("set_key").agg(F.min(order).alias("_o")).join(labels, "set_key", "left")
+    classes = classes.withColumn("label", F.coalesce("label", "set_key"))
+    smallest = classes.groupBy("label").agg(F.min("_o").alias("_s"))
+    named = classes.join(smallest, "label").select(
+        "set_key", F.col("_s.doc_id").alias("component_id"), F.col("_s.id").alias("first_id")
+    )
+    joined = full.join(named, "set_key").select("doc_id", "id", "n_shingles", "component_id", "first_id")
     alone = member.filter("n_shingles = 0").select(
         "doc_id", "id", "n_shingles", F.col("doc_id").alias("component_id"), F.col("id").alias("first_id")
     )
