@@ -1,4 +1,5 @@
-"""Headline timings: ``BENCH_SF_DIR`` (data), ``BENCH_CPUS`` (cores), ``BENCH_RUNS`` (median of).
+"""Headline timings: ``BENCH_SF_DIR`` (data), ``BENCH_CPUS`` (cores), ``BENCH_RUNS`` (median of),
+``BENCH_WORK`` (folder for the stored tables; on a cluster, one that all executors share).
 
 The clinical tables are derived once and stored, then analyses run over the
 stored tables as they would in a warehouse. Prints one JSON line; ``value`` is
@@ -57,7 +58,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     start = time.perf_counter()
-    folder = tempfile.mkdtemp(prefix="bench-")
+    folder = tempfile.mkdtemp(prefix="bench-", dir=os.environ.get("BENCH_WORK"))
     derived = DerivedTables(spark, SF_DIR)
     tables = {}
     for name in DERIVED:

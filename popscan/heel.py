@@ -7,6 +7,7 @@ are data: a number, a shape, the analyses they look at and their wording.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -268,6 +269,17 @@ _SHAPES: tuple[tuple[tuple[int, ...], Callable[[_Input, Sequence[int]], DataFram
 )
 
 
+def rules_not_run(concept: DataFrame | None, version: str = "v5") -> tuple[int, ...]:
+    """Rules of ``version`` that this concept table cannot serve.
+
+    Rules on concepts need the table, rules on domains and vocabularies also their column (early version 4
+    vocabularies have no domains).
+    """
+    have = set() if concept is None else set(concept.columns)
+    lacking = {r for r in ACCEPTED if ACCEPTED[r][1] not in have} | ({4, 5} if concept is None else set())
+    return tuple(r for r in ALL_RULES if r in lacking and (version == "v4" or r not in V4_ONLY))
+
+
 def run_heel(
     results: ResultSet,
     concept: DataFrame | None,
@@ -277,19 +289,14 @@ def run_heel(
 ) -> DataFrame:
     """Findings of the given rules (default: all of ``version``).
 
-    ``this_year`` fixes the clock of the birth-year rule. By default rules on
-    columns the concept table lacks are left out (early version 4 vocabularies
-    have no domains), and all rules on concepts if there is no such table.
+    ``this_year`` fixes the clock of the birth-year rule. By default
+    ``rules_not_run`` are left out, and a warning names them.
     """
     if rules is None:
-        have = set() if concept is None else set(concept.columns)
-        rules = [
-            r
-            for r in ALL_RULES
-            if (version == "v4" or r not in V4_ONLY)
-            and (r not in ACCEPTED or ACCEPTED[r][1] in have)
-            and (r not in (4, 5) or concept is not None)
-        ]
+        lacking = rules_not_run(concept, version)
+        if lacking:
+            warnings.warn(f"the concept table cannot serve these rules, which are not run: {list(lacking)}", stacklevel=2)
+        rules = [r for r in ALL_RULES if (version == "v4" or r not in V4_ONLY) and r not in lacking]
     year = F.year(F.current_date()) if this_year is None else F.lit(this_year)
     given = _Input(results, concept, year)
     parts = []

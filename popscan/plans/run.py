@@ -20,6 +20,7 @@ from popscan.analyses.domains import FROM_EVENTS
 from popscan.catalogue import BOTH, DIST, RESULTS, analyses, analysis_catalogue, frames
 from popscan.cdm import Cdm
 from popscan.results import SMALL_CELL_COUNT, StoredResults, suppress_small_cells, write_results
+from popscan.sources.cdm import schema_defects
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 # An event table is worth a rollup from this many analyses on.
@@ -61,6 +62,7 @@ def run_analyses(
     rollups: bool = True,
     with_heel: bool = True,
     this_year: int | None = None,
+    validate_schema: bool = False,
 ) -> StoredResults:
     """Compute analyses and write them under ``output``.
 
@@ -68,7 +70,12 @@ def run_analyses(
     off, ``heel``. ``ids`` defaults to all analyses of the data set's version.
     ``create=False`` keeps stored analyses not in ``ids``. Counts up to
     ``small_cell_count`` are suppressed; ``None`` keeps all.
+    ``validate_schema`` refuses data sets that lack a table or column of the
+    model, before any work. Without it, a table that an analysis needs and does
+    not find fails the run before its output is touched.
     """
+    if validate_schema and (defects := schema_defects(cdm)):
+        raise ValueError(f"not in the data set: {', '.join(defects)}")
     wanted = sorted(analyses(cdm.version) if ids is None else set(ids))
     unknown = [i for i in wanted if i not in analyses(cdm.version)]
     if unknown:
@@ -89,8 +96,7 @@ def run_analyses(
         )
 
     fresh = {RESULTS: create, DIST: create}
-    for batch in _batches(wanted):
-        built = frames(cdm, batch)
+    for batch, built in [(batch, frames(cdm, batch)) for batch in _batches(wanted)]:
         for kind in (RESULTS, DIST):
             parts = [df for k, df in built if k == kind]
             if not parts:

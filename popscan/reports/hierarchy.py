@@ -62,10 +62,14 @@ RULES = {"v5": V5, "v4": V4}
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """The vocabulary tables and the rules that go with their version."""
+    """The vocabulary tables and the rules that go with their version.
+
+    ``this_year`` fixes the clock of the quality rule on birth years (default: today's).
+    """
 
     tables: Mapping[str, DataFrame]
     version: str = "v5"
+    this_year: int | None = None
 
     @property
     def rules(self) -> Rules:

@@ -178,7 +178,7 @@ def _periods_per_person(r: ResultSet, v: Vocabulary) -> DataFrame:
 
 
 def _heel(r: ResultSet, v: Vocabulary) -> DataFrame:
-    found = fetch_heel(run_heel(r, v.concept, version=v.version))
+    found = fetch_heel(run_heel(r, v.concept, version=v.version, this_year=v.this_year))
     return found.select(F.col("analysis_id").alias("attributename"), F.col("heel_warning").alias("attributevalue"))
 
 

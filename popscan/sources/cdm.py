@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,13 +48,15 @@ def load_tables(spark: SparkSession, location: str, version: str = "v5", format:
 
     ``location`` is a folder with one sub-folder or ``<table>.<format>`` file
     per table, or ``db:<name>`` for tables of the session catalogue. Only
-    metadata is read; missing tables are left out (see ``validate_schema``).
+    metadata is read; missing tables are left out, and a warning names them
+    (see ``validate_schema``).
     """
     names = schemas.CDM[version]
     out: dict[str, DataFrame] = {}
     if location.startswith("db:"):
         database = location[3:]
         present = {t.name.lower() for t in spark.catalog.listTables(database)}
+        _warn_missing(location, [n for n in names if n not in present])
         return {n: _lower(spark.table(f"{database}.{n}")) for n in names if n in present}
     root = spark._jvm.org.apache.hadoop.fs.Path(location)
     files = root.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -67,9 +70,15 @@ def load_tables(spark: SparkSession, location: str, version: str = "v5", format:
                 out[n] = _typed(reader.option("header", True).option("enforceSchema", False).schema(text).load(path), names[n])
             else:
                 out[n] = _lower(reader.load(path))
+    _warn_missing(location, [n for n in names if n not in out])
     return out
 
 
+def _warn_missing(location: str, names: list[str]) -> None:
+    if names:
+        warnings.warn(f"{location} lacks tables, and analyses on them cannot run: {names}", stacklevel=3)
+
+
 def _lower(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
@@ -98,6 +107,19 @@ def load_cdm(
     return Cdm(tables, source_name=source_name, version=version)
 
 
+def schema_defects(cdm: Cdm) -> list[str]:
+    """Missing tables, and missing columns as ``table.column``, of a loaded data set; from schemas alone."""
+    out = []
+    for name, schema in schemas.CDM[cdm.version].items():
+        if name not in cdm.tables:
+            out.append(name)
+            continue
+        renames = schemas.V4_RENAMES.get(name, {}) if cdm.version == "v4" else {}
+        have = {c.lower() for c in cdm[name].columns}
+        out += [f"{name}.{c}" for f in schema.fields if (c := renames.get(f.name, f.name)) not in have]
+    return out
+
+
 def validate_schema(spark: SparkSession, tables: Mapping[str, DataFrame], version: str = "v5") -> DataFrame:
     """One row per expected column: ``table_name, column_name, expected, found, status``.
 
