@@ -65,7 +65,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def _live(spark: SparkSession, sf_dir: str, version: str = "v5") -> tuple[LiveResults, Vocabulary]:
     cdm = _cdm(spark, sf_dir, version)
-    return LiveResults(spark, cdm), Vocabulary(cdm.tables, "v5")
+    return LiveResults(spark, cdm), Vocabulary(cdm.tables, "v5", THIS_YEAR)
 
 
 def _rule_query(number: int) -> Callable[[SparkSession, str], DataFrame]:
@@ -256,7 +256,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out.update({f"v4_a{i:04d}": _v4_query(i) for i in _V4})
     out.update({name: query for name, (query, _) in _MANAGEMENT.items()})
     out.update({f"heel_{n:02d}": _rule_query(n) for n in ALL_RULES})
-    out.update({f"rpt_{name}": _report_query(name) for name in REPORTS if name != "heel_messages"})
+    out.update({f"rpt_{name}": _report_query(name) for name in REPORTS})
     out.update({f"doc_{name}": _document_query(name) for name in DOCUMENTS if name != "heel"})
     out.update({f"doc_{domain}_details": _details_query(domain) for domain in DETAILS})
     out.update({f"entries_{name}": _document_entries(name) for name in _ENTRIES_SUMMARY})
@@ -276,7 +276,7 @@ def oracle_sql() -> dict[str, str]:
     out.update({f"v4_a{i:04d}": with_tables(old[i]) for i in _V4})
     out.update({name: sql for name, (_, sql) in _MANAGEMENT.items()})
     out.update({f"heel_{n:02d}": sql for n, sql in rule_sql().items()})
-    out.update({f"rpt_{name}": sql for name, sql in report_sql().items() if name != "heel_messages"})
+    out.update({f"rpt_{name}": sql for name, sql in report_sql().items()})
     out.update({f"entries_{name}": summary_entries(name) for name in _ENTRIES_SUMMARY})
     out.update({f"entries_{domain}_details": detail_entries(domain) for domain in _ENTRIES_DETAIL})
     if llm:
