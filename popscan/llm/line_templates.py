@@ -4,9 +4,8 @@ Lines are words with every word that holds a digit read as ``<*>``. The tree has
 number of words, the next ones the leading words. In a leaf the fields that vary are generalised: a place whose most
 frequent word covers less than half of the leaf's distinct lines is a variable, the others are the leaf's constants. A
 line that agrees with at least ``similarity`` of its places (constants it matches, of all places) belongs to the leaf's
-template; any other line, and any line of more than ``longest`` words, is a template of its own. A template that recurs
-in ``min_docs`` documents or more, copies of one text counted once, is dropped from all but the first document (the
-smallest id) that holds it.
+template, whatever its length; any other line is a template of its own. A template that recurs in ``min_docs`` documents
+or more, copies of one text counted once, is dropped from all but the first document (the smallest id) that holds it.
 
 Lines are counted per leaf and template before words are exploded, and words only in leaves that recur, so a line that
 stands in a third of all documents is one row by then. Joins on a template's hash are plain equi-joins that adaptive
@@ -32,8 +31,8 @@ VARIABLE = "<*>"
 _SPACE = r"[\x20\x09-\x0D]+"
 
 
-def lines_of(documents: DataFrame, depth: int, longest: int) -> DataFrame:
-    """``_row, doc_id, _content, pos, leaf, line`` and, for lines of at most ``longest`` words, ``words``."""
+def lines_of(documents: DataFrame, depth: int) -> DataFrame:
+    """``_row, doc_id, _content, pos, leaf, line, masked``."""
     rows = documents.select(
         F.xxhash64("doc_id", "text").alias("_row"), "doc_id", F.xxhash64("text").alias("_content"),
         F.posexplode(F.split("text", "\n")).alias("pos", "_t"),
@@ -45,15 +44,14 @@ def lines_of(documents: DataFrame, depth: int, longest: int) -> DataFrame:
     lead = [F.get("_w", F.lit(k)) for k in range(depth)]
     return rows.select(
         "_row", "doc_id", "_content", "pos", F.xxhash64(F.size("_w"), *lead).alias("leaf"), F.xxhash64("_m").alias("line"),
-        F.when(F.size("_w") <= longest, F.col("_w")).alias("words"),
+        F.col("_m").alias("masked"),
     )
 
 
 def generalised(lines: DataFrame, min_docs: int, similarity: float) -> DataFrame:
     """``line, leaf``: the lines that belong to their leaf's template."""
-    short = lines.filter("words IS NOT NULL")
     leaves = (
-        short.select("leaf", "line", "_content")
+        lines.select("leaf", "line", "_content")
         .distinct()
         .groupBy("leaf", "line")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -62,7 +60,8 @@ def generalised(lines: DataFrame, min_docs: int, similarity: float) -> DataFrame
         .filter((F.col("n") >= min_docs) & (F.col("n_lines") > 1))
         .select("leaf", "n_lines")
     )
-    distinct = short.groupBy("leaf", "line", "words").agg(F.count(F.lit(1)).alias("_c")).drop("_c").join(leaves, "leaf")
+    # lines meet the leaves first: whole lines are shuffled for leaves that recur only
+    distinct = lines.select("leaf", "line", "masked").join(leaves, "leaf").distinct().withColumn("words", F.split("masked", " "))
     places = stored(
         distinct.select("leaf", "line", "n_lines", F.size("words").alias("size"), F.posexplode("words").alias("place", "word")),
         "places",
@@ -83,11 +82,9 @@ def generalised(lines: DataFrame, min_docs: int, similarity: float) -> DataFrame
     )
 
 
-def recurring(
-    documents: DataFrame, min_docs: int = 10, depth: int = 2, similarity: float = 0.6, longest: int = 64
-) -> DataFrame:
+def recurring(documents: DataFrame, min_docs: int = 10, depth: int = 2, similarity: float = 0.6) -> DataFrame:
     """``_row, pos`` of the lines to drop."""
-    lines = lines_of(documents, depth, longest)
+    lines = lines_of(documents, depth)
     members = generalised(lines, min_docs, similarity).withColumnRenamed("leaf", "_leaf")
     keyed = lines.select("_row", "doc_id", "_content", "pos", "line").join(members, "line", "left")
     keyed = stored(keyed.select("_row", "doc_id", "_content", "pos", F.coalesce("_leaf", "line").alias("template")), "lines")

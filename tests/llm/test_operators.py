@@ -345,6 +345,15 @@ def test_recurring_templates(spark):
     assert line_templates.drop_recurring(documents(spark, [])).collect() == []
 
 
+def test_recurring_templates_of_long_lines(spark):
+    rng = random.Random(11)
+    notice = " ".join(f"term{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(90))
+    texts = [f"{prose(rng, 30)}\nSigned by {prose(rng, 1)} {notice}" for _ in range(12)]
+    got = {r.doc_id: r for r in line_templates.drop_recurring(documents(spark, texts)).collect()}
+    assert got[0].n_dropped == 0
+    assert all(got[i].n_dropped == 1 and got[i].text == texts[i].split("\n")[0] for i in range(1, 12))
+
+
 def test_links_that_come_later_merge_components(spark):
     rng = random.Random(5)
     given = [[(rng.randrange(60), rng.randrange(60)) for _ in range(k)] for k in (25, 1, 12)]
