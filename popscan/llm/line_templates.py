@@ -4,11 +4,14 @@ Lines are words with every word that holds a digit read as ``<*>``. The tree has
 number of words, the next ones the leading words. In a leaf the fields that vary are generalised: a place whose most
 frequent word covers less than half of the leaf's distinct lines is a variable, the others are the leaf's constants. A
 line that agrees with at least ``similarity`` of its places (constants it matches, of all places) belongs to the leaf's
-template, whatever its length; any other line is a template of its own. A template that recurs in ``min_docs`` documents
-or more, copies of one text counted once, is dropped from all but the first document (the smallest id) that holds it.
+template, whatever its length. The lines that do not agree are split by the word at one more place, where frequent words
+cover most of them, and vote again, each line by its number of documents, until no group can hold ``min_docs`` documents
+of one template: a leaf has as many templates as recur in it. Any other line is a template of its own. A template that
+recurs in ``min_docs`` documents or more, copies of one text counted once, is dropped from all but the first document
+(the smallest id) that holds it.
 
 Lines are counted per leaf and template before words are exploded, and words only in leaves that recur, so a line that
-stands in a third of all documents is one row by then. Joins on a template's hash are plain equi-joins that adaptive
+stands in a third of all documents is one row by then. Each further vote sees only lines that can still be in a template. Joins on a template's hash are plain equi-joins that adaptive
 execution splits where one is hot.
 
 Defined results: null and empty texts have no lines and stay as they are; lines without a word are never dropped; a
@@ -19,9 +22,10 @@ untouched, a column ``n_dropped`` is replaced.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -48,38 +52,87 @@ def lines_of(documents: DataFrame, depth: int) -> DataFrame:
     )
 
 
+def _weights(lines: DataFrame, votes: Column) -> DataFrame:
+    """``group, place, word, s``: the votes for each word at each place of a group."""
+    places = lines.select("group", votes.alias("v"), F.posexplode("words").alias("place", "word"))
+    return places.groupBy("group", "place", "word").agg(F.sum("v").alias("s"))
+
+
+def _voted(lines: DataFrame, votes: Column, min_docs: int, similarity: float) -> DataFrame:
+    """``group, line, n, words`` and ``member``: whether the line belongs to its group's template, if that recurs."""
+    total = lines.groupBy("group").agg(F.sum(votes).alias("total"))
+    constants = (
+        _weights(lines, votes)
+        .join(total, "group")
+        .filter(2 * F.col("s") >= F.col("total"))
+        .groupBy("group", "place")
+        .agg(F.max(F.struct("s", "word"))["word"].alias("word"))
+        .groupBy("group")
+        .agg(F.collect_set(F.xxhash64("place", "word")).alias("constants"))
+    )
+    own = F.transform("words", lambda w, i: F.xxhash64(i, w))
+    agree = F.size(F.array_intersect(own, "constants")) >= similarity * F.size("words")
+    agreed = lines.join(constants, "group", "left").withColumn("agree", F.coalesce(agree, F.lit(False))).drop("constants")
+    agreed = stored(agreed, "agreed")
+    found = agreed.filter("agree").groupBy("group").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_docs)
+    joined = agreed.join(found.select("group", F.lit(True).alias("found")), "group", "left")
+    return joined.withColumn("member", F.col("agree") & F.col("found").isNotNull()).drop("agree", "found")
+
+
+def _deeper(lines: DataFrame, min_docs: int, similarity: float) -> DataFrame:
+    """The lines that can still be in a template, their groups split by the word at one more place.
+
+    A constant of a template has at least half of ``min_docs`` in its group, so a line with too few such words is in none.
+    The place is the one where words of ``min_docs`` or more cover most; each of them becomes a group, as do the others.
+    """
+    weights = stored(_weights(lines, F.col("n")).filter(2 * F.col("s") >= min_docs), "weights")
+    places = lines.select("group", "line", F.size("words").alias("size"), F.posexplode("words").alias("place", "word"))
+    able = (
+        places.join(weights, ["group", "place", "word"])
+        .groupBy("group", "line", "size")
+        .agg(F.count(F.lit(1)).alias("k"))
+        .filter(F.col("k") >= similarity * F.col("size"))
+        .select("group", "line")
+    )
+    total = lines.groupBy("group").agg(F.sum("n").alias("total"))
+    split = weights.filter(F.col("s") >= min_docs).join(total, "group").filter(F.col("s") < F.col("total"))
+    place = (
+        split.groupBy("group", "place")
+        .agg(F.sum("s").alias("s"))
+        .groupBy("group")
+        .agg(F.max(F.struct("s", (-F.col("place")).alias("back")))["back"].alias("back"))
+        .select("group", (-F.col("back")).alias("place"))
+    )
+    left = lines.join(able, ["group", "line"]).join(place, "group").withColumn("word", F.get("words", F.col("place")))
+    split = split.select("group", "place", "word", F.lit(True).alias("often"))
+    left = left.join(split, ["group", "place", "word"], "left")
+    child = F.xxhash64("group", "place", F.when(F.col("often"), F.col("word")))
+    return left.select(child.alias("group"), "line", "n", "words")
+
+
 def generalised(lines: DataFrame, min_docs: int, similarity: float) -> DataFrame:
-    """``line, leaf``: the lines that belong to their leaf's template."""
+    """``line, leaf``: the lines that belong to a template, and that template's group."""
+    counted = (
+        lines.select("leaf", "line", "_content").distinct().groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n"))
+    )
+    counted = stored(counted, "counted")
     leaves = (
-        lines.select("leaf", "line", "_content")
-        .distinct()
-        .groupBy("leaf", "line")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("leaf")
+        counted.groupBy("leaf")
         .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_lines"))
         .filter((F.col("n") >= min_docs) & (F.col("n_lines") > 1))
-        .select("leaf", "n_lines")
+        .select("leaf")
     )
     # lines meet the leaves first: whole lines are shuffled for leaves that recur only
-    distinct = lines.select("leaf", "line", "masked").join(leaves, "leaf").distinct().withColumn("words", F.split("masked", " "))
-    places = stored(
-        distinct.select("leaf", "line", "n_lines", F.size("words").alias("size"), F.posexplode("words").alias("place", "word")),
-        "places",
-    )
-    constants = (
-        places.groupBy("leaf", "place", "word", "n_lines")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(2 * F.col("n") >= F.col("n_lines"))
-        .groupBy("leaf", "place")
-        .agg(F.max(F.struct("n", "word"))["word"].alias("constant"))
-    )
-    agree = places.join(constants, ["leaf", "place"]).filter(F.col("word") == F.col("constant"))
-    return (
-        agree.groupBy("leaf", "line", "size")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") >= similarity * F.col("size"))
-        .select("line", "leaf")
-    )
+    distinct = lines.select("leaf", "line", "masked").join(leaves, "leaf").distinct().join(counted, ["leaf", "line"])
+    found, votes = [], F.lit(1)  # the leaf's vote is by distinct lines, later ones by documents
+    open_ = stored(distinct.select(F.col("leaf").alias("group"), "line", "n", F.split("masked", " ").alias("words")), "leaf-lines")
+    while True:
+        voted = stored(_voted(open_, votes, min_docs, similarity), "voted")
+        found.append(voted.filter("member").select("line", F.col("group").alias("leaf")))
+        open_ = stored(_deeper(voted.filter("NOT member").drop("member"), min_docs, similarity), "deeper")
+        votes = F.col("n")
+        if open_.isEmpty():
+            return reduce(DataFrame.unionAll, found)
 
 
 def recurring(documents: DataFrame, min_docs: int = 10, depth: int = 2, similarity: float = 0.6) -> DataFrame:

@@ -354,6 +354,17 @@ def test_recurring_templates_of_long_lines(spark):
     assert all(got[i].n_dropped == 1 and got[i].text == texts[i].split("\n")[0] for i in range(1, 12))
 
 
+def test_recurring_templates_that_share_a_leaf(spark):
+    """Three templates of one leaf, none with half of its lines, among lines that do not recur."""
+    rng = random.Random(12)
+    forms = ["the page {} was last seen by our staff in town", "the page {} cannot be shown here without a valid key", "the page {} moved away for good please follow that link"]
+    texts = [f"{prose(rng, 30)}\n{forms[i % 3].format(prose(rng, 1) + chr(97 + i % 26))}" for i in range(39)]
+    texts += [f"{prose(rng, 30)}\nthe page {prose(rng, 9)}" for _ in range(40)]
+    got = {r.doc_id: r for r in line_templates.drop_recurring(documents(spark, texts)).collect()}
+    assert [i for i in range(79) if got[i].n_dropped] == list(range(3, 39))
+    assert all(got[i].text == texts[i].split("\n")[0] for i in range(3, 39))
+
+
 def test_links_that_come_later_merge_components(spark):
     rng = random.Random(5)
     given = [[(rng.randrange(60), rng.randrange(60)) for _ in range(k)] for k in (25, 1, 12)]
