@@ -189,7 +189,7 @@ def score(documents: DataFrame, order: int = 2, min_count: int = 2, alpha: float
     )
 
 
-#: The query's rows in DuckDB, options as :func:`score` has them by default.
+#: Rows in DuckDB with the options that :func:`score` has by default (order 2; the query registers order 3).
 ORACLE = r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 word AS (SELECT doc_id, i, w[i] AS word, CASE WHEN i > 1 THEN w[i - 1] END AS prev FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM w)),

@@ -54,7 +54,7 @@ def op4_chat_render(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = backoff_lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    scored = backoff_lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"), order=3)
     return scored.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"))
 
 

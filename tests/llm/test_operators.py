@@ -22,6 +22,7 @@ from popscan.llm import (
     partenum,
     piece_agenda,
     quality_convnet,
+    queries,
     string_tiling,
     textual,
     warc_zstd,
@@ -311,6 +312,19 @@ def test_backoff_scores(spark):
     assert sum(r.n_grams for r in counted) == 5 and sum(r.occurrences for r in counted) == n + 9
 
 
+def test_the_backoff_query_counts_three_word_runs(spark, tmp_path):
+    docs = documents(spark, ["a b c a b c", "a b d", "c b c"])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.log_score for r in queries.op5_backoff_lm(spark, str(tmp_path)).collect()}
+    one, two, n = {"a": 3, "b": 4, "c": 4, "d": 1}, {"ab": 3, "bc": 3}, 12
+    back = np.log(0.4)
+    a_b_d = np.log(one["a"] / n) + np.log(two["ab"] / one["a"]) + np.log(one["d"] / n) + 2 * back
+    assert got[1] == pytest.approx(a_b_d, abs=1e-4)
+    whole = np.log(one["a"] / n) + np.log(two["ab"] / one["a"]) + np.log(2 / two["ab"])  # a, b, then c after "a b"
+    rest = np.log(one["a"] / n) + 2 * back + np.log(two["ab"] / one["a"]) + back + np.log(2 / two["ab"])
+    assert got[0] == pytest.approx(whole + rest, abs=1e-4)
+
+
 def test_counts_survive_narrowing():
     x = np.array([1, 254, 255, 256, 70_000, 3])
     assert backoff_lm.widen(backoff_lm.narrow(x), 6).tolist() == x.tolist()
