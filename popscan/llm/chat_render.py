@@ -4,9 +4,10 @@ Successive prefixes of a conversation are rendered and compared: what a turn add
 template that changes what stood before is found out. The text inside a span is located by rendering the turn once
 more with a sentinel in place of its text; for trained roles that part is the loss mask.
 
-A conversation's rows stream through one task in order, never held as a whole: the prefix that is rendered holds the
-last ``block`` to twice ``block`` turns (a conversation of fewer turns is always rendered whole). When older turns
-leave the prefix, the last turn must render as before, else the turn counts as rewritten.
+A conversation's rows stream through one task in order, and every prefix is rendered whole, whatever its length, so a
+change of any earlier turn is seen; that work grows with the square of the conversation. For a template that the caller
+declares ``append_only``, the prefix holds the last ``block`` to twice ``block`` turns; when older turns leave it, the
+last turn must render as before, else the turn counts as rewritten.
 
 Defined results: null texts and null roles are empty; rows order by turn (null first), then role and text, and ties
 repeat; rows without a conversation id form one conversation; an empty table gives no row; other columns are ignored.
@@ -67,8 +68,8 @@ class Marks:
 class Tracker:
     """Spans of one conversation's turns, fed one by one."""
 
-    def __init__(self, template: Template, trained: frozenset[str], block: int):
-        self.template, self.trained, self.block = template, trained, block
+    def __init__(self, template: Template, trained: frozenset[str], block: int | None):
+        self.template, self.trained, self.block = template, trained, block  # None: prefixes are whole
         self.turns: list[Turn] = []
         self.output = ""  # rendering of turns
         self.base = 0  # characters of the whole output before this rendering's last turns, beyond its own length
@@ -77,7 +78,7 @@ class Tracker:
     def feed(self, role: str, text: str) -> tuple[str, int, int, int | None, int | None, int | None]:
         """Piece, start, end, start and end of the loss mask, and from where earlier output was rewritten."""
         rewritten = None
-        if len(self.turns) >= 2 * self.block:
+        if self.block and len(self.turns) >= 2 * self.block:
             self.turns = self.turns[-self.block :]
             shorter = self.template(self.turns)
             if not shorter.endswith(self.last):
@@ -111,7 +112,8 @@ def in_order(conversations: DataFrame) -> DataFrame:
 
 
 def render(
-    conversations: DataFrame, template: Template | None = None, trained: tuple[str, ...] = ("assistant",), block: int = 64
+    conversations: DataFrame, template: Template | None = None, trained: tuple[str, ...] = ("assistant",), block: int = 64,
+    append_only: bool = False,
 ) -> DataFrame:
     """One row per turn: the piece it adds to the output, its span and loss mask in characters, rewritten or not."""
     form, roles = template or Marks(), frozenset(trained)
@@ -125,7 +127,7 @@ def render(
                 rows = []
                 for r in whole.slice(lo, 1024).to_pylist():
                     if tracker is None or r["conv_id"] != current:
-                        tracker, current = Tracker(form, roles, block), r["conv_id"]
+                        tracker, current = Tracker(form, roles, block if append_only else None), r["conv_id"]
                     rows.append((r["conv_id"], r["turn"], r["role"], *tracker.feed(r["role"], r["text"])))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names

@@ -50,7 +50,7 @@ def op4_chat_render(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"),
     )
     rows = table(spark, sf_dir, "conversations").select(*probe.columns).unionByName(probe)
-    return chat_render.read_back(chat_render.render(rows))
+    return chat_render.read_back(chat_render.render(rows, append_only=True))  # marks never change earlier output
 
 
 def op5_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

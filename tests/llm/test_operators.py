@@ -253,6 +253,18 @@ def test_templates_that_rewrite_history_are_found(spark):
     assert got[0].rewritten_from is None and got[1].rewritten_from == len("<user>")
 
 
+def test_rewritten_history_is_found_at_any_length(spark):
+    def headed(turns):
+        return f"[{len(turns) // 150}]" + "".join(f"<{r}>{t}" for r, t in turns)
+
+    rows = [(1, k, "user", f"turn {k}") for k in range(200)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.turn: r for r in chat_render.render(table, headed).collect()}
+    assert [k for k in range(200) if got[k].rewritten_from is not None] == [149]
+    assert got[149].rewritten_from == 1 and got[149].start == 1
+    assert got[199].end == len(headed([(r, t) for _, _, r, t in rows]))
+
+
 def test_classifier_learns_and_scores_empty_texts(spark):
     rng = random.Random(8)
     good = [prose(rng, rng.randint(20, 200)) for _ in range(150)]
