@@ -3,7 +3,7 @@
 Per document: words, their characters, symbols, lines that repeat an earlier line, words inside five-word windows that
 stand twice. Across documents: every line with a word is normalised (A-Z lowered, digit runs as ``0``, spaces joined)
 and hashed; per host the distinct documents with a line are counted, copies of one text once. Lines found in at least
-``min_docs`` documents and in ``share`` of the host's are removed, and a document of whose words less than ``left``
+``min_docs`` documents and in ``share`` of the host's, copies again once, are removed, and a document of whose words less than ``left``
 remain is rejected, as is one that fails the base rules.
 
 Each document's distinct lines are counted before anything is shuffled, counts are summed map-side, and the lines that
@@ -71,10 +71,10 @@ def base_columns(documents: DataFrame, window: int = 5) -> DataFrame:
 def frequent_lines(documents: DataFrame, host: str, min_docs: int, share: float) -> DataFrame:
     """``_host, _line``: hashes of the lines above the limits of their host."""
     keyed = documents.select(
-        F.coalesce(F.col(host).cast("string"), F.lit("")).alias("_host"), F.xxhash64("text").alias("_content"),
+        F.coalesce(F.col(host).cast("string"), F.lit("")).alias("_host"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_content"),
         F.array_distinct(F.transform(F.split("text", "\n"), normalised)).alias("_lines"),
     )
-    hosts = keyed.groupBy("_host").agg(F.count(F.lit(1)).alias("_docs"))
+    hosts = keyed.select("_host", "_content").distinct().groupBy("_host").agg(F.count(F.lit(1)).alias("_docs"))
     lines = keyed.select("_host", "_content", F.explode("_lines").alias("_t")).filter("_t <> ''")
     counted = (
         lines.select("_host", F.xxhash64("_t").alias("_line"), "_content")

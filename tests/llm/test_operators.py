@@ -358,6 +358,15 @@ def test_quality_rules(spark):
     assert line_rules.judge(documents(spark, [])).collect() == []
 
 
+def test_copies_do_not_raise_the_limit_of_a_host(spark):
+    rng = random.Random(13)
+    body = [prose(rng, 40) for _ in range(10)]
+    texts = [f"{b}\nAccept all cookies" for b in body] + [prose(rng, 40)] * 200
+    got = {r.doc_id: r for r in line_rules.judge(documents(spark, texts), share=0.1).collect()}
+    assert all(got[i].n_removed_words == 3 and got[i].kept_text == body[i] for i in range(10))
+    assert all(got[i].n_removed_words == 0 for i in range(10, 210))
+
+
 def test_recurring_templates(spark):
     rng = random.Random(10)
     texts = [f"{prose(rng, 30)}\nuser {i} logged in at {i}:{i}\nSeen by {prose(rng, 1)} near gate seven today" for i in range(12)]
