@@ -2,7 +2,7 @@
 
 The corpus is cut into blocks of documents. Each block explodes its n-grams of every order up to ``order``, adds up
 equal ones, and sends them to the count tables, which are partitioned by the n-gram's hash: a partition adds the blocks'
-counts and joins the totals back to the blocks that asked. A block then scores each word (the highest order whose
+counts and joins the totals back to the blocks that asked, where several did; else the block's own count is the total. A block then scores each word (the highest order whose
 n-gram has at least ``min_count`` occurrences, each step down costing ``alpha``) and sums logarithms per document.
 
 An n-gram crosses the shuffle once per block, packed (:mod:`popscan.llm.packed`), so a word or word pair that makes up
@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popscan.llm.packed import Layout, decode, encode, layout, total_bytes
+from popscan.llm.packed import Layout, bits_to_bytes, bytes_to_bits, decode, encode, layout, total_bytes
 from popscan.llm.storage import stored
 from popscan.llm.textual import Words, bytes_list, mix, raw, slices, words_of
 
@@ -113,15 +113,16 @@ def _tables(table: pa.Table) -> tuple[list[int], np.ndarray, np.ndarray, np.ndar
 
 
 def _join(table: pa.Table) -> pa.Table:
-    """Totals of a bucket's n-grams, for each block in the order in which it asked."""
+    """Totals of a bucket's n-grams that several blocks sent, for each block as flags and counts in the order in which it asked."""
     sizes, _, total, index = _tables(table)
     edges = np.concatenate(([0], np.cumsum(sizes)))
-    answer = total[index]
+    answer, shared = total[index], np.bincount(index)[index] > 1
+    told = [bits_to_bytes(shared[a:b]) + narrow(answer[a:b][shared[a:b]]) for a, b in zip(edges, edges[1:], strict=False)]
     return pa.table(
         {
             "block": table.column("block").combine_chunks(),
             "bucket": table.column("bucket").combine_chunks(),
-            "totals": pa.array([narrow(answer[a:b]) for a, b in zip(edges, edges[1:], strict=False)], pa.binary()),
+            "totals": pa.array(told, pa.binary()),
         }
     )
 
@@ -131,11 +132,14 @@ def _score(order: int, lay: Layout, n_words: int, min_count: int, alpha: float):
         for batch in batches:
             for i in range(batch.num_rows):
                 ids, texts = batch.column("ids")[i].as_py(), batch.column("texts")[i].as_py()
-                w, orders, key, _, _ = _block_grams(texts, order, lay)
-                total = np.zeros(len(key), np.int64)
+                w, orders, key, own, _ = _block_grams(texts, order, lay)
+                total = own.astype(np.int64)
                 given = {a["bucket"]: a["totals"] for a in batch.column("answers")[i].as_py() or ()}
                 for b, lo, hi in lay.runs(key):
-                    total[lo:hi] = widen(given[b], hi - lo)
+                    split = (hi - lo + 7) // 8
+                    at = lo + np.flatnonzero(bytes_to_bits(given[b][:split], hi - lo))
+                    if len(at):
+                        total[at] = widen(given[b][split:], len(at))
                 logs = np.zeros(len(w.hash))
                 done = np.zeros(len(w.hash), bool)
                 place = np.arange(len(w.hash)) - w.first()[w.doc]

@@ -337,6 +337,14 @@ def test_the_backoff_query_counts_three_word_runs(spark, tmp_path):
     assert got[0] == pytest.approx(whole + rest, abs=1e-4)
 
 
+def test_backoff_scores_do_not_depend_on_blocks(spark):
+    rng = random.Random(14)
+    docs = documents(spark, [prose(rng, 40) for _ in range(60)] + ["again and again " * 200])
+    one = {r.doc_id: r.log_score for r in backoff_lm.score(docs.coalesce(1), order=3).collect()}
+    many = {r.doc_id: r.log_score for r in backoff_lm.score(docs.repartition(7), order=3).collect()}
+    assert len(one) == 61 and many == pytest.approx(one)
+
+
 def test_counts_survive_narrowing():
     x = np.array([1, 254, 255, 256, 70_000, 3])
     assert backoff_lm.widen(backoff_lm.narrow(x), 6).tolist() == x.tolist()
