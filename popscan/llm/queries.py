@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from popscan.llm import (
-    backoff_lm, block_anchors, chat_render, line_rules, line_templates, partenum, piece_agenda, quality_convnet, string_tiling, warc_zstd,
+    backoff_lm, block_anchors, chat_render, collocations, edit_lattice, line_rules, line_templates, partenum, piece_agenda,
+    quality_convnet, string_tiling, warc_zstd,
 )
 from popscan.llm.storage import fresh, stored
 
@@ -87,12 +88,22 @@ def op10_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "contaminated", "item_id", F.round("coverage", 6).alias("coverage"), "n_items")
 
 
+def op12_phrase_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+def op13_edit_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hurt, copies = edit_lattice.damaged(table(spark, sf_dir, "conversations"))
+    return edit_lattice.summaries(edit_lattice.repair(hurt, copies))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_quality_convnet, op2_line_rules, op3_line_templates, op4_chat_render, op5_backoff_lm, op6_warc_zstd,
-            op7_block_anchors, op8_partenum, op9_piece_agenda, op10_string_tiling,
+            op7_block_anchors, op8_partenum, op9_piece_agenda, op10_string_tiling, op12_phrase_rollup,
+            op13_edit_lattice,
         )
     }
 
@@ -102,4 +113,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_line_rules": line_rules.ORACLE,
         "op3_line_templates": line_templates.ORACLE,
         "op5_backoff_lm": backoff_lm.ORACLE,
+        "op12_phrase_rollup": collocations.ORACLE,
     }
