@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from popscan.llm import (
     backoff_lm, block_anchors, chat_render, collocations, edit_lattice, line_rules, line_templates, partenum, piece_agenda,
-    quality_convnet, string_tiling, warc_zstd,
+    quality_convnet, string_tiling, suffix_merge, warc_zstd,
 )
 from popscan.llm.storage import fresh, stored
 
@@ -88,6 +88,15 @@ def op10_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "contaminated", "item_id", F.round("coverage", 6).alias("coverage"), "n_items")
 
 
+def op11_suffix_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_merge.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), 50)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op12_phrase_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
 
@@ -102,8 +111,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op1_quality_convnet, op2_line_rules, op3_line_templates, op4_chat_render, op5_backoff_lm, op6_warc_zstd,
-            op7_block_anchors, op8_partenum, op9_piece_agenda, op10_string_tiling, op12_phrase_rollup,
-            op13_edit_lattice,
+            op7_block_anchors, op8_partenum, op9_piece_agenda, op10_string_tiling, op11_suffix_merge,
+            op12_phrase_rollup, op13_edit_lattice,
         )
     }
 
