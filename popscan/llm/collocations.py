@@ -5,11 +5,11 @@ Only these windows are counted; Spark's ROLLUP over (lang, first word, second wo
 prefixes, so the counts of all shorter phrases, of words and of the language come from one aggregation, not from an
 explosion for each order.
 
-Before that, adjacent pairs are counted by a 64-bit hash and the frequent ones are put into a filter of fixed size
-(:mod:`popscan.llm.sketch`). A window is also padded from its first infrequent pair on: a phrase with ``least``
-occurrences has no such pair, so no count of one changes, while most windows of running text shrink to a word or two and
-add up within their task. The filter lets more through on larger inputs, which costs shuffle only; counts are of words,
-never of hashes. Equal windows are added up per slice of text, again in Spark's partial aggregation, then by key, so a word
+Before that, runs of two words, then of three and so on below ``longest`` are counted by a 64-bit hash, each only where
+its shorter parts are frequent, and the frequent ones are put into a filter of fixed size (:mod:`popscan.llm.sketch`). A
+window is also padded from its first infrequent run on: a phrase with ``least`` occurrences has no such run, so no count
+of one changes, while most windows of running text shrink to a word or two and add up within their task. The filters let
+more through on larger inputs, which costs shuffle only; counts are of words, never of hashes. Equal windows are added up per slice of text, again in Spark's partial aggregation, then by key, so a word
 that makes up a third of a language is one row per task.
 
 Scores: a phrase with a occurrences is cut in two, with l and r occurrences of its parts; floor(2000000 a / (l + r)) of
@@ -24,6 +24,7 @@ phrase; an empty table gives no row; other columns do not reach the result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -70,14 +71,30 @@ class _Slice:
         self.follows = np.zeros(len(start), bool)
         self.follows[:-1] = (doc[1:] == doc[:-1]) & (piece[1:] == piece[:-1])
 
-    def pair_keys(self) -> np.ndarray:
-        """A hash of language, word and next word, alike in all tasks; meaningless where no word follows."""
+    def _hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of each word and its language, alike in all tasks."""
         word = np.array([xxhash.xxh64_intdigest(w) for w in self.words.cast(pa.large_binary()).to_pylist()], np.uint64)
         lang = np.array([xxhash.xxh64_intdigest(x, 1) for x in self.langs.to_pylist()], np.uint64)
-        h = word[self.code] if len(word) else np.empty(0, np.uint64)
-        key = np.zeros(len(h), np.uint64)
-        key[:-1] = mix(h[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ mix(h[1:] + lang[self.lang[:-1]]))
-        return key
+        return (word[self.code], lang[self.lang]) if len(word) else (np.empty(0, np.uint64),) * 2
+
+    def runs(self, filters: list[Sketch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For 2, 3, .. words: which words start such a run in a piece, and its hash (meaningless elsewhere).
+
+        Of the sizes that have a filter only runs that pass it; longer ones only if their shorter parts have passed.
+        """
+        word, key = self._hashes()
+        key = mix(word + key)
+        n, size, good = len(word), 1, np.ones(len(word), bool)
+        while True:
+            good = np.r_[good[:-1] & good[1:], False][:n] & (self.follows if size == 1 else True)
+            size += 1
+            tail = np.zeros(n, np.uint64)
+            tail[: max(0, n - size + 1)] = word[size - 1 :]
+            key = mix(key * np.uint64(0x9E3779B97F4A7C15) ^ tail)
+            if size - 2 < len(filters):
+                good = good.copy()
+                good[good] = filters[size - 2].holds(key[good])
+            yield good, key
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[_Slice]:
@@ -87,10 +104,17 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[_Slice]:
             yield _Slice(data, bounds, langs.slice(lo, hi - lo))
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for s in _slices(batches):
-        key, n = np.unique(s.pair_keys()[s.follows], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
+def _counted(size: int, filters: list):
+    """Hashes of runs of ``size`` words whose shorter parts pass the filters, added up per slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = [f.value for f in filters]
+        for s in _slices(batches):
+            good, key = next(islice(s.runs(known), size - 2, None))
+            key, n = np.unique(key[good], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
+
+    return run
 
 
 def _compact(x: np.ndarray) -> tuple[np.ndarray, int]:
@@ -98,20 +122,16 @@ def _compact(x: np.ndarray) -> tuple[np.ndarray, int]:
     return index.astype(np.int64), len(values)
 
 
-def _windows(longest: int, frequent):
+def _windows(longest: int, filters: list):
     """Padded windows and how often each stands in a slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filter_: Sketch = frequent.value
+        known = [f.value for f in filters]
         for s in _slices(batches):
-            n = len(s.code)
-            joined = s.follows.copy()
-            joined[joined] = filter_.holds(s.pair_keys()[joined])
-            lead, columns = np.ones(n, bool), [s.code]
-            for k in range(1, longest):
-                lead = np.r_[lead[: n - k] & joined[k - 1 : n - 1], np.zeros(min(k, n), bool)][:n]
-                column = np.full(n, -1, np.int64)
-                column[lead] = s.code[np.flatnonzero(lead) + k]
+            columns = [s.code]
+            for k, (good, _) in zip(range(1, longest), s.runs(known), strict=False):
+                column = np.full(len(s.code), -1, np.int64)  # the lead column of k words on
+                column[good] = s.code[np.flatnonzero(good) + k]
                 columns.append(column)
             whole = s.lang
             for c in columns:  # a number for each distinct window, exact at every step
@@ -133,11 +153,13 @@ def _names(longest: int) -> list[str]:
 def phrase_counts(documents: DataFrame, longest: int = 4, least: int = 30) -> DataFrame:
     """``lang, size, phrase, n``: phrases of up to ``longest`` words with ``least`` occurrences; size 0 is the language's words."""
     texts = documents.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
-    pairs = texts.mapInArrow(_pairs, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    frequent = documents.sparkSession.sparkContext.broadcast(sketch(pairs.filter(F.col("n") >= least)))
+    filters: list = []
+    for size in range(2, longest):
+        runs = texts.mapInArrow(_counted(size, filters), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+        filters.append(documents.sparkSession.sparkContext.broadcast(sketch(runs.filter(F.col("n") >= least))))
     names = _names(longest)
     schema = ", ".join(["lang string", *(f"{c} string" for c in names), "n long"])
-    windows = texts.mapInArrow(_windows(longest, frequent), schema)
+    windows = texts.mapInArrow(_windows(longest, filters), schema)
     windows = windows.groupBy("lang", *names).agg(F.sum("n").alias("n"))
     sums = windows.rollup("lang", *names).agg(F.sum("n").alias("n"), F.grouping_id().alias("level"))
     size = F.lit(longest) - F.length(F.regexp_replace(F.bin("level"), "0", ""))  # columns of the prefix that are not summed
