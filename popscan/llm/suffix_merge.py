@@ -5,6 +5,7 @@ sorted in buckets: every window of ``length`` bytes names the least hashed gram
 any two documents meet in the bucket of one gram. Each anchor sends the text that its windows cover, its context. Equal
 contexts are one; a bucket with several sorts the suffixes of all of them:
 
+* windows whose hash nobody shares equal no other and stay out of the sort;
 * prefix polynomial hashes of the bucket's text tell whether two substrings are equal; a binary search over their length
   finds the common extension of two suffixes, so a comparison takes a logarithmic number of steps;
 * a bottom-up mergesort over these comparisons puts equal windows side by side, all buckets of a batch at once;
@@ -183,6 +184,15 @@ class Suffixes:
         out[tied[apart]] = (left > right).astype(np.int8) - (left < right)
         return out
 
+    def paired(self) -> np.ndarray:
+        """Suffixes whose hash over ``length`` bytes stands at least twice; the others equal no other suffix."""
+        key = self._hash(self.start, np.full(len(self.start), self.length))
+        order = np.argsort(key)
+        same = key[order[1:]] == key[order[:-1]]
+        out = np.zeros(len(key), bool)
+        out[order] = np.r_[False, same] | np.r_[same, False] if len(key) else False
+        return out
+
     def _bytes(self, x: np.ndarray) -> np.ndarray:
         return self.text[self.start[x][:, None] + np.arange(self.length)]
 
@@ -276,13 +286,14 @@ def _judge(t: pa.Table, length: int) -> pa.RecordBatch:
         first = np.cumsum(count) - count
         starts = np.repeat(begin - first, count) + np.arange(count.sum())
         holder = np.repeat(some, count)
-        order, differs = Suffixes(text, starts, length).sort(bucket[holder])
-        run = np.cumsum(differs) - 1
-        run_least = np.minimum.reduceat(least[holder][order], np.flatnonzero(differs))
-        window_least = np.empty(len(order), np.int64)
-        window_least[order] = run_least[run]
+        window_least = least[holder]
+        pair = np.flatnonzero(Suffixes(text, starts, length).paired())
+        if len(pair):
+            order, differs = Suffixes(text, starts[pair], length).sort(bucket[holder[pair]])
+            run_least = np.minimum.reduceat(window_least[pair[order]], np.flatnonzero(differs))
+            window_least[pair[order]] = run_least[np.cumsum(differs) - 1]
         low[some], high[some] = np.minimum.reduceat(window_least, first), np.maximum.reduceat(window_least, first)
-        offset[some], offset[-1] = first, len(order)
+        offset[some] = first
     whole = np.flatnonzero(doc > high[of])
     rows, begins, ends = [whole], [start[whole]], [start[whole] + size[whole]]
     part = np.flatnonzero((doc > low[of]) & (doc <= high[of]))
