@@ -193,17 +193,24 @@ def score(documents: DataFrame, order: int = 2, min_count: int = 2, alpha: float
     )
 
 
-#: Rows in DuckDB with the options that :func:`score` has by default (order 2; the query registers order 3).
+#: Rows in DuckDB with order 3, as the query registers it, and the other options of :func:`score`.
 ORACLE = r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
-word AS (SELECT doc_id, i, w[i] AS word, CASE WHEN i > 1 THEN w[i - 1] END AS prev FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM w)),
+word AS (
+  SELECT doc_id, i, w[i] AS word, CASE WHEN i > 1 THEN w[i - 1] END AS prev, CASE WHEN i > 2 THEN w[i - 2] END AS before
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM w)),
 one AS (SELECT word, count(*) AS n FROM word GROUP BY 1),
 two AS (SELECT prev, word, count(*) AS n FROM word WHERE i > 1 GROUP BY 1, 2),
+three AS (SELECT before, prev, word, count(*) AS n FROM word WHERE i > 2 GROUP BY 1, 2, 3),
 scored AS (
-  SELECT doc_id, CASE WHEN two.n >= 2 THEN ln(two.n / p.n)
-    ELSE ln(one.n / (SELECT count(*) FROM word)) + CASE WHEN i > 1 THEN ln(0.4) ELSE 0 END END AS s
+  SELECT doc_id, CASE
+    WHEN three.n >= 2 THEN ln(three.n / pair.n)
+    WHEN two.n >= 2 THEN ln(two.n / p.n) + CASE WHEN i > 2 THEN ln(0.4) ELSE 0 END
+    ELSE ln(one.n / (SELECT count(*) FROM word)) + least(i - 1, 2) * ln(0.4) END AS s
   FROM word JOIN one ON one.word = word.word LEFT JOIN one p ON p.word = word.prev
-  LEFT JOIN two ON two.prev = word.prev AND two.word = word.word)
+  LEFT JOIN two ON two.prev = word.prev AND two.word = word.word
+  LEFT JOIN two pair ON pair.prev = word.before AND pair.word = word.prev
+  LEFT JOIN three ON three.before = word.before AND three.prev = word.prev AND three.word = word.word)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(s, 0), 4) AS log_score
 FROM w LEFT JOIN (SELECT doc_id, sum(s) AS s FROM scored GROUP BY 1) USING (doc_id)
 """
