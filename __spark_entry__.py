@@ -3,24 +3,28 @@
 from __future__ import annotations
 
 import re
+import tempfile
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from popscan.analyses.domains import FROM_EVENTS
-from popscan.catalogue import Analysis, analyses
-from popscan.cdm import Cdm
+from popscan.analyses.domains import CONDITION, DRUG, FROM_EVENTS, MEASUREMENT
+from popscan.catalogue import BOTH, DIST, RESULTS, Analysis, analyses, checked, stratified
+from popscan.cdm import Cdm, Domain
 from popscan.heel import ALL_RULES, run_heel
-from popscan.operators import distribution
+from popscan.operators import distribution, summaries
+from popscan.plans import run_analyses, work_folder
 from popscan.reports import DOCUMENTS, REPORTS, Vocabulary, concept_documents, document, report
-from popscan.reports.documents import DETAILS, Histogram
-from popscan.results import LiveResults, compare_results, fetch_analysis, suppress_small_cells
+from popscan.reports.documents import DETAILS, Histogram, treemap_rows
+from popscan.reports.read_back import document_values, node_values, numbers_apart
+from popscan.results import STRATA, LiveResults, approximate_persons, compare_results, fetch_analysis, suppress_small_cells
 from popscan.schemas import V4_RENAMES
 from popscan.sources import DerivedTables, adapt_v4, normalise_dates
+from popscan.sources.derived import DERIVED
 from popscan_checks.analyses import analysis_sql
 from popscan_checks.base import OFF_HALF, with_tables
-from popscan_checks.documents import detail_entries, summary_entries
+from popscan_checks.documents import detail_entries, detail_values, summary_entries, summary_values, treemap_values
 from popscan_checks.reports import report_sql
 from popscan_checks.rules import THIS_YEAR, rule_sql
 from popscan_checks.stored import with_results
@@ -87,11 +91,23 @@ def _report_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def _document_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: document(name, *_live(spark, sf_dir))
+    """A summary document, read back by value."""
+    return lambda spark, sf_dir: numbers_apart(document_values(document(name, *_live(spark, sf_dir))))
 
 
 def _details_query(domain: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: concept_documents(domain, *_live(spark, sf_dir))
+    return lambda spark, sf_dir: numbers_apart(document_values(concept_documents(domain, *_live(spark, sf_dir))))
+
+
+def _treemap_query(domain: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: numbers_apart(node_values(treemap_rows(domain, *_live(spark, sf_dir))))
+
+
+def _heel_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document of the quality rules, over stored results: they read most analyses."""
+    stored = _stored_clinical(spark, sf_dir)
+    results = run_analyses(spark, stored, _scratch(spark), small_cell_count=None, with_heel=False)
+    return numbers_apart(document_values(document("heel", results, Vocabulary(stored.tables, "v5", THIS_YEAR))))
 
 
 def _entries(docs: DataFrame, arrays: Mapping[str, str]) -> DataFrame:
@@ -124,6 +140,10 @@ def _details_entries(domain: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+_TREEMAP = {
+    era: ("concept_id", "concept_path", "num_persons", "percent_persons", "length_of_era" if era else "records_per_person")
+    for era in (False, True)
+}
 _ENTRIES_SUMMARY = ("person", "observationperiod", "datadensity", "death")
 _ENTRIES_DETAIL = ("visit", "conditionera", "measurement")
 
@@ -153,6 +173,111 @@ def _rolled_up(number: int) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _families(attribute: str) -> dict[str, list[int]]:
+    """Version 5 analyses that share a pass over one table, by table."""
+    out: dict[str, list[int]] = {}
+    for i, a in analyses("v5").items():
+        if (of := getattr(a, attribute)) is not None:
+            out.setdefault(of[0] if isinstance(of[0], str) else of[0].table, []).append(i)
+    return out
+
+
+def _together(build: Callable[..., DataFrame], ids: list[int]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: build(_cdm(spark, sf_dir), ids)
+
+
+def _approximate_persons(domain: Domain) -> Callable[[SparkSession, str], DataFrame]:
+    """Persons by concept and year from monthly sketches, held to their stated error against the exact counts."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        events = _cdm(spark, sf_dir).events(domain)
+        monthly = summaries.summarise(events, ["concept_id"], "month", weight="n", person="person_id")
+        year = F.floor(F.col("month") / 100).cast("int").alias("year")
+        estimated = summaries.merged(monthly, ["concept_id", year]).select(
+            "concept_id", "year", "records", summaries.person_estimate().alias("estimate")
+        )
+        exact = events.groupBy("concept_id", year).agg(F.countDistinct("person_id").alias("persons"))
+        off = F.abs(F.col("estimate") - F.col("persons")) <= summaries.person_error() * F.col("persons")
+        return exact.join(estimated, ["concept_id", "year"]).select("concept_id", "year", "records", "persons", off.alias("within"))
+
+    return run
+
+
+def _approximate_values(table: str, keys: list[str], value: str, date: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Quantiles of values from monthly sketches, held to their stated error of rank."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = _cdm(spark, sf_dir)[table]
+        rows = rows.filter(f"{value} IS NOT NULL").select(*keys, F.col(value).cast("double").alias("v"), date).dropna(subset=keys)
+        rows = rows.withColumn("month", F.date_format(date, "yyyyMM").cast("int"))
+        merged = summaries.merged(summaries.summarise(rows, keys, "month", value="v"), keys)
+        return summaries.ranks_held(rows, keys, "v", merged.select(*keys, summaries.quantile_estimates().alias("estimates")))
+
+    return run
+
+
+_SPAN = (199604, 199709)
+
+
+def _approximate_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Persons by condition over a span of months that no analysis counts, from the sketches of a stored run."""
+    cdm = _cdm(spark, sf_dir)
+    out = run_analyses(spark, cdm, _scratch(spark), ids=[400, 700], with_heel=False, summaries=True)
+    estimated = approximate_persons(out, 400, *_SPAN, limit=None)
+    events = cdm.events(CONDITION).filter(F.col("month").between(*_SPAN))
+    exact = events.groupBy(F.col("concept_id").cast("string").alias("stratum_1")).agg(
+        F.countDistinct("person_id").alias("persons")
+    )
+    off = F.abs(F.col("count_value") - F.col("persons")) <= summaries.person_error() * F.col("persons")
+    return exact.join(estimated, "stratum_1").select("stratum_1", "persons", "records", off.alias("within"))
+
+
+def _scratch(spark: SparkSession) -> str:
+    return f"{work_folder(spark, tempfile.gettempdir())}/store"
+
+
+def _stored_clinical(spark: SparkSession, sf_dir: str) -> Cdm:
+    """The derived clinical tables written once, as a warehouse has them."""
+    derived, stored, folder = DerivedTables(spark, sf_dir), {}, _scratch(spark)
+    for name in DERIVED:
+        if name != "order_line":
+            derived[name].write.parquet(f"{folder}/{name}")
+            stored[name] = spark.read.parquet(f"{folder}/{name}")
+    return Cdm(stored)
+
+
+_REDONE = (2, 402, 715, 2000)  # the last is no analysis of version 5 and left out
+
+
+def _whole_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All analyses run and stored, some of them run again with small cells suppressed, and everything read back."""
+    out, cdm = _scratch(spark), _stored_clinical(spark, sf_dir)
+    run_analyses(spark, cdm, out, small_cell_count=None, with_heel=False)
+    redone = [i for i in _REDONE if i in analyses("v5")]
+    results = run_analyses(spark, cdm, out, ids=redone, create=False, with_heel=False)
+    counts = results.counts(*results.ids(RESULTS))
+    spread = results.dist(*results.ids(DIST)).select(
+        "analysis_id", *STRATA, "count_value", "min_value", "median_value", "max_value"
+    )
+    return counts.withColumns({c: F.lit(None).cast("double") for c in ("min_value", "median_value", "max_value")}).unionByName(spread)
+
+
+def _whole_run_sql() -> str:
+    """The union of all check queries, with the later suppression of those that were run again."""
+    known = analyses("v5")
+    counts = tuple(i for i, a in known.items() if a.kind in (RESULTS, BOTH))
+    dists = tuple(i for i, a in known.items() if a.kind in (DIST, BOTH))
+    redone = ", ".join(str(i) for i in _REDONE)
+    strata = ", ".join(f"stratum_{i}" for i in range(1, 5)) + ", CAST(NULL AS varchar) AS stratum_5"
+    empty = ", ".join(f"CAST(NULL AS double) AS {c}" for c in ("min_value", "median_value", "max_value"))
+    return with_results(
+        f"SELECT * FROM (SELECT analysis_id, {strata}, count_value, {empty} FROM res UNION ALL "
+        f"SELECT analysis_id, {strata}, count_value, min_value, median_value, max_value FROM dst) AS a "
+        f"WHERE analysis_id NOT IN ({redone}) OR count_value > 5",
+        counts, dists,
+    )
+
+
 class _V4Tables(Mapping):
     """The derived tables under their version 4 column names."""
 
@@ -246,6 +371,59 @@ _MANAGEMENT: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     ),
 }
 
+_SETS = _families("grouping")
+_CHECKS = _families("check")
+
+
+def _padded_sql(ids: list[int], strata: int) -> str:
+    columns = "".join(f", stratum_{i}" for i in range(1, strata + 1))
+    return with_results(f"SELECT analysis_id{columns}, count_value FROM res", tuple(ids))
+
+
+def _persons_sql(table: str, concept: str, date: str) -> str:
+    return with_tables(
+        f"SELECT {concept} AS concept_id, CAST(year({date}) AS integer) AS year, count(person_id) AS records, "
+        f"count(DISTINCT person_id) AS persons, true AS within FROM {table} GROUP BY 1, 2"
+    )
+
+
+def _values_sql(table: str, keys: list[str], value: str) -> str:
+    by = ", ".join(keys)
+    known = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    return with_tables(
+        f"SELECT {by}, count(*) AS n, true AS within FROM {table} WHERE {value} IS NOT NULL AND {known} GROUP BY {by}"
+    )
+
+
+_VALUES = (
+    ("measurement", ["measurement_concept_id", "unit_concept_id"], "value_as_number", "measurement_date"),
+    ("observation", ["observation_concept_id", "unit_concept_id"], "value_as_number", "observation_date"),
+    ("drug_exposure", ["drug_concept_id"], "quantity", "drug_exposure_start_date"),
+)
+
+#: Queries of mechanisms that serve several analyses at once, with their check SQL.
+_SHARED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
+    **{f"sets_{t}": (_together(stratified, ids), _padded_sql(ids, 2)) for t, ids in _SETS.items()},
+    **{f"checks_{t}": (_together(checked, ids), _padded_sql(ids, 0)) for t, ids in _CHECKS.items()},
+    **{
+        f"approx_persons_{d.table}": (_approximate_persons(d), _persons_sql(d.table, d.concept, d.start))
+        for d in (CONDITION, DRUG, MEASUREMENT)
+    },
+    **{
+        f"approx_values_{table}": (_approximate_values(table, keys, value, date), _values_sql(table, keys, value))
+        for table, keys, value, date in _VALUES
+    },
+    "approx_stored": (
+        _approximate_stored,
+        with_tables(
+            "SELECT CAST(condition_concept_id AS varchar) AS stratum_1, count(DISTINCT person_id) AS persons, "
+            "count(person_id) AS records, true AS within FROM condition_occurrence "
+            f"WHERE year(condition_start_date) * 100 + month(condition_start_date) BETWEEN {_SPAN[0]} AND {_SPAN[1]} GROUP BY 1"
+        ),
+    ),
+    "store_whole_run": (_whole_run, _whole_run_sql()),
+}
+
 _ROLLED_UP = (400, 401, 404, 405, 406, 409)
 
 
@@ -254,11 +432,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["family_dist_located_ranks"] = _located_costs
     out.update({f"rollup_a{i:04d}": _rolled_up(i) for i in _ROLLED_UP})
     out.update({f"v4_a{i:04d}": _v4_query(i) for i in _V4})
-    out.update({name: query for name, (query, _) in _MANAGEMENT.items()})
+    out.update({name: query for name, (query, _) in {**_MANAGEMENT, **_SHARED}.items()})
     out.update({f"heel_{n:02d}": _rule_query(n) for n in ALL_RULES})
     out.update({f"rpt_{name}": _report_query(name) for name in REPORTS})
-    out.update({f"doc_{name}": _document_query(name) for name in DOCUMENTS if name != "heel"})
+    out.update({f"doc_{name}": _heel_document if name == "heel" else _document_query(name) for name in DOCUMENTS})
     out.update({f"doc_{domain}_details": _details_query(domain) for domain in DETAILS})
+    out.update({f"doc_{domain}_treemap": _treemap_query(domain) for domain in DETAILS})
     out.update({f"entries_{name}": _document_entries(name) for name in _ENTRIES_SUMMARY})
     out.update({f"entries_{domain}_details": _details_entries(domain) for domain in _ENTRIES_DETAIL})
     if llm:
@@ -274,9 +453,12 @@ def oracle_sql() -> dict[str, str]:
     out.update({f"rollup_a{i:04d}": with_tables(bodies[i]) for i in _ROLLED_UP})
     old = analysis_sql("v4")
     out.update({f"v4_a{i:04d}": with_tables(old[i]) for i in _V4})
-    out.update({name: sql for name, (_, sql) in _MANAGEMENT.items()})
+    out.update({name: sql for name, (_, sql) in {**_MANAGEMENT, **_SHARED}.items()})
     out.update({f"heel_{n:02d}": sql for n, sql in rule_sql().items()})
     out.update({f"rpt_{name}": sql for name, sql in report_sql().items()})
+    out.update({f"doc_{name}": summary_values(name) for name in DOCUMENTS})
+    out.update({f"doc_{domain}_details": detail_values(domain) for domain in DETAILS})
+    out.update({f"doc_{domain}_treemap": treemap_values(domain, _TREEMAP[domain.endswith("era")]) for domain in DETAILS})
     out.update({f"entries_{name}": summary_entries(name) for name in _ENTRIES_SUMMARY})
     out.update({f"entries_{domain}_details": detail_entries(domain) for domain in _ENTRIES_DETAIL})
     if llm:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from popscan.analyses.values import unpivot
 from popscan.catalogue import analysis, shared_analyses
 from popscan.cdm import Cdm
-from popscan.operators import count_rows, distribution, orphans
+from popscan.operators import Check, count_rows, distribution, orphan_check, orphans, spread_join
 
 # column and wording of the measures, in the order of their numbers (fixed values)
 _MEASURES = (
@@ -34,7 +34,9 @@ def _costs(
 ) -> DataFrame:
     mapped = cdm[event].filter(F.col(concept) != 0).select(key, concept)
     wanted = {i: columns[i][0] for i in ids}
-    joined = cdm[cost].select(key, *wanted.values()).join(mapped, key)
+    # rows without any of the measures have nothing to tell; ids that do not match any event are often one and the same
+    told = cdm[cost].select(key, *wanted.values()).dropna("all", subset=list(wanted.values()))
+    joined = spread_join(told, mapped, key)
     long = unpivot(joined, [concept], {i: F.col(c) for i, c in wanted.items()})
     return distribution(long, ["analysis_id", concept], "value", legacy=cdm.legacy, bounded=False)
 
@@ -58,27 +60,43 @@ def procedure_costs(cdm: Cdm, ids: Sequence[int]) -> DataFrame:
     )
 
 
+def _orphan_check(cost: str, key: str, parent: str, keep_null: bool) -> Check:
+    return orphan_check(key, parent, key, f"{cost}_id", keep_null)
+
+
 def _orphans(cdm: Cdm, cost: str, key: str, parent: str, keep_null: bool) -> DataFrame:
     has_id = F.when(F.col(f"{cost}_id").isNotNull(), 1).otherwise(0)
     return orphans(cdm[cost], key, cdm[parent], key, has_id, keep_null_fk=keep_null)
 
 
-@analysis(1500, "Number of drug cost records with invalid drug exposure id", family="ORPHAN")
+@analysis(
+    1500, "Number of drug cost records with invalid drug exposure id", family="ORPHAN",
+    check=("drug_cost", _orphan_check("drug_cost", "drug_exposure_id", "drug_exposure", True)),
+)
 def drug_costs_without_exposure(cdm: Cdm) -> DataFrame:
     return _orphans(cdm, "drug_cost", "drug_exposure_id", "drug_exposure", True)
 
 
-@analysis(1501, "Number of drug cost records with invalid payer plan period id", family="ORPHAN")
+@analysis(
+    1501, "Number of drug cost records with invalid payer plan period id", family="ORPHAN",
+    check=("drug_cost", _orphan_check("drug_cost", "payer_plan_period_id", "payer_plan_period", False)),
+)
 def drug_costs_without_plan(cdm: Cdm) -> DataFrame:
     return _orphans(cdm, "drug_cost", "payer_plan_period_id", "payer_plan_period", False)
 
 
-@analysis(1600, "Number of procedure cost records with invalid procedure occurrence id", family="ORPHAN")
+@analysis(
+    1600, "Number of procedure cost records with invalid procedure occurrence id", family="ORPHAN",
+    check=("procedure_cost", _orphan_check("procedure_cost", "procedure_occurrence_id", "procedure_occurrence", True)),
+)
 def procedure_costs_without_procedure(cdm: Cdm) -> DataFrame:
     return _orphans(cdm, "procedure_cost", "procedure_occurrence_id", "procedure_occurrence", True)
 
 
-@analysis(1601, "Number of procedure cost records with invalid payer plan period id", family="ORPHAN")
+@analysis(
+    1601, "Number of procedure cost records with invalid payer plan period id", family="ORPHAN",
+    check=("procedure_cost", _orphan_check("procedure_cost", "payer_plan_period_id", "payer_plan_period", False)),
+)
 def procedure_costs_without_plan(cdm: Cdm) -> DataFrame:
     return _orphans(cdm, "procedure_cost", "payer_plan_period_id", "payer_plan_period", False)
 

@@ -15,12 +15,19 @@ from popscan import catalogue
 from popscan.catalogue import DIST, RESULTS, Analysis
 from popscan.cdm import Cdm, Domain
 from popscan.operators import (
+    PERSONS,
+    RECORDS,
+    Check,
+    Stratum,
     by_demographics,
     count_distinct,
     count_records,
     distribution,
+    inverted_check,
     inverted_dates,
     no_value,
+    no_value_check,
+    orphan_check,
     orphans,
     outside_period,
 )
@@ -62,8 +69,12 @@ def _register(
     build: Callable[[Cdm], DataFrame],
     kind: str = RESULTS,
     versions: tuple[str, ...] = ("v4", "v5"),
+    grouping: tuple[Domain, Stratum] | None = None,
+    check: tuple[str, Check] | None = None,
 ) -> None:
-    catalogue.register(Analysis(number, name, strata, family, kind, build, versions=versions))
+    catalogue.register(
+        Analysis(number, name, strata, family, kind, build, versions=versions, grouping=grouping, check=check)
+    )
 
 
 def _age_at_first(cdm: Cdm, d: Domain) -> DataFrame:
@@ -96,33 +107,34 @@ def _common(
     """
     c = d.concept
 
-    def add(offset, name, strata, family, build, kind=RESULTS):
+    def add(offset, name, strata, family, build, kind=RESULTS, grouping=None):
         FROM_EVENTS[base + offset] = d
-        _register(base + offset, name, strata, family, build, kind, versions)
-
-    add(0, f"Number of persons with at least one {event}, by {c}", (c,), "COUNT",
-        lambda cdm: count_distinct(cdm.events(d), ["concept_id"]))
-    add(1, f"Number of {records} records, by {c}", (c,), "COUNT",
-        lambda cdm: count_records(cdm.events(d), ["concept_id"]))
-    add(2, f"Number of persons by {started} start month, by {c}", (c, "calendar month"), "COUNT",
-        lambda cdm: count_distinct(cdm.events(d), ["concept_id", "month"]))
+        _register(base + offset, name, strata, family, build, kind, versions, grouping)
+
+    def count(offset, name, strata, keys, measure):
+        def build(cdm: Cdm) -> DataFrame:
+            return (count_distinct if measure == PERSONS else count_records)(cdm.events(d), keys)
+
+        add(offset, name, strata, "COUNT", build, grouping=(d, Stratum(tuple(keys), measure)))
+
+    count(0, f"Number of persons with at least one {event}, by {c}", (c,), ["concept_id"], PERSONS)
+    count(1, f"Number of {records} records, by {c}", (c,), ["concept_id"], RECORDS)
+    count(2, f"Number of persons by {started} start month, by {c}", (c, "calendar month"), ["concept_id", "month"], PERSONS)
     add(3, f"Number of distinct {concepts} concepts per person", (), "DIST",
         lambda cdm: _concepts_per_person(cdm, d), DIST)
     add(4, f"Number of persons with at least one {event}, by {c} by calendar year by gender by age decile",
         (c, "calendar year", "gender_concept_id", "age decile"), "DEMOG",
         lambda cdm: _demographics(cdm, d))
     if d.type:
-        add(5, f"Number of {typed or records} records, by {c} by {d.type}", (c, d.type), "COUNT",
-            lambda cdm: count_records(cdm.events(d), ["concept_id", "type_id"]))
+        count(5, f"Number of {typed or records} records, by {c} by {d.type}", (c, d.type), ["concept_id", "type_id"], RECORDS)
     add(6, f"Distribution of age by {c}", (c, "gender_concept_id"), "DIST",
         lambda cdm: _age_at_first(cdm, d), DIST)
     if d.unit:
-        add(7, f"Number of {typed or records} records, by {c} and unit_concept_id", (c, "unit_concept_id"),
-            "COUNT", lambda cdm: count_records(cdm.events(d), ["concept_id", "unit_id"]))
+        count(7, f"Number of {typed or records} records, by {c} and unit_concept_id", (c, "unit_concept_id"),
+              ["concept_id", "unit_id"], RECORDS)
     noun = {"observation": "observation", "measurement": "measurement"}.get(d.table, records)
     month = {"observation": "observation", "measurement": "measurement"}.get(d.table, started)
-    add(20, f"Number of {noun} records{gap}by {month} start month", ("calendar month",), "COUNT",
-        lambda cdm: count_records(cdm.events(d), ["month"]))
+    count(20, f"Number of {noun} records{gap}by {month} start month", ("calendar month",), ["month"], RECORDS)
 
 
 def _checks(
@@ -138,7 +150,7 @@ def _checks(
     _register(
         person, f"Number of {subject} {invalid_person}", (), "ORPHAN",
         lambda cdm: orphans(cdm.events(d), "person_id", cdm["person"], "person_id", F.col("n")),
-        versions=versions,
+        versions=versions, check=(d.table, orphan_check("person_id", "person", "person_id")),
     )
     FROM_EVENTS[person] = d
     _register(
@@ -153,6 +165,7 @@ def _checks(
         _register(
             inverted, f"Number of {subject} with end date < start date", (), "INVERT",
             lambda cdm: inverted_dates(cdm[d.table], d.start, d.end), versions=versions,
+            check=(d.table, inverted_check(d.start, d.end)),
         )
 
     def add_key(number: int, column: str, parent: str, pk: str, called: str) -> None:
@@ -161,8 +174,9 @@ def _checks(
             return orphans(cdm[d.table], column, cdm[parent], pk, has_person)
 
         _register(
-            number, f"Number of {subject} with invalid {called}", (), "ORPHAN", build, versions=versions
-        )
+            number, f"Number of {subject} with invalid {called}", (), "ORPHAN", build, versions=versions,
+            check=(d.table, orphan_check(column, parent, pk)),
+        )
 
     for key in keys:
         add_key(*key)
@@ -203,11 +217,16 @@ _common(1800, MEASUREMENT, "measurement", "measurement occurrence", "measurement
 _checks(MEASUREMENT, "measurement records", 1809, 1810, None, (_provider(1812), _visit(1813)), versions=("v5",))
 
 
+_OBSERVED = ["value_as_number", "value_as_string", "value_as_concept_id"]
+_MEASURED = ["value_as_number", "value_as_concept_id"]
+
+
 @catalogue.analysis(
-    814, "Number of observation records with no value (numeric, string, or concept)", family="NOVALUE"
-)
+    814, "Number of observation records with no value (numeric, string, or concept)", family="NOVALUE",
+    check=("observation", no_value_check(_OBSERVED)),
+)
 def observations_without_value(cdm: Cdm) -> DataFrame:
-    return no_value(cdm["observation"], ["value_as_number", "value_as_string", "value_as_concept_id"])
+    return no_value(cdm["observation"], _OBSERVED)
 
 
 @catalogue.analysis(
@@ -215,6 +234,7 @@ def observations_without_value(cdm: Cdm) -> DataFrame:
     "Number of measurement records with no value (numeric, string, or concept)",
     family="NOVALUE",
     versions=("v5",),
+    check=("measurement", no_value_check(_MEASURED)),
 )
 def measurements_without_value(cdm: Cdm) -> DataFrame:
-    return no_value(cdm["measurement"], ["value_as_number", "value_as_concept_id"])
+    return no_value(cdm["measurement"], _MEASURED)

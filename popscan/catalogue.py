@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from popscan import schemas
-from popscan.cdm import Cdm
-from popscan.operators import STATISTICS
+from popscan.cdm import Cdm, Domain
+from popscan.operators import STATISTICS, Check, Stratum, check_all, stratify
 
 RESULTS, DIST, BOTH = "results", "dist", "both"
 _MEASURES = ("count_value", *STATISTICS)
@@ -27,7 +27,11 @@ class Analysis:
 
     ``build`` returns the strata in order followed by ``count_value`` and, for
     distributions, the statistics. A shared builder takes the wanted ids as a
-    second argument and returns ``analysis_id`` as well.
+    second argument and returns ``analysis_id`` as well. An analysis that is
+    one grouping of a domain's events says so by ``grouping``; several of one
+    domain are then computed in a single pass (:func:`stratified`). So are
+    integrity checks of one fact table that are described by ``check``
+    (:func:`checked`).
     """
 
     id: int
@@ -38,6 +42,8 @@ class Analysis:
     build: Callable[..., DataFrame]
     shared: bool = False
     versions: tuple[str, ...] = ("v4", "v5")
+    grouping: tuple[Domain, Stratum] | None = None
+    check: tuple[str, Check] | None = None
 
     def frame(self, cdm: Cdm) -> DataFrame:
         """``analysis_id, stratum_1.., count_value[, statistics]`` in final types."""
@@ -82,11 +88,12 @@ def analysis(
     family: str = "COUNT",
     kind: str = RESULTS,
     versions: tuple[str, ...] = ("v4", "v5"),
+    check: tuple[str, Check] | None = None,
 ):
     """Register the decorated builder under ``number``."""
 
     def wrap(build: Callable[[Cdm], DataFrame]):
-        register(Analysis(number, name, tuple(strata), family, kind, build, versions=versions))
+        register(Analysis(number, name, tuple(strata), family, kind, build, versions=versions, check=check))
         return build
 
     return wrap
@@ -118,22 +125,49 @@ def analyses(version: str | None = None) -> dict[int, Analysis]:
     }
 
 
+def stratified(cdm: Cdm, ids: Iterable[int]) -> DataFrame:
+    """Analyses that group the events of one domain, from one pass over them: ``analysis_id, stratum_1.., count_value``."""
+    wanted = {i: analyses()[i].grouping for i in ids}
+    if None in wanted.values() or len({d for d, _ in wanted.values()}) != 1:
+        raise ValueError(f"not groupings of one event table: {sorted(wanted)}")
+    domain = next(iter(wanted.values()))[0]
+    return _shape(stratify(cdm.events(domain), {i: s for i, (_, s) in wanted.items()}))
+
+
+def checked(cdm: Cdm, ids: Iterable[int]) -> DataFrame:
+    """Integrity checks of one fact table, from one scan of it: ``analysis_id, count_value``."""
+    wanted = {i: analyses()[i].check for i in ids}
+    if None in wanted.values() or len({t for t, _ in wanted.values()}) != 1:
+        raise ValueError(f"not checks of one table: {sorted(wanted)}")
+    table = next(iter(wanted.values()))[0]
+    return _shape(check_all(cdm[table], {i: c for i, (_, c) in wanted.items()}, cdm.tables))
+
+
 def frames(cdm: Cdm, ids: Iterable[int]) -> list[tuple[str, DataFrame]]:
     """``(kind, frame)`` for the given analyses, in full result schemas.
 
-    Analyses of one shared builder come from a single frame and thus one scan.
+    Analyses of one shared builder come from a single frame and thus one scan,
+    and so do those that group the events of one domain or check one table.
     """
     known = analyses()
     out: list[tuple[str, DataFrame]] = []
     shared: dict[Callable, list[int]] = {}
+    grouped: dict[tuple[Callable, Domain | str], list[int]] = {}
     for i in ids:
         entry = known[i]
         if entry.shared:
             shared.setdefault(entry.build, []).append(i)
+        elif entry.grouping:
+            grouped.setdefault((stratified, entry.grouping[0]), []).append(i)
+        elif entry.check:
+            grouped.setdefault((checked, entry.check[0]), []).append(i)
         else:
             frame = entry.frame(cdm)
             for kind in (RESULTS, DIST) if entry.kind == BOTH else (entry.kind,):
                 out.append((kind, pad(frame, kind)))
+    for (together, _), wanted in grouped.items():
+        alone = len(wanted) == 1
+        out.append((RESULTS, pad(known[wanted[0]].frame(cdm) if alone else together(cdm, wanted), RESULTS)))
     for build, wanted in shared.items():
         out.append((known[wanted[0]].kind, pad(_shape(build(cdm, wanted)), known[wanted[0]].kind)))
     return out

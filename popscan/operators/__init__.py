@@ -13,12 +13,29 @@ from popscan.operators.counts import (
     first_period,
 )
 from popscan.operators.dist import STATISTICS, distribution, histogram
-from popscan.operators.integrity import inverted_dates, no_value, orphans, outside_period
+from popscan.operators.grouping import PERSONS, RECORDS, Stratum, stratify
+from popscan.operators.integrity import (
+    Check,
+    check_all,
+    inverted_check,
+    inverted_dates,
+    no_value,
+    no_value_check,
+    orphan_check,
+    orphans,
+    outside_period,
+)
+from popscan.operators.joins import heavy_keys, spread_join
 
 __all__ = [
+    "PERSONS",
+    "RECORDS",
     "STATISTICS",
+    "Check",
+    "Stratum",
     "by_demographics",
     "calendar_coverage",
+    "check_all",
     "count_distinct",
     "count_of_counts",
     "count_records",
@@ -28,10 +45,16 @@ __all__ = [
     "disjoint_segments",
     "distribution",
     "first_period",
+    "heavy_keys",
     "histogram",
+    "inverted_check",
     "inverted_dates",
     "no_value",
+    "no_value_check",
+    "orphan_check",
     "orphans",
     "outside_period",
     "relative_to_range",
+    "spread_join",
+    "stratify",
 ]

@@ -1,10 +1,9 @@
-"""Calendar coverage: how many persons are covered in each calendar year or month.
+"""Calendar coverage by differences: how many persons are covered in each calendar year or month.
 
-The plain form is a range join of all periods with a calendar followed by a
-distinct count, which multiplies every period by the units it spans. Here each
-person's units are first merged into disjoint segments, segments are counted
-by their two ends (a table bounded by calendar length, not by data), and only
-those few counted segments are expanded into units.
+The plain form is a range join of all periods with a calendar followed by a distinct count, which multiplies every
+period by the units it spans. Here each person's units are first merged into disjoint ranges. A range is +1 at its first
+unit and -1 after its last; the differences are added up per unit, where at most one row per unit and task is left, and
+the running sum over the units is the number of persons covered.
 """
 
 from __future__ import annotations
@@ -51,6 +50,14 @@ def disjoint_segments(spans: DataFrame) -> DataFrame:
     )
 
 
+def differences(segments: DataFrame, attributes: Sequence[str] = ()) -> DataFrame:
+    """``u, change`` [and attributes]: +1 where a range begins, -1 behind its end, not yet added up."""
+    edges = segments.select(*attributes, F.col("lo").alias("1"), (F.col("hi") + 1).alias("-1"))
+    return edges.unpivot(list(attributes), ["1", "-1"], "edge", "u").select(
+        *attributes, "u", F.col("edge").cast("long").alias("change")
+    )
+
+
 def calendar_coverage(
     periods: DataFrame,
     start: str,
@@ -70,7 +77,7 @@ def calendar_coverage(
     """
     lo, hi = _bounds(F.col(start), F.col(end), unit, mode)
     dated = periods.filter(F.col(start).isNotNull())
-    calendar = dated.select(_unit(F.col(start), unit).alias("u")).distinct()
+    opened = dated.select(_unit(F.col(start), unit).alias("u"))
     spans = (
         dated.filter(F.col("person_id").isNotNull() & F.col(end).isNotNull())
         .select("person_id", lo.alias("lo"), hi.alias("hi"))
@@ -81,15 +88,24 @@ def calendar_coverage(
         # rows are clustered by person here, so the distinct needs no shuffle; it
         # keeps the count exact should the person table repeat an id
         segments = segments.join(persons.select("person_id", *attributes), "person_id").distinct()
-    counted = segments.groupBy("lo", "hi", *attributes).agg(F.count("person_id").alias("persons"))
-    # open-ended periods (year 9999) must not be expanded past the calendar
-    last = calendar.agg(F.max("u").alias("u")).scalar()
-    units = counted.withColumn("hi", F.least("hi", last)).filter(F.col("lo") <= F.col("hi"))
-    units = units.select(*attributes, "persons", F.explode(F.sequence("lo", "hi")).alias("u"))
+    changes = differences(segments, attributes)
+    count = F.sum("change").over(W.partitionBy(*attributes).orderBy("u"))
+    if attributes:
+        # the running count of each group holds up to its next change; the calendar's units in between are its rows
+        added = changes.groupBy("u", *attributes).agg(F.sum("change").alias("change"))
+        upto = F.lead("u").over(W.partitionBy(*attributes).orderBy("u"))
+        held = added.select("u", upto.alias("upto"), *attributes, count.alias(COUNT)).filter(F.col(COUNT) > 0)
+        calendar = opened.agg(F.array_sort(F.collect_set("u")).alias("calendar")).scalar()
+        within = F.filter("calendar", lambda u: (u >= F.col("since")) & (u < F.col("upto")))
+        held = held.withColumnRenamed("u", "since").withColumn("calendar", calendar)
+        rows = held.select(F.explode(within).alias("u"), *attributes, COUNT)
+    else:
+        # units of the calendar join the differences as rows that change nothing; what is left for the
+        # running sum is a row per unit
+        marked = changes.select("u", "change", F.lit(False).alias("opens")).unionByName(
+            opened.select("u", F.lit(0).cast("long").alias("change"), F.lit(True).alias("opens"))
+        )
+        added = marked.groupBy("u").agg(F.sum("change").alias("change"), F.bool_or("opens").alias("opens"))
+        rows = added.select("u", "opens", count.alias(COUNT)).filter(F.col("opens") & (F.col(COUNT) > 0))
     key = F.col("u") if unit == "year" else month_key_of_index(F.col("u"))
-    return (
-        units.join(calendar, "u", "left_semi")
-        .groupBy("u", *attributes)
-        .agg(F.sum("persons").alias(COUNT))
-        .select(key.cast("int").alias("unit"), *attributes, COUNT)
-    )
+    return rows.select(key.cast("int").alias("unit"), *attributes, COUNT)

@@ -1,7 +1,14 @@
-"""Integrity checks: orphans, events outside observation, inverted dates, missing values."""
+"""Integrity checks: orphans, events outside observation, inverted dates, missing values.
+
+Single checks are functions of one table. :func:`check_all` answers all checks of a fact table from one scan of it.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -86,3 +93,56 @@ def no_value(df: DataFrame, columns: list[str], counted: str = "person_id") -> D
     for c in columns:
         missing = missing & F.col(c).isNull()
     return df.filter(missing).agg(F.count(counted).alias(COUNT))
+
+
+@dataclass(frozen=True)
+class Check:
+    """One check of a fact table: rows that meet ``failing`` and have a value in ``counted``.
+
+    With ``parent`` (table and column) only those rows fail whose ``key`` it lacks. Rows without a key then count as
+    failing only under ``keep_null_key``.
+    """
+
+    counted: str
+    failing: str = "true"
+    key: str | None = None
+    parent: tuple[str, str] | None = None
+    keep_null_key: bool = False
+
+
+def orphan_check(key: str, parent: str, parent_key: str, counted: str = "person_id", keep_null_key: bool = False) -> Check:
+    return Check(counted, key=key, parent=(parent, parent_key), keep_null_key=keep_null_key)
+
+
+def inverted_check(start: str, end: str, counted: str = "person_id") -> Check:
+    return Check(counted, f"{end} < {start}")
+
+
+def no_value_check(columns: list[str], counted: str = "person_id") -> Check:
+    return Check(counted, " AND ".join(f"{c} IS NULL" for c in columns))
+
+
+def check_all(facts: DataFrame, checks: Mapping[int, Check], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """``analysis_id, count_value`` of all checks of one fact table.
+
+    Each row is unpivoted to (check, parent table, key) where it may fail, and counted by these before it is shuffled,
+    so a key shared by very many facts is a row per task. One anti join against all parent tables, tagged by name, takes
+    away the keys that exist; checks without a parent have no key and pass it untouched.
+    """
+    entries = []
+    for number, c in checks.items():
+        key = F.lit(None).cast("long") if c.key is None else F.col(c.key).cast("long")
+        fails = F.expr(c.failing) & F.col(c.counted).isNotNull()
+        if c.parent and not c.keep_null_key:
+            fails = fails & key.isNotNull()
+        parent = F.lit(c.parent[0] if c.parent else None).cast("string")
+        entries.append(F.struct(F.lit(number).alias("analysis_id"), parent.alias("parent"), key.alias("key"), fails.alias("fails")))
+    failed = facts.select(F.inline(F.array(*entries))).filter("fails")
+    per_key = failed.groupBy("analysis_id", "parent", "key").agg(F.count(F.lit(1)).alias("n"))
+    parents = sorted({c.parent for c in checks.values() if c.parent})
+    if parents:
+        tagged = [tables[t].select(F.lit(t).alias("parent"), F.col(pk).cast("long").alias("key")) for t, pk in parents]
+        per_key = per_key.join(reduce(DataFrame.unionByName, tagged), ["parent", "key"], "left_anti")
+    # every check has a row, also one that finds nothing
+    every = facts.sparkSession.createDataFrame([(i, 0) for i in checks], "analysis_id int, n long")
+    return per_key.select("analysis_id", "n").unionByName(every).groupBy("analysis_id").agg(F.sum("n").alias(COUNT))

@@ -14,13 +14,17 @@ from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from popscan import heel, schemas
+from popscan import heel
 from popscan.analyses.domains import FROM_EVENTS
 from popscan.catalogue import BOTH, DIST, RESULTS, analyses, analysis_catalogue, frames
 from popscan.cdm import Cdm
-from popscan.results import SMALL_CELL_COUNT, StoredResults, suppress_small_cells, write_results
+from popscan.operators import PERSONS, Stratum
+from popscan.operators.summaries import summarise
+from popscan.results import CATALOGUE, HEEL, SMALL_CELL_COUNT, SUMMARIES, StoredResults, suppress_small_cells
 from popscan.sources.cdm import schema_defects
+from popscan.store import ResultStore
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 # An event table is worth a rollup from this many analyses on.
@@ -52,6 +56,19 @@ def _batches(ids: Iterable[int]) -> list[list[int]]:
     return list(out.values())
 
 
+def _sketched(number: int) -> bool:
+    grouping = analyses()[number].grouping
+    return grouping is not None and grouping[1] == Stratum(("concept_id",), PERSONS)
+
+
+def _person_sketches(cdm: Cdm, number: int) -> DataFrame:
+    events = cdm.events(analyses()[number].grouping[0])
+    return summarise(events, ["concept_id"], "month", weight="n", person="person_id").select(
+        F.lit(number).alias("analysis_id"), F.col("concept_id").cast("string").alias("stratum_1"),
+        F.col("month").cast("int").alias("month"), "records", "persons",
+    )
+
+
 def run_analyses(
     spark: SparkSession,
     cdm: Cdm,
@@ -63,16 +80,22 @@ def run_analyses(
     with_heel: bool = True,
     this_year: int | None = None,
     validate_schema: bool = False,
+    summaries: bool = False,
 ) -> StoredResults:
-    """Compute analyses and write them under ``output``.
-
-    Writes ``results``, ``dist``, ``catalogue`` and, unless ``with_heel`` is
-    off, ``heel``. ``ids`` defaults to all analyses of the data set's version.
-    ``create=False`` keeps stored analyses not in ``ids``. Counts up to
-    ``small_cell_count`` are suppressed; ``None`` keeps all.
+    """Compute analyses and commit them as the next version of the store at ``output``.
+
+    A version holds ``results``, ``dist``, ``catalogue`` and, unless
+    ``with_heel`` is off, ``heel``. ``ids`` defaults to all analyses of the
+    data set's version. ``create=False`` takes stored analyses not in ``ids``
+    over from the version before. Until the commit, which is the last step,
+    readers see the old version whole, and a run that breaks changes nothing.
+    Counts up to ``small_cell_count`` are suppressed; ``None`` keeps all.
     ``validate_schema`` refuses data sets that lack a table or column of the
     model, before any work. Without it, a table that an analysis needs and does
-    not find fails the run before its output is touched.
+    not find fails the run before anything is written. ``summaries`` also
+    stores monthly person sketches of the analyses that count persons by
+    concept (``approximate_persons`` reads them); sketches are not suppressed,
+    so keep such a store as private as the data.
     """
     if validate_schema and (defects := schema_defects(cdm)):
         raise ValueError(f"not in the data set: {', '.join(defects)}")
@@ -95,26 +118,30 @@ def run_analyses(
             }
         )
 
-    fresh = {RESULTS: create, DIST: create}
-    for batch, built in [(batch, frames(cdm, batch)) for batch in _batches(wanted)]:
+    built = [(batch, frames(cdm, batch)) for batch in _batches(wanted)]
+    store = ResultStore(spark, output)
+    try:
+        base = None if create else store.version()
+    except FileNotFoundError:
+        base = None
+    run = store.begin()
+    for batch, parts in built:
         for kind in (RESULTS, DIST):
-            parts = [df for k, df in built if k == kind]
-            if not parts:
+            of_kind = [df for k, df in parts if k == kind]
+            if not of_kind:
                 continue
             asked = [i for i in batch if analyses(cdm.version)[i].kind in (kind, BOTH)]
-            df = reduce(DataFrame.unionByName, parts)
+            df = reduce(DataFrame.unionByName, of_kind)
             if small_cell_count is not None:
                 df = suppress_small_cells(df, small_cell_count)
-            write_results(df, f"{output}/{kind}", fresh[kind], asked)
-            fresh[kind] = False
-    for kind, empty in fresh.items():
-        if empty:  # keep both tables readable even if nothing of a kind was asked for
-            schema = schemas.RESULTS if kind == RESULTS else schemas.RESULTS_DIST
-            spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{output}/{kind}")
-    analysis_catalogue(spark).write.mode("overwrite").parquet(f"{output}/catalogue")
-    stored = StoredResults(spark, output)
+            run.write(kind, df, asked)
+    if summaries:
+        sketched = [i for i in wanted if _sketched(i)]
+        if sketched:
+            run.write(SUMMARIES, reduce(DataFrame.unionByName, [_person_sketches(cdm, i) for i in sketched]), sketched)
+    run.write_whole(CATALOGUE, analysis_catalogue(spark))
     if with_heel:
         concept = cdm["concept"] if "concept" in cdm.tables else None
-        findings = heel.run_heel(stored, concept, version=cdm.version, this_year=this_year)
-        findings.write.mode("overwrite").parquet(f"{output}/heel")
-    return stored
+        results = StoredResults(spark, output, run.preview(base))
+        run.write_whole(HEEL, heel.run_heel(results, concept, version=cdm.version, this_year=this_year))
+    return StoredResults(spark, output, store.commit(run, base))

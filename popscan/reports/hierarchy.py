@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -211,20 +212,33 @@ def observations(v: Vocabulary, only: DataFrame) -> DataFrame:
     return _three_levels(v, v.concept.filter(v.rules.observation), only)
 
 
-def _three_levels(v: Vocabulary, concepts: DataFrame, only: DataFrame) -> DataFrame:
-    """Concepts below three direct ancestors; the largest name of each level."""
-    base = _wanted(concepts, only)
+def ancestor_levels(v: Vocabulary, base: DataFrame, levels: int) -> DataFrame:
+    """``concept_id, level, ancestor, name``: the distinct named ancestors of each concept, by steps of one level.
+
+    Each level is a set of its own, climbed from the set below it, so a concept with many parents has as many rows as it
+    has ancestors on that level, not as there are ways up to them.
+    """
     up = (
         v.tables["concept_ancestor"]
         .filter(F.col("min_levels_of_separation") == 1)
-        .select(F.col("descendant_concept_id").alias("d"), F.col("ancestor_concept_id").alias("a"))
+        .select(F.col("descendant_concept_id").alias("at"), F.col("ancestor_concept_id").alias("ancestor"))
+        .join(_named(v, "ancestor", "name"), "ancestor")  # parents need a row of their own to be climbed further
+    )
+    at = base.select("concept_id", F.col("concept_id").alias("at"))
+    found = []
+    for level in range(1, levels + 1):
+        reached = at.join(up, "at").select("concept_id", "ancestor", "name").distinct()
+        found.append(reached.select("concept_id", F.lit(level).alias("level"), "ancestor", "name"))
+        at = reached.select("concept_id", F.col("ancestor").alias("at")).distinct()
+    return reduce(DataFrame.unionByName, found)
+
+
+def _three_levels(v: Vocabulary, concepts: DataFrame, only: DataFrame) -> DataFrame:
+    """Concepts below three direct ancestors; the largest name of each level."""
+    base = _wanted(concepts, only).select("concept_id", "concept_name")
+    above = ancestor_levels(v, base, 3).groupBy("concept_id").agg(
+        *[F.max(F.when(F.col("level") == i, F.col("name"))).alias(f"n{i}") for i in (1, 2, 3)]
     )
-    out = base.select("concept_id", "concept_name", F.col("concept_id").alias("k0"))
-    for i in (1, 2, 3):
-        link = up.join(_named(v, "a", f"n{i}"), "a", "left").withColumnsRenamed({"d": f"k{i - 1}", "a": f"k{i}"})
-        out = out.join(link, f"k{i - 1}", "left")
-        # parents need a row of their own to be climbed further
-        out = out.withColumn(f"k{i}", F.when(F.col(f"n{i}").isNotNull(), F.col(f"k{i}")))
-    out = out.groupBy("concept_id", "concept_name").agg(*[F.max(f"n{i}").alias(f"n{i}") for i in (1, 2, 3)])
+    named = base.join(above, "concept_id", "left").distinct()
     full = F.concat_ws("||", F.col("concept_id").cast("string"), *[_or_na(c) for c in ("n3", "n2", "n1", "concept_name")])
-    return out.select("concept_id", full.alias("concept_path"))
+    return named.select("concept_id", full.alias("concept_path"))

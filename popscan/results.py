@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from popscan import schemas
 from popscan.catalogue import DIST, RESULTS, analyses, frames
 from popscan.cdm import Cdm
-from popscan.operators import STATISTICS
+from popscan.operators import STATISTICS, summaries
+from popscan.store import ResultStore, Version
 
 SMALL_CELL_COUNT = 5  # fixed value: default suppression limit
+CATALOGUE, HEEL = "catalogue", "heel"  # tables of a run as a whole
+SUMMARIES = "summaries"  # monthly sketches, an option of a run
 STRATA = tuple(f"stratum_{i}" for i in range(1, 6))
 
 
@@ -76,43 +79,47 @@ class FrameResults(ResultSet):
         return self._dist.filter(F.col("analysis_id").isin(*ids))
 
 
-class StoredResults(FrameResults):
-    """Results written by ``run_analyses``; ids prune partitions, markers of reruns are left out."""
+class StoredResults(ResultSet):
+    """Results written by ``run_analyses``: the latest committed version of a store, or an older one by number."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        super().__init__(
-            spark.read.schema(schemas.RESULTS).parquet(f"{path}/{RESULTS}").filter("count_value IS NOT NULL"),
-            spark.read.schema(schemas.RESULTS_DIST).parquet(f"{path}/{DIST}").filter("count_value IS NOT NULL"),
-        )
+    def __init__(self, spark: SparkSession, path: str, version: int | Version | None = None):
+        self.spark, self.store = spark, ResultStore(spark, path)
+        self.version = version if isinstance(version, Version) else self.store.version(version)
+
+    def counts(self, *ids: int) -> DataFrame:
+        return self.store.read(self.version, RESULTS, schemas.RESULTS, ids)
+
+    def dist(self, *ids: int) -> DataFrame:
+        return self.store.read(self.version, DIST, schemas.RESULTS_DIST, ids)
+
+    def ids(self, kind: str) -> list[int]:
+        """Analyses of a kind that the version holds, with rows or without."""
+        return sorted(self.version.of(kind))
 
+    def summaries(self, *ids: int) -> DataFrame:
+        """Monthly person sketches of analyses that count persons by concept; without rows if the run made none."""
+        return self.store.read(self.version, SUMMARIES, schemas.SUMMARIES, ids)
 
-def write_results(df: DataFrame, path: str, create: bool, ids: Iterable[int] = ()) -> None:
-    """Write long results partitioned by analysis.
+    def catalogue(self) -> DataFrame:
+        return self.store.read(self.version, CATALOGUE, schemas.ANALYSIS)
 
-    ``create`` replaces whatever is there. Otherwise the partitions of the
-    analyses in ``df`` and ``ids`` are replaced and all others kept, so an
-    interrupted or repeated run can simply be run again. Only partitions that
-    get a row are replaced, so each of ``ids`` gets a marker: a row without a
-    count, which readers leave out.
+    def heel(self) -> DataFrame:
+        """Findings of the run; without rows if it was made without the rules."""
+        return self.store.read(self.version, HEEL, schemas.HEEL_RESULTS)
+
+
+def approximate_persons(
+    results: StoredResults, number: int, first: int | None = None, last: int | None = None,
+    limit: int | None = SMALL_CELL_COUNT,
+) -> DataFrame:
+    """Distinct persons of an analysis over the months ``first`` to ``last``, estimated from a run's sketches.
+
+    ``stratum_1, records, count_value``; records are exact, persons within ``summaries.person_error()``. Estimates up
+    to ``limit`` are suppressed. Months of several runs may be merged: sketches add up without counting anyone twice.
     """
-    if ids and not create:
-        marked = df.sparkSession.createDataFrame([(i,) for i in ids], "analysis_id int")
-        df = df.unionByName(
-            marked.select(
-                *[
-                    F.col("analysis_id").cast(f.dataType) if f.name == "analysis_id" else F.lit(None).cast(f.dataType).alias(f.name)
-                    for f in df.schema
-                ]
-            )
-        )
-    # rebalance: no tiny files for small analyses, no single writer for a large one
-    (
-        df.hint("rebalance", "analysis_id")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if create else "dynamic")
-        .partitionBy("analysis_id")
-        .parquet(path)
-    )
+    found = summaries.merged(results.summaries(number), ["stratum_1"], first, last)
+    found = found.select("stratum_1", "records", summaries.person_estimate().alias("count_value"))
+    return found if limit is None else suppress_small_cells(found, limit)
 
 
 def fetch_analysis(results: ResultSet, number: int) -> DataFrame:
@@ -191,10 +198,10 @@ __all__ = [
     "LiveResults",
     "ResultSet",
     "StoredResults",
+    "approximate_persons",
     "compare_documents",
     "compare_results",
     "fetch_analysis",
     "significant",
     "suppress_small_cells",
-    "write_results",
 ]

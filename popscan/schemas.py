@@ -31,6 +31,17 @@ RESULTS_DIST = T.StructType(
     ]
 )
 
+#: Person sketches of an analysis by stratum and month.
+SUMMARIES = T.StructType(
+    [
+        T.StructField("analysis_id", T.IntegerType()),
+        T.StructField("stratum_1", T.StringType()),
+        T.StructField("month", T.IntegerType()),
+        T.StructField("records", T.LongType()),
+        T.StructField("persons", T.BinaryType()),
+    ]
+)
+
 HEEL_RESULTS = T.StructType(
     [
         T.StructField("analysis_id", T.IntegerType()),

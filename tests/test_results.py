@@ -61,10 +61,9 @@ def test_rerun_that_finds_nothing_leaves_nothing(spark, derived, tmp_path):
 
 
 def test_run_with_heel_and_unknown_ids(spark, derived, tmp_path):
-    run_analyses(spark, derived, str(tmp_path), ids=[7, 8], this_year=2020)
-    heel = spark.read.parquet(f"{tmp_path}/heel")
-    assert heel.schema.names == schemas.HEEL_RESULTS.names
-    assert spark.read.parquet(f"{tmp_path}/catalogue").count() == 197
+    results = run_analyses(spark, derived, str(tmp_path), ids=[7, 8], this_year=2020)
+    assert results.heel().schema.names == schemas.HEEL_RESULTS.names
+    assert results.catalogue().count() == 197
     with pytest.raises(ValueError):
         run_analyses(spark, derived, str(tmp_path), ids=[816])
 
