@@ -5,7 +5,7 @@ sorted in buckets: every window of ``length`` bytes names the least hashed gram
 any two documents meet in the bucket of one gram. Each anchor sends the text that its windows cover, its context. Equal
 contexts are one; a bucket with several sorts the suffixes of all of them:
 
-* windows whose hash nobody shares equal no other and stay out of the sort;
+* windows whose hash nobody shares equal no other and stay out of the sort, the rest is sorted in pieces dealt by hash;
 * prefix polynomial hashes of the bucket's text tell whether two substrings are equal; a binary search over their length
   finds the common extension of two suffixes, so a comparison takes a logarithmic number of steps;
 * a bottom-up mergesort over these comparisons puts equal windows side by side, all buckets of a batch at once;
@@ -40,7 +40,9 @@ from popscan.llm.storage import stored
 from popscan.llm.textual import _BYTE, _power, mix, slices
 
 GRAM = 16
-BATCH_ROWS = 1 << 16
+BATCH_ROWS = 1 << 15  # contexts judged together, unless one bucket has more
+PIECE = 1 << 16  # windows sorted together
+_CONTEXTS = 1 << 14  # contexts hashed together
 _ROW = ["doc_id", "h"]
 
 
@@ -184,14 +186,9 @@ class Suffixes:
         out[tied[apart]] = (left > right).astype(np.int8) - (left < right)
         return out
 
-    def paired(self) -> np.ndarray:
-        """Suffixes whose hash over ``length`` bytes stands at least twice; the others equal no other suffix."""
-        key = self._hash(self.start, np.full(len(self.start), self.length))
-        order = np.argsort(key)
-        same = key[order[1:]] == key[order[:-1]]
-        out = np.zeros(len(key), bool)
-        out[order] = np.r_[False, same] | np.r_[same, False] if len(key) else False
-        return out
+    def whole(self) -> np.ndarray:
+        """Hashes of the suffixes' first ``length`` bytes."""
+        return self._hash(self.start, np.full(len(self.start), self.length))
 
     def _bytes(self, x: np.ndarray) -> np.ndarray:
         return self.text[self.start[x][:, None] + np.arange(self.length)]
@@ -259,6 +256,48 @@ def _merge_sort(group: np.ndarray, compare) -> np.ndarray:
 # ---- verdicts ------------------------------------------------------------------------------------------------------
 
 
+def _window_hashes(text: np.ndarray, begin: np.ndarray, count: np.ndarray, length: int) -> np.ndarray:
+    """Hash of every window of the contexts that begin at ``begin``, some thousand contexts at a time."""
+    out = []
+    for lo in range(0, len(begin), _CONTEXTS):
+        n = count[lo : lo + _CONTEXTS]
+        base, end = begin[lo], begin[lo : lo + _CONTEXTS][-1] + n[-1] - 1 + length
+        first = np.cumsum(n) - n
+        at = np.repeat(begin[lo : lo + _CONTEXTS] - base - first, n) + np.arange(n.sum())
+        out.append(Suffixes(text[base:end], at, length).whole())
+    return np.concatenate(out)
+
+
+def _least_of_equal(text: np.ndarray, start: np.ndarray, group: np.ndarray, key: np.ndarray, value: np.ndarray, length: int) -> None:
+    """Lower ``value`` of each window to the least among equal windows.
+
+    A window whose hash stands once equals no other. The others are dealt by hash into pieces that a task can hold, and
+    each piece is sorted. A piece of one hash alone, however large, is compared with its first window.
+    """
+    order = np.argsort(key, kind="stable")
+    fresh = np.r_[True, key[order[1:]] != key[order[:-1]]]
+    edge = np.flatnonzero(fresh)
+    size = np.diff(np.r_[edge, len(order)])
+    order = order[np.repeat(size > 1, size)]
+    size = size[size > 1]
+    ends = np.cumsum(size)
+    done = 0
+    while done < len(order):
+        stop = int(ends[max(np.searchsorted(ends, done + PIECE, side="right") - 1, np.searchsorted(ends, done, side="right"))])
+        piece, done = order[done:stop], stop
+        if len(piece) > PIECE:
+            leader = text[start[piece[0]] : start[piece[0]] + length]
+            parts = np.array_split(piece, -(-len(piece) // PIECE))
+            if all((text[start[x][:, None] + np.arange(length)] == leader).all() for x in parts):
+                value[piece] = value[piece].min()
+                continue
+        piece = piece[np.argsort(group[piece], kind="stable")]
+        own = text[start[piece][:, None] + np.arange(length)].ravel()
+        found, differs = Suffixes(own, np.arange(len(piece)) * length, length).sort(group[piece])
+        least = np.minimum.reduceat(value[piece[found]], np.flatnonzero(differs))
+        value[piece[found]] = least[np.cumsum(differs) - 1]
+
+
 def _judge(t: pa.Table, length: int) -> pa.RecordBatch:
     """Removed intervals of whole buckets, sorted by key, context and document."""
     key, doc, h, start = (np.asarray(t.column(c).combine_chunks()) for c in ("key", "doc_id", "h", "start"))
@@ -285,13 +324,9 @@ def _judge(t: pa.Table, length: int) -> pa.RecordBatch:
         begin = np.cumsum(sizes) - sizes
         first = np.cumsum(count) - count
         starts = np.repeat(begin - first, count) + np.arange(count.sum())
-        holder = np.repeat(some, count)
-        window_least = least[holder]
-        pair = np.flatnonzero(Suffixes(text, starts, length).paired())
-        if len(pair):
-            order, differs = Suffixes(text, starts[pair], length).sort(bucket[holder[pair]])
-            run_least = np.minimum.reduceat(window_least[pair[order]], np.flatnonzero(differs))
-            window_least[pair[order]] = run_least[np.cumsum(differs) - 1]
+        window_least = np.repeat(least[some], count)
+        hashes = _window_hashes(text, begin, count, length)
+        _least_of_equal(text, starts, np.repeat(bucket[some], count), hashes, window_least, length)
         low[some], high[some] = np.minimum.reduceat(window_least, first), np.maximum.reduceat(window_least, first)
         offset[some] = first
     whole = np.flatnonzero(doc > high[of])

@@ -79,6 +79,28 @@ def test_large_buckets_are_split(table, rows):
     assert got(table, 40, 8, largest_bucket=3) == plain(rows, 40)
 
 
+def test_pieces_of_any_size(table, rows, monkeypatch):
+    """Small pieces, batches and chunks change nothing; the functions are called in this process."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.integers(97, 99, 40).astype(np.uint8)) for _ in range(30)] * 4 + [b"a" * 60] * 50
+    start = rng.integers(0, 9, len(texts))
+    contexts = sorted((0, t[: 14 + s % 5], int(d), 5, int(s)) for t, s, d in zip(texts, start, rng.integers(0, 40, len(texts))))
+    columns = [pa.array([c[k] for c in contexts], kind) for k, kind in enumerate((pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()))]
+    whole = pa.table(columns, names=["key", "context", "doc_id", "h", "start"])
+
+    def removed():
+        b = suffix_merge._judge(whole, 10)
+        return sorted(zip(*(b.column(i).to_pylist() for i in range(4))))
+
+    want = removed()
+    for piece, chunk in ((1, 1), (7, 3), (40, 1000)):
+        monkeypatch.setattr(suffix_merge, "PIECE", piece)
+        monkeypatch.setattr(suffix_merge, "_CONTEXTS", chunk)
+        assert removed() == want
+
+
 def test_a_full_filter_changes_nothing(table, rows, monkeypatch):
     from popscan.llm import sketch
 
