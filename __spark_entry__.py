@@ -266,12 +266,14 @@ def _whole_run_sql() -> str:
     """The union of all check queries, with the later suppression of those that were run again."""
     known = analyses("v5")
     counts = tuple(i for i, a in known.items() if a.kind in (RESULTS, BOTH))
-    dists = tuple(i for i, a in known.items() if a.kind in (DIST, BOTH))
+    dists = tuple(i for i, a in known.items() if a.kind == DIST)
+    both = ", ".join(str(i) for i, a in known.items() if a.kind == BOTH)
     redone = ", ".join(str(i) for i in _REDONE)
     strata = ", ".join(f"stratum_{i}" for i in range(1, 5)) + ", CAST(NULL AS varchar) AS stratum_5"
     empty = ", ".join(f"CAST(NULL AS double) AS {c}" for c in ("min_value", "median_value", "max_value"))
     return with_results(
         f"SELECT * FROM (SELECT analysis_id, {strata}, count_value, {empty} FROM res UNION ALL "
+        f"SELECT analysis_id, {strata}, count_value, {empty} FROM res WHERE analysis_id IN ({both}) UNION ALL "
         f"SELECT analysis_id, {strata}, count_value, min_value, median_value, max_value FROM dst) AS a "
         f"WHERE analysis_id NOT IN ({redone}) OR count_value > 5",
         counts, dists,

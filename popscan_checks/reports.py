@@ -245,8 +245,9 @@ def report_sql() -> dict[str, str]:
             + f" END AS category, {BOX} FROM dst", dists=tuple(_CONCEPTS)),
         "datadensity_records_per_person": with_results(
             f"SELECT {_SERIES_NAME} AS series_name, r.stratum_1 AS x_calendar_month, "
-            f"{_share('r.count_value', 'o.count_value')} AS y_record_count FROM (SELECT * FROM res WHERE analysis_id <> 117) r "
-            "JOIN (SELECT * FROM res WHERE analysis_id = 117) o ON r.stratum_1 = o.stratum_1", (*_SERIES, 117)),
+            f"{_share('r.count_value', 'r.persons')} AS y_record_count FROM (SELECT *, max(CASE WHEN analysis_id = 117 "
+            "THEN count_value END) OVER (PARTITION BY stratum_1) AS persons FROM res) r "
+            "WHERE analysis_id <> 117 AND persons IS NOT NULL", (*_SERIES, 117)),
         "datadensity_total_records": with_results(
             f"SELECT {_SERIES_NAME} AS series_name, r.stratum_1 AS x_calendar_month, r.count_value AS y_record_count "
             "FROM res r", tuple(_SERIES)),
