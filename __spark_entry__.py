@@ -9,12 +9,12 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from popscan.analyses.domains import CONDITION, DRUG, FROM_EVENTS, MEASUREMENT
+from popscan.analyses.domains import CONDITION, DRUG, FROM_EVENTS, MEASUREMENT, VISIT
 from popscan.catalogue import BOTH, DIST, RESULTS, Analysis, analyses, checked, stratified
 from popscan.cdm import Cdm, Domain
 from popscan.heel import ALL_RULES, run_heel
 from popscan.operators import distribution, summaries
-from popscan.plans import run_analyses, work_folder
+from popscan.plans import clustered, run_analyses, work_folder
 from popscan.reports import DOCUMENTS, REPORTS, Vocabulary, concept_documents, document, report
 from popscan.reports.documents import DETAILS, Histogram, treemap_rows
 from popscan.reports.read_back import document_values, node_values, numbers_apart
@@ -216,6 +216,17 @@ def _approximate_values(table: str, keys: list[str], value: str, date: str) -> C
     return run
 
 
+def _clustered(number: int, domain: Domain) -> Callable[[SparkSession, str], DataFrame]:
+    """An analysis over tables bucketed by person."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        cdm, _ = clustered(_cdm(spark, sf_dir), [domain], _scratch(spark))
+        return _rounded(analyses()[number].frame(cdm))
+
+    return run
+
+
+_CLUSTERED = ((208, VISIT), (400, CONDITION), (403, CONDITION), (404, CONDITION), (406, CONDITION), (410, CONDITION), (704, DRUG))
 _SPAN = (199604, 199709)
 
 
@@ -423,6 +434,7 @@ _SHARED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
             f"WHERE year(condition_start_date) * 100 + month(condition_start_date) BETWEEN {_SPAN[0]} AND {_SPAN[1]} GROUP BY 1"
         ),
     ),
+    **{f"clustered_a{i:04d}": (_clustered(i, d), with_tables(analysis_sql()[i])) for i, d in _CLUSTERED},
     "store_whole_run": (_whole_run, _whole_run_sql()),
 }
 

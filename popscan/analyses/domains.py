@@ -30,6 +30,7 @@ from popscan.operators import (
     orphan_check,
     orphans,
     outside_period,
+    outside_period_clustered,
 )
 
 VISIT = Domain("visit_occurrence", "visit_concept_id", "visit_start_date", "visit_end_date")
@@ -137,6 +138,13 @@ def _common(
     count(20, f"Number of {noun} records{gap}by {month} start month", ("calendar month",), ["month"], RECORDS)
 
 
+def _outside(cdm: Cdm, d: Domain) -> DataFrame:
+    span = (cdm["observation_period"], "observation_period_start_date", "observation_period_end_date")
+    if d.table in cdm.days:
+        return outside_period_clustered(cdm.days[d.table], *span)
+    return outside_period(cdm[d.table], d.start, *span)
+
+
 def _checks(
     d: Domain, subject: str, person: int, outside: int, inverted: int | None = None,
     keys: tuple[tuple[int, str, str, str, str], ...] = (), invalid_person: str = "with invalid person_id",
@@ -155,10 +163,7 @@ def _checks(
     FROM_EVENTS[person] = d
     _register(
         outside, f"Number of {subject} outside valid observation period", (), "OUTSIDE",
-        lambda cdm: outside_period(
-            cdm[d.table], d.start, cdm["observation_period"],
-            "observation_period_start_date", "observation_period_end_date",
-        ),
+        lambda cdm: _outside(cdm, d),
         versions=versions,
     )
     if inverted is not None:

@@ -30,13 +30,15 @@ class Cdm:
     """Tables of one data set, all under version 5 column names.
 
     ``version`` selects the quantile rule and the version-specific analyses.
-    ``rollups`` may hold event tables already reduced by ``rollup``.
+    ``rollups`` may hold event tables already reduced by ``rollup``, ``days``
+    those by ``day_rollup``, clustered by person.
     """
 
     tables: Mapping[str, DataFrame]
     source_name: str = DEFAULT_SOURCE_NAME
     version: str = "v5"
     rollups: Mapping[str, DataFrame] = field(default_factory=dict)
+    days: Mapping[str, DataFrame] = field(default_factory=dict)
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -80,5 +82,10 @@ class Cdm:
         keys = ["person_id", "concept_id", "month", "type_id", "unit_id"]
         return self._events(domain).groupBy(*keys).agg(F.sum("n").alias("n"))
 
+    def day_rollup(self, domain: Domain) -> DataFrame:
+        """``person_id, day, n``: records of an event table per person and day."""
+        day = F.col(domain.start).alias("day")
+        return self[domain.table].groupBy("person_id", day).agg(F.count(F.lit(1)).alias("n"))
+
     def with_rollups(self, rollups: Mapping[str, DataFrame]) -> Cdm:
         return replace(self, rollups={**self.rollups, **rollups})

@@ -24,6 +24,7 @@ from popscan.operators.integrity import (
     orphan_check,
     orphans,
     outside_period,
+    outside_period_clustered,
 )
 from popscan.operators.joins import heavy_keys, spread_join
 
@@ -54,6 +55,7 @@ __all__ = [
     "orphan_check",
     "orphans",
     "outside_period",
+    "outside_period_clustered",
     "relative_to_range",
     "spread_join",
     "stratify",

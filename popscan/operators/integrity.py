@@ -82,6 +82,19 @@ def outside_period(
     return _total(outside, "n")
 
 
+def outside_period_clustered(days: DataFrame, periods: DataFrame, start: str, end: str) -> DataFrame:
+    """The same count over tables clustered by person: ``person_id, day, n`` and periods.
+
+    Nothing is merged in date order, which would take an exchange: each person's periods, few of them, meet the person's
+    days where both lie.
+    """
+    dated = periods.filter(F.col("person_id").isNotNull() & F.col(start).isNotNull() & F.col(end).isNotNull())
+    held = dated.groupBy("person_id").agg(F.collect_set(F.struct(F.col(start).alias("first"), F.col(end).alias("last"))).alias("periods"))
+    joined = days.filter(F.col("person_id").isNotNull()).join(held, "person_id", "left")
+    covered = F.exists("periods", lambda p: F.col("day").between(p["first"], p["last"]))
+    return _total(joined.filter(~F.coalesce(covered, F.lit(False))), "n")
+
+
 def inverted_dates(df: DataFrame, start: str, end: str, counted: str = "person_id") -> DataFrame:
     """Records that end before they start; a missing date is no inversion."""
     return df.filter(F.col(end) < F.col(start)).agg(F.count(counted).alias(COUNT))

@@ -22,6 +22,7 @@ from popscan.catalogue import BOTH, DIST, RESULTS, analyses, analysis_catalogue,
 from popscan.cdm import Cdm
 from popscan.operators import PERSONS, Stratum
 from popscan.operators.summaries import summarise
+from popscan.plans.clustered import clustered
 from popscan.results import CATALOGUE, HEEL, SMALL_CELL_COUNT, SUMMARIES, StoredResults, suppress_small_cells
 from popscan.sources.cdm import schema_defects
 from popscan.store import ResultStore
@@ -81,6 +82,7 @@ def run_analyses(
     this_year: int | None = None,
     validate_schema: bool = False,
     summaries: bool = False,
+    cluster: bool = False,
 ) -> StoredResults:
     """Compute analyses and commit them as the next version of the store at ``output``.
 
@@ -95,7 +97,9 @@ def run_analyses(
     not find fails the run before anything is written. ``summaries`` also
     stores monthly person sketches of the analyses that count persons by
     concept (``approximate_persons`` reads them); sketches are not suppressed,
-    so keep such a store as private as the data.
+    so keep such a store as private as the data. ``cluster`` buckets persons,
+    periods and rollups by person, which spares large data sets an exchange of
+    the facts in each person-level analysis.
     """
     if validate_schema and (defects := schema_defects(cdm)):
         raise ValueError(f"not in the data set: {', '.join(defects)}")
@@ -105,18 +109,17 @@ def run_analyses(
         raise ValueError(f"not analyses of model version {cdm.version}: {unknown}")
     folder = work_folder(spark, f"{output}/_work")
 
+    clusters = None
     if rollups:
         uses: dict[str, list[int]] = {}
         for i in wanted:
             if i in FROM_EVENTS:
                 uses.setdefault(FROM_EVENTS[i].table, []).append(i)
-        cdm = cdm.with_rollups(
-            {
-                table: materialise(cdm.rollup(FROM_EVENTS[used[0]]), folder, f"rollup_{table}")
-                for table, used in uses.items()
-                if len(used) >= MIN_USES
-            }
-        )
+        domains = [FROM_EVENTS[used[0]] for used in uses.values() if len(used) >= MIN_USES]
+        if cluster:
+            cdm, clusters = clustered(cdm, domains, folder)
+        else:
+            cdm = cdm.with_rollups({d.table: materialise(cdm.rollup(d), folder, f"rollup_{d.table}") for d in domains})
 
     built = [(batch, frames(cdm, batch)) for batch in _batches(wanted)]
     store = ResultStore(spark, output)
@@ -144,4 +147,6 @@ def run_analyses(
         concept = cdm["concept"] if "concept" in cdm.tables else None
         results = StoredResults(spark, output, run.preview(base))
         run.write_whole(HEEL, heel.run_heel(results, concept, version=cdm.version, this_year=this_year))
+    if clusters:
+        clusters.release()
     return StoredResults(spark, output, store.commit(run, base))

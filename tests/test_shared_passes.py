@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from popscan.catalogue import analyses, checked, frames, pad, stratified
 from popscan.cdm import Cdm
-from popscan.analyses.domains import CONDITION
+from popscan.analyses.domains import CONDITION, VISIT
 from popscan.operators import (
     PERSONS, Check, Stratum, calendar_coverage, check_all, heavy_keys, inverted_check, no_value_check, orphan_check,
     spread_join, stratify, summaries,
 )
+from popscan.plans import clustered
 from popscan.operators.grouping import grouping_number
 from popscan.reports.hierarchy import ancestor_levels
 
@@ -262,6 +263,24 @@ def test_spread_join_without_heavy_or_any_rows(spark):
     assert rows_of(spread_join(left.limit(0), right, "k")) == rows_of(spread_join(left, right.limit(0), "k")) == []
 
 
+# ---- person clusters
+
+
+@pytest.mark.parametrize(("number", "domain", "most"), [(404, CONDITION, 2), (406, CONDITION, 3), (208, VISIT, 1), (400, CONDITION, 1)])
+def test_clustered_tables_spare_exchanges(spark, derived, tmp_path, plain_plans, number, domain, most):
+    cdm, clusters = clustered(derived, [domain], str(tmp_path), buckets=5)
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    try:
+        df = analyses()[number].frame(cdm)
+        exchanges = re.findall(r"Exchange (?:hash|range|Single)", plan(df).replace("(", " ")) or re.findall(r"Exchange", plan(df))
+        assert len(exchanges) <= most, plan(df)
+        assert rows_of(df) == rows_of(analyses()[number].frame(derived))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    clusters.release()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("popscan_")]
+
+
 # ---- ancestors
 
 
