@@ -6,12 +6,14 @@ and hashed; per host the distinct documents with a line are counted, copies of o
 ``min_docs`` documents and in ``share`` of the host's, copies again once, are removed, and a document of whose words less than ``left``
 remain is rejected, as is one that fails the base rules.
 
-Each document's distinct lines are counted before anything is shuffled, counts are summed map-side, and the lines that
-remain to be removed join back on (host, line), salted sixteen-fold so that a line of a third of all documents is spread.
+Lines are normalised and hashed once and kept as a table. Each document's distinct lines are counted before anything is
+shuffled, counts are summed map-side, and the lines that remain to be removed join back on (host, line), salted
+sixteen-fold so that a line of a third of all documents is spread.
 
 Defined results: null and empty texts have no words, fail the base rules and keep zeros; null hosts are one host;
-repeated rows are judged alike; ids may be null or repeat; clashing columns of the result's names are replaced, others
-pass. Limits are shares and floors, with the same meaning at any size.
+rows that repeat (id, text and host) are judged alike, one text on two hosts by each host's lines; ids may be null or
+repeat; an empty table gives no row; texts of any length are one row; columns of the result's names are replaced, all
+others pass, whatever they are called. Limits are shares and floors, with the same meaning at any size.
 """
 
 from __future__ import annotations
@@ -68,20 +70,35 @@ def base_columns(documents: DataFrame, window: int = 5) -> DataFrame:
     return df.withColumn("base_failed", failed).drop("_w", "_l", "_n", "_h", "_s", "_p")
 
 
-def frequent_lines(documents: DataFrame, host: str, min_docs: int, share: float) -> DataFrame:
-    """``_host, _line``: hashes of the lines above the limits of their host."""
-    keyed = documents.select(
-        F.coalesce(F.col(host).cast("string"), F.lit("")).alias("_host"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_content"),
-        F.array_distinct(F.transform(F.split("text", "\n"), normalised)).alias("_lines"),
-    )
-    hosts = keyed.select("_host", "_content").distinct().groupBy("_host").agg(F.count(F.lit(1)).alias("_docs"))
-    lines = keyed.select("_host", "_content", F.explode("_lines").alias("_t")).filter("_t <> ''")
+def row_key(*columns: str) -> list[Column]:
+    """``_id, _row``: what tells rows apart; rows that agree in the id and all ``columns`` are one."""
+    return [
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"),
+        F.xxhash64(F.col("doc_id").isNull(), *columns).alias("_row"),
+    ]
+
+
+def without_lines(text: Column | str, gone: str) -> Column:
+    """``text`` without the lines at the positions in ``gone`` (an array, null for none)."""
+    text = F.col(text) if isinstance(text, str) else text
+    left = F.filter(F.split(text, "\n"), lambda t, i: ~F.array_contains(gone, i))
+    return F.when(F.col(gone).isNull(), text).otherwise(F.array_join(left, "\n"))
+
+
+def hashed_lines(documents: DataFrame) -> DataFrame:
+    """``_id, _row, _host, _content, _lines``: hashes of each document's normalised lines, null for lines without a word."""
+    hashed = F.transform(F.split("text", "\n"), lambda t: F.when(t.rlike(WORD), F.xxhash64(normalised(t))))
+    return documents.select(
+        *row_key("text", "_host"), "_host", F.xxhash64("text").alias("_content"), hashed.alias("_lines")
+    )
+
+
+def frequent_lines(hashed: DataFrame, min_docs: int, share: float) -> DataFrame:
+    """``_host, _line``: hashes of the lines above the limits of their host, from :func:`hashed_lines`."""
+    hosts = hashed.select("_host", "_content").distinct().groupBy("_host").agg(F.count(F.lit(1)).alias("_docs"))
+    lines = hashed.select("_host", "_content", F.explode(F.array_distinct("_lines")).alias("_line")).dropna(subset=["_line"])
     counted = (
-        lines.select("_host", F.xxhash64("_t").alias("_line"), "_content")
-        .distinct()
-        .groupBy("_host", "_line")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") >= min_docs)
+        lines.distinct().groupBy("_host", "_line").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_docs)
     )
     return counted.join(hosts, "_host").filter(F.col("_n") >= F.col("_docs") * share).select("_host", "_line")
 
@@ -92,39 +109,30 @@ def judge(
     """``documents`` with the base columns, ``n_removed_words``, ``kept`` and ``kept_text``, its lines below the limits."""
     names = ["kept_text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_removed_words", "kept"]
     documents = documents.drop(*names)
-    rows = documents.select(
-        F.coalesce(F.col(host).cast("string"), F.lit("")).alias("_host"), F.xxhash64("doc_id", "text").alias("_row"),
-        F.col("text").alias("_text"),
-    )
-    lines = rows.select("_host", "_row", F.posexplode(F.split("_text", "\n")).alias("_pos", "_t")).filter(
-        F.col("_t").rlike(WORD)
+    # the input's columns travel in one of their own, so none of ours can clash with them
+    held = documents.select(
+        F.struct("*").alias("_in"), "doc_id", "text", F.coalesce(F.col(host).cast("string"), F.lit("")).alias("_host")
     )
-    lines = lines.select(
-        "_host", "_row", "_pos", F.xxhash64(normalised(F.col("_t"))).alias("_line"),
-        F.regexp_count("_t", F.lit(WORD)).alias("_k"), F.pmod(F.col("_row"), F.lit(SALT)).alias("_salt"),
-    )
-    frequent = frequent_lines(documents, host, min_docs, share).withColumn(
+    hashed = stored(hashed_lines(held), "line-hashes")
+    frequent = frequent_lines(hashed, min_docs, share).withColumn(
         "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long")))
     )
+    lines = hashed.select("_id", "_row", "_host", F.posexplode("_lines").alias("_pos", "_line")).dropna(subset=["_line"])
     gone = (
-        lines.join(frequent, ["_host", "_line", "_salt"])
-        .select("_row", "_pos", "_line", "_k")
-        .distinct()  # rows that repeat have their lines once
-        .groupBy("_row")
-        .agg(F.sum("_k").alias("n_removed_words"), F.collect_set("_line").alias("_gone"))
+        lines.withColumn("_salt", F.pmod(F.col("_row"), F.lit(SALT)))
+        .join(frequent, ["_host", "_line", "_salt"])
+        .groupBy("_id", "_row")
+        .agg(F.collect_set("_pos").alias("_gone"))
     )
-    base = base_columns(documents.select("text", F.xxhash64("doc_id", "text").alias("_row"))).drop("text").dropDuplicates(["_row"])
-    removed = F.coalesce(F.col("n_removed_words"), F.lit(0).cast("long"))
-    judged = base.join(gone, "_row", "left").withColumn("n_removed_words", removed)
-    enough = F.col("n_words") - F.col("n_removed_words") >= left * F.col("n_words")
+    base = base_columns(held.select("text", *row_key("text", "_host"))).drop("text").dropDuplicates(["_id", "_row"])
     # a table, so that a later filter is not pushed into the word-level expressions and has them computed twice over
-    verdicts = stored(judged.withColumn("kept", ~F.col("base_failed") & enough), "verdicts")
-    joined = documents.withColumn("_row", F.xxhash64("doc_id", "text")).join(verdicts, "_row")
-    lines_left = F.filter(
-        F.split("text", "\n"), lambda t: ~F.array_contains("_gone", F.xxhash64(normalised(t)))
-    )
-    kept_text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(lines_left, "\n"))
-    return joined.withColumn("kept_text", kept_text).drop("_row", "_gone")
+    verdicts = stored(base.join(gone, ["_id", "_row"], "left"), "verdicts")
+    keyed = held.select("_in", "text", *row_key("text", "_host"))
+    joined = keyed.join(verdicts, ["_id", "_row"]).withColumn("kept_text", without_lines("text", "_gone"))
+    removed = F.col("n_words") - F.regexp_count("kept_text", F.lit(WORD))
+    joined = joined.withColumn("n_removed_words", F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(removed).cast("long"))
+    enough = F.col("n_words") - F.col("n_removed_words") >= left * F.col("n_words")
+    return joined.withColumn("kept", ~F.col("base_failed") & enough).select("_in.*", *names)
 
 
 #: The query's rows in DuckDB, limits as :func:`judge` has them by default.
@@ -141,7 +149,7 @@ line AS (
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 frequent AS (
   SELECT host, norm FROM (SELECT host, norm, count(DISTINCT content) AS n FROM line GROUP BY 1, 2)
-  JOIN (SELECT host, count(*) AS docs FROM d GROUP BY 1) USING (host) WHERE n >= 8 AND n >= docs * 0.002),
+  JOIN (SELECT host, count(DISTINCT md5(text)) AS docs FROM d GROUP BY 1) USING (host) WHERE n >= 8 AND n >= docs * 0.002),
 gone AS (SELECT doc_id, sum(k) AS removed FROM line JOIN frequent USING (host, norm) GROUP BY 1),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM line GROUP BY 1),
 win AS (

@@ -15,20 +15,19 @@ stands in a third of all documents is one row by then. Each further vote sees on
 execution splits where one is hot.
 
 Defined results: null and empty texts have no lines and stay as they are; lines without a word are never dropped; a
-null id comes after all others; rows that repeat (id and text) share one verdict; columns other than ``text`` pass
-untouched, a column ``n_dropped`` is replaced.
+null id comes after all others; rows that repeat (id and text) share one verdict; of words with equal votes at a place
+the greatest is the constant; an empty table gives no row; lines and texts of any length take part whole; columns other
+than ``text`` pass untouched, whatever they are called, a column ``n_dropped`` is replaced.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
+from popscan.llm.line_rules import row_key, without_lines
 from popscan.llm.storage import stored
 
 VARIABLE = "<*>"
@@ -36,9 +35,9 @@ _SPACE = r"[\x20\x09-\x0D]+"
 
 
 def lines_of(documents: DataFrame, depth: int) -> DataFrame:
-    """``_row, doc_id, _content, pos, leaf, line, masked``."""
+    """``_id, _row, doc_id, _content, pos, leaf, line, masked``."""
     rows = documents.select(
-        F.xxhash64("doc_id", "text").alias("_row"), "doc_id", F.xxhash64("text").alias("_content"),
+        *row_key("text"), "doc_id", F.xxhash64("text").alias("_content"),
         F.posexplode(F.split("text", "\n")).alias("pos", "_t"),
     )
     rows = rows.filter(F.col("_t").rlike(r"[^\x20\x09-\x0D]"))
@@ -47,7 +46,7 @@ def lines_of(documents: DataFrame, depth: int) -> DataFrame:
     rows = rows.withColumn("_w", F.split("_m", " "))
     lead = [F.get("_w", F.lit(k)) for k in range(depth)]
     return rows.select(
-        "_row", "doc_id", "_content", "pos", F.xxhash64(F.size("_w"), *lead).alias("leaf"), F.xxhash64("_m").alias("line"),
+        "_id", "_row", "doc_id", "_content", "pos", F.xxhash64(F.size("_w"), *lead).alias("leaf"), F.xxhash64("_m").alias("line"),
         F.col("_m").alias("masked"),
     )
 
@@ -136,11 +135,12 @@ def generalised(lines: DataFrame, min_docs: int, similarity: float) -> DataFrame
 
 
 def recurring(documents: DataFrame, min_docs: int = 10, depth: int = 2, similarity: float = 0.6) -> DataFrame:
-    """``_row, pos`` of the lines to drop."""
+    """``_id, _row, pos`` of the lines to drop."""
     lines = lines_of(documents, depth)
     members = generalised(lines, min_docs, similarity).withColumnRenamed("leaf", "_leaf")
-    keyed = lines.select("_row", "doc_id", "_content", "pos", "line").join(members, "line", "left")
-    keyed = stored(keyed.select("_row", "doc_id", "_content", "pos", F.coalesce("_leaf", "line").alias("template")), "lines")
+    keyed = lines.select("_id", "_row", "doc_id", "_content", "pos", "line").join(members, "line", "left")
+    template = F.coalesce("_leaf", "line").alias("template")
+    keyed = stored(keyed.select("_id", "_row", "doc_id", "_content", "pos", template), "lines")
     counted = (
         keyed.groupBy("template", "_content")
         .agg(F.min("doc_id").alias("first"))
@@ -149,34 +149,18 @@ def recurring(documents: DataFrame, min_docs: int = 10, depth: int = 2, similari
         .filter(F.col("n") >= min_docs)
     )
     hits = keyed.join(counted.select("template", "first"), "template")
-    return hits.filter(~F.col("doc_id").eqNullSafe(F.col("first"))).select("_row", "pos").distinct()
+    return hits.filter(~F.col("doc_id").eqNullSafe(F.col("first"))).select("_id", "_row", "pos").distinct()
 
 
 def drop_recurring(documents: DataFrame, **options) -> DataFrame:
     """``documents`` without recurring lines, and ``n_dropped``, the number of lines dropped from each."""
     documents = documents.drop("n_dropped")
-    gone = recurring(documents, **options).groupBy("_row").agg(F.collect_list("pos").alias("_gone"))
-    joined = documents.withColumn("_row", F.xxhash64("doc_id", "text")).join(gone, "_row", "left").drop("_row")
-    at, where = joined.columns.index("text"), joined.columns.index("_gone")
-    schema = StructType([*documents.schema.fields, StructField("n_dropped", LongType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 512):
-                batch = whole.slice(lo, 512)
-                texts, n = [], []
-                for text, gone in zip(batch.column(at).to_pylist(), batch.column(where).to_pylist(), strict=True):
-                    if gone:
-                        drop = set(gone)
-                        text = "\n".join([t for i, t in enumerate(text.split("\n")) if i not in drop])
-                    texts.append(text)
-                    n.append(len(gone or ()))
-                columns = [
-                    pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns) if i != where
-                ]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64())], names=schema.names)
-
-    return joined.mapInArrow(run, schema)
+    # the input's columns travel in one of their own, so none of ours can clash with them
+    held = documents.select(F.struct("*").alias("_in"), "doc_id", "text")
+    gone = recurring(held, **options).groupBy("_id", "_row").agg(F.collect_list("pos").alias("_gone"))
+    joined = held.select("_in", "text", *row_key("text")).join(gone, ["_id", "_row"], "left")
+    columns = [without_lines("text", "_gone").alias(c) if c == "text" else F.col("_in")[c].alias(c) for c in documents.columns]
+    return joined.select(*columns, F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped"))
 
 
 #: The query's rows in DuckDB, options as :func:`recurring` has them by default.

@@ -15,8 +15,9 @@ left out. Every remaining pair is verified on the texts themselves. Components c
 smallest labels on, over tables; later links only merge components found before.
 
 Defined results: texts that are null or have no word have the empty set and link with nothing (each its own
-component); repeated rows link like any equal texts, and each keeps its row; a null id never is a component's smallest
-id unless all are null; extra columns are ignored.
+component); repeated rows link like any equal texts, and each keeps its row, but a class of them is paired once; a null
+id never is a component's smallest id unless all are null; an empty table gives no row; a text of any length is one set,
+so a task holds some forty times the longest text; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +28,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from popscan.llm.components import merged
 from popscan.llm.storage import stored
@@ -184,14 +184,18 @@ def _sign(n: int, percent: int):
 
 
 def _candidates(n: int):
-    """Text, size and parity vector of the classes that share a signature with another."""
+    """Text, size and parity vector of the classes that share a signature with another, each once in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = np.empty(0, np.int64)
         for batch in batches:
             want = np.asarray(batch.column("set_key"))
             for lo, hi, w in sliced_words(batch.column("text"), fold=True):
                 sets = Sets(w, n)
-                same = np.flatnonzero(sets.set_keys() == want[lo:hi])
+                same = np.flatnonzero((sets.set_keys() == want[lo:hi]) & ~np.isin(want[lo:hi], met))
+                _, once = np.unique(want[lo + same], return_index=True)
+                same = np.sort(same[once])
+                met = np.concatenate((met, want[lo + same]))
                 vectors = sets.parities()
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -318,7 +322,9 @@ def link(documents: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataFrame
         docs.mapInArrow(_members(n, percent), "doc_id long, id long, set_key long, n_shingles long, short boolean"), "sets"
     )
     signed = docs.select("id", "text").mapInArrow(_sign(n, percent), "sig long, id long")
-    shared = signed.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("sig"))).filter("_n > 1").drop("_n")
+    # counted, not numbered: a signature of very many sets is a row per task, and the join back may split it
+    several = signed.groupBy("sig").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("sig")
+    shared = signed.join(several, "sig")
     keyed = stored(shared.join(member.select("id", "set_key").distinct(), "id").select("sig", "set_key").distinct(), "shared")
     groups = (
         keyed.groupBy("sig")
@@ -331,13 +337,16 @@ def link(documents: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataFrame
     groups = stored(keyed.join(groups, "sig"), "groups")
     classes = groups.select("set_key").distinct()
     first = member.groupBy("set_key").agg(F.min("id").alias("id")).join(classes, "set_key")
+    # rows that share the smallest id (null ids of one text, repeated rows) are one in each task, then one at all
     candidates = stored(
         docs.select("id", "text").join(first, "id").select("set_key", "text").mapInArrow(
             _candidates(n), "set_key long, n long, parity array<long>, text string"
         ),
         "candidates",
     )
-    vectors = candidates.select("set_key", "n", "parity").dropDuplicates(["set_key"])
+    if not candidates.groupBy("set_key").count().filter("count > 1").isEmpty():
+        candidates = stored(candidates.dropDuplicates(["set_key"]), "candidates")
+    vectors = candidates.select("set_key", "n", "parity")
     two = groups.filter("members = 2").groupBy("sig").agg(F.min("set_key").alias("a"), F.max("set_key").alias("b"))
     for side in ("a", "b"):
         two = two.join(vectors.select(F.col("set_key").alias(side), F.col("n").alias(f"n_{side}"), F.col("parity").alias(f"p_{side}")), side)
@@ -392,8 +401,9 @@ def near_duplicates(documents: DataFrame, n: int = 4, percent: int = 85) -> Data
     return joined.unionByName(alone)
 
 
-def representatives(documents: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
+def representatives(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """``documents`` without all but the first of each group: the smallest id; rows that repeat stay once."""
-    first = near_duplicates(documents, n, percent).filter("id = first_id").select(F.col("id").alias("_id")).distinct()
-    keyed = documents.withColumn("_id", _ident()).withColumn("_text", F.xxhash64("text"))
-    return keyed.join(first, "_id", "left_semi").dropDuplicates(["_id", "_text"]).drop("_id", "_text")
+    first = near_duplicates(documents, n, percent).filter("id = first_id").select("id").distinct()
+    # the input's columns travel in one of their own, so none of ours can clash with them
+    held = documents.select(F.struct("*").alias("_in"), _ident().alias("id"), F.xxhash64("text").alias("_text"))
+    return held.join(first, "id", "left_semi").dropDuplicates(["id", "_text"]).select("_in.*")

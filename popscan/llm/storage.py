@@ -12,9 +12,15 @@ _own: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where unset, as in tests on one machine, one of our own."""
+    """The folder of ``spark.checkpoint.dir``; where unset, as in tests on one machine, one of our own.
+
+    On a cluster a folder of our own would be another one on each node, so there the setting is asked for.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            raise ValueError(f"spark.checkpoint.dir names no folder that the executors of {master} share")
         app = spark.sparkContext.applicationId
         folder = _own[app] = _own.get(app) or tempfile.mkdtemp(prefix="popscan-")
     return folder.rstrip("/")

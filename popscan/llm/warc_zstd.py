@@ -212,6 +212,8 @@ def records(data: bytes) -> Iterator[dict]:
 def read_archives(spark: SparkSession, folder: str, index: DataFrame, payloads: bool = True) -> DataFrame:
     """Every record of the archives that ``index`` names; payload digests are verified on the way."""
     names = index.select("archive").distinct()
+    if names.isEmpty():  # no page, no archive, hence no folder
+        return spark.createDataFrame([], RECORDS)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
     files = files.select(F.element_at(F.split("path", "/"), -1).alias("archive"), "content").join(names, "archive")
 
