@@ -26,10 +26,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from popscan.llm.components import merged
+from popscan.llm.sketch import screened, sent
 from popscan.llm.storage import stored
 from popscan.llm.textual import mix, raw, sliced_words, words_of
 
@@ -159,8 +161,8 @@ def _members(n: int, percent: int):
     return run
 
 
-def _sign(n: int, percent: int):
-    """Signatures of the sets that are new to the task."""
+def _sign(n: int, percent: int, known: Broadcast | None = None):
+    """Signatures of the sets that are new to the task; only those that may be ``known``, where given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, met = Bands(percent), np.empty(0, np.int64)
@@ -176,6 +178,8 @@ def _sign(n: int, percent: int):
                 met = np.concatenate((met, keys[fresh]))
                 index, sig, _ = signatures(sets, bands)
                 keep = fresh[index]
+                if known is not None:
+                    keep[keep] = known.value.holds(sig[keep])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(sig[keep].astype(np.int64)), pa.array(ids[lo + index[keep]])], names=["sig", "id"]
                 )
@@ -308,7 +312,8 @@ def _short_links(docs: DataFrame, member: DataFrame, n: int, percent: int, block
     out, blocks = [], -(-count // block)
     for k in range(blocks):
         part = short.filter(F.pmod(F.xxhash64("set_key"), F.lit(blocks)) == k)
-        texts = docs.join(part, "id").select("text").distinct().toPandas()["text"]
+        wanted = screened(docs.select("id", "text"), F.xxhash64("id"), sent(part, F.xxhash64("id")))
+        texts = wanted.join(part, "id").select("text").distinct().toPandas()["text"]
         sets = Sets(words_of(*raw(pa.array(texts, pa.string())), fold=True), n)
         given = [(int(key), sets.key[sets.first[i] : sets.first[i + 1]]) for i, key in enumerate(sets.set_keys())]
         out.append(docs.select("text").mapInArrow(_against(given, n, percent), "a long, b long"))
@@ -321,10 +326,10 @@ def link(documents: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataFrame
     member = stored(
         docs.mapInArrow(_members(n, percent), "doc_id long, id long, set_key long, n_shingles long, short boolean"), "sets"
     )
+    # signatures are counted first, and only those of several sets are sent with their sets: most stand once
     signed = docs.select("id", "text").mapInArrow(_sign(n, percent), "sig long, id long")
-    # counted, not numbered: a signature of very many sets is a row per task, and the join back may split it
-    several = signed.groupBy("sig").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("sig")
-    shared = signed.join(several, "sig")
+    several = sent(signed.groupBy("sig").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"), "sig")
+    shared = docs.select("id", "text").mapInArrow(_sign(n, percent, several), "sig long, id long")
     keyed = stored(shared.join(member.select("id", "set_key").distinct(), "id").select("sig", "set_key").distinct(), "shared")
     groups = (
         keyed.groupBy("sig")
@@ -338,8 +343,10 @@ def link(documents: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataFrame
     classes = groups.select("set_key").distinct()
     first = member.groupBy("set_key").agg(F.min("id").alias("id")).join(classes, "set_key")
     # rows that share the smallest id (null ids of one text, repeated rows) are one in each task, then one at all
+    first = stored(first, "first")
+    wanted = screened(docs.select("id", "text"), F.xxhash64("id"), sent(first, F.xxhash64("id")))
     candidates = stored(
-        docs.select("id", "text").join(first, "id").select("set_key", "text").mapInArrow(
+        wanted.join(first, "id").select("set_key", "text").mapInArrow(
             _candidates(n), "set_key long, n long, parity array<long>, text string"
         ),
         "candidates",
@@ -368,9 +375,10 @@ def link(documents: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataFrame
             open_ = labelled.groupBy("sig").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).filter("_a < _b")
             labelled = labelled.join(open_.select("sig"), "sig")
         pairs = labelled.groupBy("sig", "i", "j").applyInArrow(_propose(percent, everything), "a long, b long")
-        pairs = (pairs.union(two) if labels is None else pairs).distinct()
-        left = candidates.select(F.col("set_key").alias("a"), F.col("text").alias("text_a"))
-        right = candidates.select(F.col("set_key").alias("b"), F.col("text").alias("text_b"))
+        pairs = stored((pairs.union(two) if labels is None else pairs).distinct(), "pairs")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("set_key"))
+        texts = screened(candidates.select("set_key", "text"), F.xxhash64("set_key"), sent(ends, F.xxhash64("set_key")))
+        left, right = (texts.toDF(side, f"text_{side}") for side in ("a", "b"))
         found = stored(pairs.join(left, "a").join(right, "b").mapInArrow(_linked(n, percent), "a long, b long"), "links")
         labels = merged(labels, found)
     for found in _short_links(docs, member, n, percent):
@@ -403,7 +411,13 @@ def near_duplicates(documents: DataFrame, n: int = 4, percent: int = 85) -> Data
 
 def representatives(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """``documents`` without all but the first of each group: the smallest id; rows that repeat stay once."""
-    first = near_duplicates(documents, n, percent).filter("id = first_id").select("id").distinct()
+    groups = stored(near_duplicates(documents, n, percent).select("id", "first_id"), "grouped")
+    first = groups.filter("id = first_id").select("id").distinct()
     # the input's columns travel in one of their own, so none of ours can clash with them
     held = documents.select(F.struct("*").alias("_in"), _ident().alias("id"), F.xxhash64("text").alias("_text"))
-    return held.join(first, "id", "left_semi").dropDuplicates(["id", "_text"]).select("_in.*")
+    # rows of ids that may go or repeat are looked at; all others stay where they are
+    open_ = groups.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min("first_id").alias("first_id"))
+    doubtful = sent(open_.filter("n > 1 OR first_id <> id OR first_id IS NULL"), F.xxhash64("id"))
+    clear = screened(held, F.xxhash64("id"), doubtful, inside=False).select("_in.*")
+    kept = screened(held, F.xxhash64("id"), doubtful).join(first, "id", "left_semi").dropDuplicates(["id", "_text"])
+    return clear.unionByName(kept.select("_in.*"))

@@ -7,10 +7,13 @@ costs shuffle, never a result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LOG_BITS = 26  # 8 MB
@@ -41,3 +44,23 @@ def sketch(keys: DataFrame, column: str = "key") -> Sketch:
     out = np.zeros(1 << (LOG_BITS - 6), np.uint64)
     out[np.asarray(table.column("word"))] = np.asarray(table.column("bits")).view(np.uint64)
     return Sketch(out)
+
+
+def sent(keys: DataFrame, key: Column | str = "key") -> Broadcast:
+    """The filter of ``key`` (evenly spread over 64 bits), sent to all tasks."""
+    column = F.col(key) if isinstance(key, str) else key
+    return keys.sparkSession.sparkContext.broadcast(sketch(keys.select(column.alias("key"))))
+
+
+def screened(df: DataFrame, key: Column | str, known: Broadcast, inside: bool = True) -> DataFrame:
+    """Rows whose ``key`` may be in the filter, or with ``inside`` false those that are certainly not; no shuffle."""
+    column = F.col(key) if isinstance(key, str) else key
+    keyed = df.withColumn("_sketched", column)
+    at = len(df.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = known.value.holds(np.asarray(batch.column(at)).view(np.uint64)) == inside
+            yield batch.filter(pa.array(keep))
+
+    return keyed.mapInArrow(run, keyed.schema).drop("_sketched")
