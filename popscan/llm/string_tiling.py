@@ -6,31 +6,34 @@ dropped (no tile lies outside them). For the rest the longest common runs that d
 again, found by Karp-Rabin hashes of windows whose length shrinks to ``min_match``, and the share of the item's words
 under tiles is its coverage. Tiles may stand in any order, so reordered passages count.
 
-The benchmark is a stated query set: it is dealt into blocks of about ``block_bytes`` by a hash of the item, each block
-is collected (and refused beyond eight times that size), and every block is held against all documents.
+Seeds meet by an equi-join on their hash: the benchmark's, each with its place in an item, and those runs of the
+documents that a filter of fixed size (:mod:`popscan.llm.sketch`) lets through. What a pair's seeds could cover is counted
+from the join, and only pairs that can reach ``min_coverage`` bring their texts together. A benchmark of any size is a
+table like the documents; equal items are tiled once and counted as often as they stand.
 
 Defined results: null or empty texts hold nothing; an item of fewer than ``min_match`` words is matched as a whole run;
-an item without words is never found; repeated items count once each; repeated documents keep their rows; with an empty
-benchmark nothing is contaminated. Columns of the result's names are replaced, others pass untouched.
+an item without words is never found; repeated items count once each; of items covered alike the smallest id is named,
+null last; repeated documents keep their rows; with an empty benchmark nothing is contaminated; an empty table gives no
+row; a text of any length is one piece, tiled in a task that holds it whole. Columns of the result's names are replaced,
+others pass untouched, whatever they are called.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
+from popscan.llm.line_rules import row_key
+from popscan.llm.sketch import screened, sent
+from popscan.llm.storage import stored
 from popscan.llm.textual import mix, slices, words_of
 
-ADDED = [
-    StructField("item_id", LongType()), StructField("coverage", DoubleType()), StructField("n_items", LongType()),
-    StructField("contaminated", BooleanType()),
-]
+ADDED = ("item_id", "coverage", "n_items", "contaminated")
 _PLAIN = np.arange(256, dtype=np.uint8)
 _PLAIN[65:91] += 32
 for _c in b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~":
@@ -114,27 +117,6 @@ def coverage(item: np.ndarray, text: np.ndarray, min_match: int) -> float:
     return sum(k for k, _, _ in tiles(item, text, min(min_match, len(item)))) / len(item)
 
 
-class _Seeds:
-    """A block of items, and the places of their runs by hash."""
-
-    def __init__(self, rows: list[tuple[int, str]], min_match: int):
-        self.ids = [i for i, _ in rows]
-        self.words = word_hashes([t for _, t in rows])
-        self.size = np.array([len(w) for w in self.words])
-        self.by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        for n in sorted({min(min_match, len(w)) for w in self.words if len(w)}):
-            h, item, at = [], [], []
-            for i, w in enumerate(self.words):
-                if min(min_match, len(w)) == n:
-                    g = gram_hashes(w, n)
-                    h.append(g)
-                    item.append(np.full(len(g), i))
-                    at.append(np.arange(len(g)))
-            h, item, at = map(np.concatenate, (h, item, at))
-            order = np.argsort(h, kind="stable")
-            self.by_length[n] = (h[order], item[order], at[order])
-
-
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     out = np.zeros(max(0, len(words) - n + 1), np.uint64)
     for k in range(n):
@@ -142,82 +124,119 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
-def _search(seeds: _Seeds, data: np.ndarray, bounds: np.ndarray, min_match: int, least: float) -> Iterator[tuple]:
-    """``(text, item id, coverage)`` of each text and item that reach ``least``."""
-    w = words_of(_PLAIN[data], bounds)
-    first = w.first()
-    found: dict[tuple[int, int], set[int]] = {}
-    for n, (keys, item, at) in seeds.by_length.items():
-        grams = gram_hashes(w.hash, n)
-        low = np.zeros(1 << 20, bool)
-        low[(keys >> np.uint64(44)).astype(np.int64)] = True
-        near = np.flatnonzero(low[(grams >> np.uint64(44)).astype(np.int64)])
-        near = near[w.doc[near] == w.doc[near + n - 1]]
-        lo = np.searchsorted(keys, grams[near], "left")
-        hi = np.searchsorted(keys, grams[near], "right")
-        for p, a, b in zip(near[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist(), strict=True):
-            for s in range(a, b):
-                found.setdefault((int(w.doc[p]), int(item[s])), set()).update(range(at[s], at[s] + n))
-    for (doc, i), under in found.items():
-        if len(under) >= least * seeds.size[i]:
-            c = coverage(seeds.words[i], w.hash[first[doc] : first[doc + 1]], min_match)
-            if c >= least:
-                yield doc, seeds.ids[i], c
-
-
-def blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of bounded size."""
-    items = benchmark.filter(F.length("text") > 0).select(F.col("item_id").cast("long").alias("item_id"), "text")
-    total = items.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    n = max(1, -(-total // block_bytes))
-    key = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    for k in range(n):
-        block = items.filter(key == k)
-        held = block.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0 if n > 1 else total
-        if held > 8 * block_bytes:
-            raise ValueError(f"a block of {held} bytes of items; raise block_bytes")
-        yield [(r["item_id"], r["text"]) for r in block.collect()]
-
-
-def contamination(
-    documents: DataFrame, benchmark: DataFrame, min_match: int = 4, min_coverage: float = 0.6,
-    block_bytes: int = 4 << 20,
-) -> DataFrame:
+def _seed(words: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the runs of ``n`` words, told apart from those of other lengths."""
+    return mix(gram_hashes(words, n) + np.uint64(n))
+
+
+def _item_seeds(min_match: int):
+    """Seeds of items: hash, length, the item, its place there and the item's words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            item = np.asarray(batch.column("item"))
+            columns = [[] for _ in range(5)]
+            for i, words in enumerate(word_hashes(batch.column("text").to_pylist())):
+                if not len(words):
+                    continue
+                n = min(min_match, len(words))
+                key = _seed(words, n)
+                whole = np.ones(len(key), np.int64)
+                for c, v in zip(columns, (key.view(np.int64), whole * n, whole * item[i], np.arange(len(key)), whole * len(words)), strict=True):
+                    c.append(v)
+            arrays = [pa.array(np.concatenate(c) if c else np.empty(0, np.int64), pa.int64()) for c in columns]
+            yield pa.RecordBatch.from_arrays(arrays, names=["seed", "n", "item", "place", "size"])
+
+    return run
+
+
+def _text_seeds(lengths: list[int], known: Broadcast):
+    """Seeds of documents that may be an item's, each once in a document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, _, data, bounds in slices(batch.column("text")):
+                w = words_of(_PLAIN[data], bounds)
+                seeds, docs = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+                for n in lengths:
+                    key = _seed(w.hash, n)
+                    at = np.flatnonzero(known.value.holds(key))
+                    at = at[w.doc[at] == w.doc[at + n - 1]]
+                    seeds.append(key[at])
+                    docs.append(w.doc[at])
+                seed, doc = np.concatenate(seeds), np.concatenate(docs)
+                order = np.lexsort((seed, doc))
+                seed, doc = seed[order], doc[order]
+                new = np.ones(len(seed), bool)
+                new[1:] = (seed[1:] != seed[:-1]) | (doc[1:] != doc[:-1])
+                take = pa.array(lo + doc[new])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(seed[new].view(np.int64)), batch.column("_id").take(take), batch.column("_row").take(take)],
+                    names=["seed", "_id", "_row"],
+                )
+
+    return run
+
+
+def _tiled(min_match: int, least: float):
+    """Coverage of each pair's item, of pairs that reach ``least``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 64):
+                part = batch.slice(lo, 64)
+                texts, items = (word_hashes(part.column(c).to_pylist()) for c in ("text", "item_text"))
+                covered = np.array([coverage(x, t, min_match) for x, t in zip(items, texts, strict=True)])
+                keep = pa.array(covered >= least)
+                out = part.select(["_id", "_row", "item_id", "copies"]).append_column("coverage", pa.array(covered, pa.float64()))
+                yield out.filter(keep)
+
+    return run
+
+
+def candidates(documents: DataFrame, items: DataFrame, min_match: int, min_coverage: float) -> DataFrame:
+    """``_id, _row, item``: documents (``_id, _row, text``) and items whose common seeds could cover enough."""
+    seeds = stored(
+        items.select("item", "text").mapInArrow(_item_seeds(min_match), "seed long, n long, item long, place long, size long"), "seeds"
+    )
+    lengths = sorted(r["n"] for r in seeds.select("n").distinct().collect())  # min_match of them at most
+    own = documents.select("text", "_id", "_row").mapInArrow(
+        _text_seeds(lengths, sent(seeds, "seed")), "seed long, _id string, _row long"
+    )
+    under = F.transform("places", lambda p: F.sequence(p, p + F.col("n") - 1))
+    return (
+        own.join(seeds, "seed")
+        .groupBy("_id", "_row", "item", "size", "n")
+        .agg(F.collect_set("place").alias("places"))  # no more than the item has words
+        .filter(F.size("places") * F.col("n") >= min_coverage * F.col("size"))
+        .filter(F.size(F.array_distinct(F.flatten(under))) >= min_coverage * F.col("size"))
+        .select("_id", "_row", "item")
+    )
+
+
+def contamination(documents: DataFrame, benchmark: DataFrame, min_match: int = 4, min_coverage: float = 0.6) -> DataFrame:
     """``documents`` with the best covered item (smallest id of equals), its coverage (0 below the threshold), the number
     of items found, and whether the document is contaminated."""
-    documents = documents.drop(*[f.name for f in ADDED])
-
-    def step(df: DataFrame, rows: list[tuple[int, str]]) -> DataFrame:
-        at = df.columns.index("text")
-        schema = StructType([*(f for f in df.schema.fields if f not in ADDED), *ADDED])
-        kept = [i for i, f in enumerate(df.schema.fields) if f not in ADDED]
-        old = {f.name: df.columns.index(f.name) for f in ADDED if f in df.schema.fields}
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seeds = _Seeds(rows, min_match)
-            for batch in batches:
-                n = batch.num_rows
-                best: list[tuple[float, int | None]] = [(0.0, None)] * n
-                count = [0] * n
-                if old:
-                    best = list(zip(batch.column(old["coverage"]).to_pylist(), batch.column(old["item_id"]).to_pylist(), strict=True))
-                    count = batch.column(old["n_items"]).to_pylist()
-                for lo, _, data, bounds in slices(batch.column(at)):
-                    for doc, item, c in _search(seeds, data, bounds, min_match, min_coverage):
-                        i = lo + doc
-                        count[i] += 1
-                        was, held = best[i]
-                        if c > was or c == was and (held is None or item is not None and item < held):
-                            best[i] = (c, item)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(batch.column(i) for i in kept), pa.array([x for _, x in best], pa.int64()),
-                        pa.array([c for c, _ in best], pa.float64()), pa.array(count, pa.int64()),
-                        pa.array([k > 0 for k in count], pa.bool_()),
-                    ],
-                    names=schema.names,
-                )
-
-        return df.mapInArrow(run, schema)
-
-    return reduce(step, blocks(benchmark, block_bytes), documents)
+    documents = documents.drop(*ADDED)
+    # the input's columns travel in one of their own, so none of ours can clash with them
+    held = documents.select(F.struct("*").alias("_in"), F.col("text").cast("string").alias("text"), *row_key("text"))
+    items = benchmark.filter(F.length("text") > 0).groupBy(F.col("item_id").cast("long").alias("item_id"), "text")
+    items = stored(items.agg(F.count(F.lit(1)).alias("copies")).withColumn("item", F.xxhash64("item_id", "text")), "items")
+    texts = held.select("text", "_id", "_row").filter(F.length("text") > 0)
+    pairs = stored(candidates(texts, items, min_match, min_coverage), "pairs")
+    row = F.xxhash64("_id", "_row")
+    named = items.select("item", "item_id", F.col("text").alias("item_text"), "copies")
+    paired = screened(texts, row, sent(pairs, row)).dropDuplicates(["_id", "_row"]).join(pairs, ["_id", "_row"]).join(named, "item")
+    found = paired.select("_id", "_row", "text", "item_id", "item_text", "copies").mapInArrow(
+        _tiled(min_match, min_coverage), "_id string, _row long, item_id long, copies long, coverage double"
+    )
+    best = F.min(F.struct((-F.col("coverage")).alias("c"), F.col("item_id").isNull().alias("lost"), "item_id"))
+    found = found.groupBy("_id", "_row").agg(best.alias("b"), F.sum("copies").alias("n_items"))
+    found = stored(found.select("_id", "_row", "b.item_id", (-F.col("b.c")).alias("coverage"), "n_items"), "found")
+    hit = sent(found, row)
+    out = ["_in.*", "item_id", "coverage", "n_items", (F.col("n_items") > 0).alias("contaminated")]
+    nothing = {"item_id": F.lit(None).cast("long"), "coverage": F.lit(0.0), "n_items": F.lit(0).cast("long")}
+    clear = screened(held.select("_in", "_id", "_row"), row, hit, inside=False).withColumns(nothing).select(*out)
+    rest = screened(held.select("_in", "_id", "_row"), row, hit).join(found, ["_id", "_row"], "left")
+    rest = rest.withColumns({"coverage": F.coalesce("coverage", F.lit(0.0)), "n_items": F.coalesce("n_items", F.lit(0).cast("long"))})
+    return clear.unionByName(rest.select(*out))

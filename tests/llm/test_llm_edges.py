@@ -44,6 +44,7 @@ def same(a, b):
         lambda df: line_rules.judge(df, min_docs=4, share=0.1),
         lambda df: line_templates.drop_recurring(df, min_docs=4),
         lambda df: partenum.representatives(df, 3, 80),
+        lambda df: string_tiling.contamination(df, df.filter("doc_id < 4").selectExpr("doc_id AS item_id", "text")),
     ],
 )
 def test_columns_of_any_name_pass(spark, some, operator):
@@ -126,7 +127,7 @@ def test_pages_that_repeat_their_id(spark, tmp_path):
     ]
 
 
-def test_repeated_items_beyond_a_block(spark):
+def test_repeated_items_count_once_each(spark):
     rng = random.Random(6)
     item = prose(rng, 20)
     docs = documents(spark, [(1, prose(rng, 30) + " " + item, "a"), (2, prose(rng, 40), "a")])
