@@ -227,7 +227,9 @@ def contamination(documents: DataFrame, benchmark: DataFrame, min_match: int = 4
     row = F.xxhash64("_id", "_row")
     named = items.select("item", "item_id", F.col("text").alias("item_text"), "copies")
     paired = screened(texts, row, sent(pairs, row)).dropDuplicates(["_id", "_row"]).join(pairs, ["_id", "_row"]).join(named, "item")
-    found = paired.select("_id", "_row", "text", "item_id", "item_text", "copies").mapInArrow(
+    # written in between, as two Python steps in one task would be two workers
+    paired = stored(paired.select("_id", "_row", "text", "item_id", "item_text", "copies"), "pair-texts")
+    found = paired.mapInArrow(
         _tiled(min_match, min_coverage), "_id string, _row long, item_id long, copies long, coverage double"
     )
     best = F.min(F.struct((-F.col("coverage")).alias("c"), F.col("item_id").isNull().alias("lost"), "item_id"))
