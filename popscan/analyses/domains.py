@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from popscan import catalogue
+from popscan.analyses.names import DOMAIN_NAMES
 from popscan.catalogue import DIST, RESULTS, Analysis
 from popscan.cdm import Cdm, Domain
 from popscan.operators import (
@@ -96,46 +97,31 @@ def _demographics(cdm: Cdm, d: Domain) -> DataFrame:
     return by_demographics(events, cdm.persons())
 
 
-def _common(
-    base: int, d: Domain, event: str, records: str, started: str, concepts: str, gap: str = " ",
-    typed: str | None = None, versions: tuple[str, ...] = ("v4", "v5"),
-) -> None:
-    """Register the numbers relative to ``base``.
-
-    The wording of names is fixed: ``event`` after "at least one", ``records``
-    before "records", ``started`` before "start month", ``concepts`` before
-    "concepts per person"; ``gap`` precedes "by" in the last name.
-    """
+def _common(base: int, d: Domain, versions: tuple[str, ...] = ("v4", "v5")) -> None:
+    """Register the numbers relative to ``base``."""
     c = d.concept
 
-    def add(offset, name, strata, family, build, kind=RESULTS, grouping=None):
+    def add(offset, strata, family, build, kind=RESULTS, grouping=None):
         FROM_EVENTS[base + offset] = d
-        _register(base + offset, name, strata, family, build, kind, versions, grouping)
+        _register(base + offset, DOMAIN_NAMES[base + offset], strata, family, build, kind, versions, grouping)
 
-    def count(offset, name, strata, keys, measure):
+    def count(offset, strata, keys, measure):
         def build(cdm: Cdm) -> DataFrame:
             return (count_distinct if measure == PERSONS else count_records)(cdm.events(d), keys)
 
-        add(offset, name, strata, "COUNT", build, grouping=(d, Stratum(tuple(keys), measure)))
+        add(offset, strata, "COUNT", build, grouping=(d, Stratum(tuple(keys), measure)))
 
-    count(0, f"Number of persons with at least one {event}, by {c}", (c,), ["concept_id"], PERSONS)
-    count(1, f"Number of {records} records, by {c}", (c,), ["concept_id"], RECORDS)
-    count(2, f"Number of persons by {started} start month, by {c}", (c, "calendar month"), ["concept_id", "month"], PERSONS)
-    add(3, f"Number of distinct {concepts} concepts per person", (), "DIST",
-        lambda cdm: _concepts_per_person(cdm, d), DIST)
-    add(4, f"Number of persons with at least one {event}, by {c} by calendar year by gender by age decile",
-        (c, "calendar year", "gender_concept_id", "age decile"), "DEMOG",
-        lambda cdm: _demographics(cdm, d))
+    count(0, (c,), ["concept_id"], PERSONS)
+    count(1, (c,), ["concept_id"], RECORDS)
+    count(2, (c, "calendar month"), ["concept_id", "month"], PERSONS)
+    add(3, (), "DIST", lambda cdm: _concepts_per_person(cdm, d), DIST)
+    add(4, (c, "calendar year", "gender_concept_id", "age decile"), "DEMOG", lambda cdm: _demographics(cdm, d))
     if d.type:
-        count(5, f"Number of {typed or records} records, by {c} by {d.type}", (c, d.type), ["concept_id", "type_id"], RECORDS)
-    add(6, f"Distribution of age by {c}", (c, "gender_concept_id"), "DIST",
-        lambda cdm: _age_at_first(cdm, d), DIST)
+        count(5, (c, d.type), ["concept_id", "type_id"], RECORDS)
+    add(6, (c, "gender_concept_id"), "DIST", lambda cdm: _age_at_first(cdm, d), DIST)
     if d.unit:
-        count(7, f"Number of {typed or records} records, by {c} and unit_concept_id", (c, "unit_concept_id"),
-              ["concept_id", "unit_id"], RECORDS)
-    noun = {"observation": "observation", "measurement": "measurement"}.get(d.table, records)
-    month = {"observation": "observation", "measurement": "measurement"}.get(d.table, started)
-    count(20, f"Number of {noun} records{gap}by {month} start month", ("calendar month",), ["month"], RECORDS)
+        count(7, (c, "unit_concept_id"), ["concept_id", "unit_id"], RECORDS)
+    count(20, ("calendar month",), ["month"], RECORDS)
 
 
 def _outside(cdm: Cdm, d: Domain) -> DataFrame:
@@ -146,40 +132,33 @@ def _outside(cdm: Cdm, d: Domain) -> DataFrame:
 
 
 def _checks(
-    d: Domain, subject: str, person: int, outside: int, inverted: int | None = None,
-    keys: tuple[tuple[int, str, str, str, str], ...] = (), invalid_person: str = "with invalid person_id",
-    versions: tuple[str, ...] = ("v4", "v5"),
+    d: Domain, person: int, outside: int, inverted: int | None = None,
+    keys: tuple[tuple[int, str, str, str], ...] = (), versions: tuple[str, ...] = ("v4", "v5"),
 ) -> None:
     """Register the integrity checks of a domain.
 
-    ``keys`` lists further foreign keys: number, column, parent table, parent
-    key and the name the check carries.
+    ``keys`` lists further foreign keys: number, column, parent table and parent key.
     """
     _register(
-        person, f"Number of {subject} {invalid_person}", (), "ORPHAN",
+        person, DOMAIN_NAMES[person], (), "ORPHAN",
         lambda cdm: orphans(cdm.events(d), "person_id", cdm["person"], "person_id", F.col("n")),
         versions=versions, check=(d.table, orphan_check("person_id", "person", "person_id")),
     )
     FROM_EVENTS[person] = d
-    _register(
-        outside, f"Number of {subject} outside valid observation period", (), "OUTSIDE",
-        lambda cdm: _outside(cdm, d),
-        versions=versions,
-    )
+    _register(outside, DOMAIN_NAMES[outside], (), "OUTSIDE", lambda cdm: _outside(cdm, d), versions=versions)
     if inverted is not None:
         _register(
-            inverted, f"Number of {subject} with end date < start date", (), "INVERT",
-            lambda cdm: inverted_dates(cdm[d.table], d.start, d.end), versions=versions,
-            check=(d.table, inverted_check(d.start, d.end)),
+            inverted, DOMAIN_NAMES[inverted], (), "INVERT", lambda cdm: inverted_dates(cdm[d.table], d.start, d.end),
+            versions=versions, check=(d.table, inverted_check(d.start, d.end)),
         )
 
-    def add_key(number: int, column: str, parent: str, pk: str, called: str) -> None:
+    def add_key(number: int, column: str, parent: str, pk: str) -> None:
         def build(cdm: Cdm) -> DataFrame:
             has_person = F.when(F.col("person_id").isNotNull(), 1).otherwise(0)
             return orphans(cdm[d.table], column, cdm[parent], pk, has_person)
 
         _register(
-            number, f"Number of {subject} with invalid {called}", (), "ORPHAN", build, versions=versions,
+            number, DOMAIN_NAMES[number], (), "ORPHAN", build, versions=versions,
             check=(d.table, orphan_check(column, parent, pk)),
         )
 
@@ -188,38 +167,29 @@ def _checks(
 
 
 def _provider(number: int):
-    return (number, "provider_id", "provider", "provider_id", "provider_id")
+    return (number, "provider_id", "provider", "provider_id")
 
 
 def _visit(number: int):
-    return (number, "visit_occurrence_id", "visit_occurrence", "visit_occurrence_id", "visit_id")
-
-
-_common(200, VISIT, "visit occurrence", "visit occurrence", "visit occurrence", "visit occurrence")
-_checks(VISIT, "visit records", 207, 208, 209,
-        ((210, "care_site_id", "care_site", "care_site_id", "care_site_id"),))
-
-_common(400, CONDITION, *["condition occurrence"] * 4)
-_checks(CONDITION, "condition occurrence records", 409, 410, 411, (_provider(412), _visit(413)))
-
-_common(600, PROCEDURE, *["procedure occurrence"] * 4, gap="  ")
-_checks(PROCEDURE, "procedure occurrence records", 609, 610, None, (_provider(612), _visit(613)))
-
-_common(700, DRUG, *["drug exposure"] * 4, gap="  ")
-_checks(DRUG, "drug exposure records", 709, 710, 711, (_provider(712), _visit(713)))
-
-_common(800, OBSERVATION, *["observation occurrence"] * 4, gap="  ")
-_checks(OBSERVATION, "observation records", 809, 810, None, (_provider(812), _visit(813)))
-
-_common(900, DRUG_ERA, *["drug era"] * 4, gap="  ")
-_checks(DRUG_ERA, "drug eras", 908, 909, 910, invalid_person="without valid person")
-
-_common(1000, CONDITION_ERA, *["condition era"] * 4)
-_checks(CONDITION_ERA, "condition eras", 1008, 1009, 1010, invalid_person="without valid person")
-
-_common(1800, MEASUREMENT, "measurement", "measurement occurrence", "measurement", "measurement",
-        typed="measurement", versions=("v5",))
-_checks(MEASUREMENT, "measurement records", 1809, 1810, None, (_provider(1812), _visit(1813)), versions=("v5",))
+    return (number, "visit_occurrence_id", "visit_occurrence", "visit_occurrence_id")
+
+
+_common(200, VISIT)
+_checks(VISIT, 207, 208, 209, ((210, "care_site_id", "care_site", "care_site_id"),))
+_common(400, CONDITION)
+_checks(CONDITION, 409, 410, 411, (_provider(412), _visit(413)))
+_common(600, PROCEDURE)
+_checks(PROCEDURE, 609, 610, None, (_provider(612), _visit(613)))
+_common(700, DRUG)
+_checks(DRUG, 709, 710, 711, (_provider(712), _visit(713)))
+_common(800, OBSERVATION)
+_checks(OBSERVATION, 809, 810, None, (_provider(812), _visit(813)))
+_common(900, DRUG_ERA)
+_checks(DRUG_ERA, 908, 909, 910)
+_common(1000, CONDITION_ERA)
+_checks(CONDITION_ERA, 1008, 1009, 1010)
+_common(1800, MEASUREMENT, versions=("v5",))
+_checks(MEASUREMENT, 1809, 1810, None, (_provider(1812), _visit(1813)), versions=("v5",))
 
 
 _OBSERVED = ["value_as_number", "value_as_string", "value_as_concept_id"]

@@ -24,6 +24,7 @@ def _known(periods: DataFrame, cdm: Cdm) -> DataFrame:
     return periods.join(cdm["person"].select("person_id"), "person_id", "left_semi")
 
 
+# The names and strata in the decorators below are those of the catalogue.
 @analysis(
     1406, "Length of payer plan (days) of first payer plan period by gender", ("gender_concept_id",),
     "DIST", DIST,

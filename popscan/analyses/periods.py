@@ -61,6 +61,7 @@ def _lengths(cdm: Cdm) -> DataFrame:
     return first_lengths(cdm, "observation_period", START, END, "observation_period_id")
 
 
+# The names and strata in the decorators below are those of the catalogue.
 @analysis(101, "Number of persons by age, with age at first observation period", ("age",), "FIRST")
 def persons_by_age(cdm: Cdm) -> DataFrame:
     return count_rows(_ages(cdm), ["age"], "person_id")

@@ -5,7 +5,8 @@ from __future__ import annotations
 import warnings
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,22 +59,30 @@ def load_tables(spark: SparkSession, location: str, version: str = "v5", format:
         present = {t.name.lower() for t in spark.catalog.listTables(database)}
         _warn_missing(location, [n for n in names if n not in present])
         return {n: _lower(spark.table(f"{database}.{n}")) for n in names if n in present}
-    root = spark._jvm.org.apache.hadoop.fs.Path(location)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    present = {s.getPath().getName().lower(): s.getPath().toString() for s in files.listStatus(root)}
     for n in names:
-        path = present.get(n) or present.get(f"{n}.{format}")
-        if path is not None:
-            reader = spark.read.format(format)
-            if format == "csv":
-                text = T.StructType([T.StructField(f.name, T.StringType()) for f in names[n].fields])
-                out[n] = _typed(reader.option("header", True).option("enforceSchema", False).schema(text).load(path), names[n])
-            else:
-                out[n] = _lower(reader.load(path))
+        reader = spark.read.format(format)
+        if format == "csv":
+            text = T.StructType([T.StructField(f.name, T.StringType()) for f in names[n].fields])
+            reader = reader.option("header", True).option("enforceSchema", False).schema(text)
+        df = _first_found(reader, [f"{location.rstrip('/')}/{name}{end}" for end in ("", f".{format}") for name in (n, n.upper())])
+        if df is not None:
+            out[n] = _typed(df, names[n]) if format == "csv" else _lower(df)
+    if not out:
+        raise FileNotFoundError(f"{location} holds no table of the model")
     _warn_missing(location, [n for n in names if n not in out])
     return out
 
 
+def _first_found(reader: DataFrameReader, paths: list[str]) -> DataFrame | None:
+    for path in paths:
+        try:
+            return reader.load(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return None
+
+
 def _warn_missing(location: str, names: list[str]) -> None:
     if names:
         warnings.warn(f"{location} lacks tables, and analyses on them cannot run: {names}", stacklevel=3)

@@ -14,6 +14,8 @@ SHAPES = (
     "a0817", "a0818", "a1101", "a1201", "a1409", "a1411", "a1500", "a1604", "a1806", "v4_a0206", "rollup_a0406", "heel_05",
     "heel_10", "heel_23", "rpt_condition_by_type", "rpt_drug_treemap", "rpt_procedure_treemap", "results_compare",
     "source_normalise_dates", "family_dist_located_ranks", "rpt_observationperiod_cumulative_duration",
+    "sets_condition_occurrence", "checks_drug_exposure", "approx_persons_measurement", "approx_values_measurement",
+    "approx_stored", "clustered_a0208", "clustered_a0404", "doc_person", "doc_visit_details", "doc_visit_treemap",
 )
 
 
@@ -42,7 +44,8 @@ def test_matches_check_sql(spark, duck, prefix):
 def test_every_check_has_a_query():
     assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
     without = set(entry_point.queries()) - set(entry_point.oracle_sql())
-    assert all(n.startswith("doc_") for n in without)
+    # operators for training data, where they are installed, that SQL cannot express
+    assert all(n == "pipeline" or n.startswith("op") for n in without)
 
 
 def plan(df):
