@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from popscan.catalogue import analyses
-from popscan.heel import (
+from popscan_checks.ids import (
     ACCEPTED,
     AFTER_DEATH,
     BY_CONCEPT,
