@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LOG_BITS = 26  # 8 MB
+_SLICE = 256  # rows that are passed on together
 _SHIFTS = (0, 19, 38)  # where a key's three positions begin
 
 
@@ -59,8 +60,11 @@ def screened(df: DataFrame, key: Column | str, known: Broadcast, inside: bool =
     at = len(df.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = known.value.holds(np.asarray(batch.column(at)).view(np.uint64)) == inside
-            yield batch.filter(pa.array(keep))
+        for whole in batches:
+            for lo in range(0, whole.num_rows, _SLICE):  # so that neither side holds a second copy of a batch
+                batch = whole.slice(lo, _SLICE)
+                keep = known.value.holds(np.asarray(batch.column(at)).view(np.uint64)) == inside
+                if keep.any():
+                    yield batch.filter(pa.array(keep))
 
     return keyed.mapInArrow(run, keyed.schema).drop("_sketched")
