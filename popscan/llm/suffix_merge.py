@@ -35,13 +35,13 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popscan.llm.sketch import sketch
+from popscan.llm.sketch import screened, sketch
 from popscan.llm.storage import stored
 from popscan.llm.textual import _BYTE, _power, mix, slices
 
 GRAM = 16
-BATCH_ROWS = 1 << 15  # contexts judged together, unless one bucket has more
-PIECE = 1 << 16  # windows sorted together
+BATCH_ROWS = 1 << 14  # contexts judged together, unless one bucket has more
+PIECE = 1 << 15  # windows sorted together
 _CONTEXTS = 1 << 14  # contexts hashed together
 _ROW = ["doc_id", "h"]
 
@@ -384,21 +384,10 @@ def _verdicts(length: int):
 # ---- the operator --------------------------------------------------------------------------------------------------
 
 
-def _routed(known: Broadcast, inside: bool):
-    """Rows whose key may be (``inside``) or is not in a filter."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = known.value.holds(np.asarray(batch.column("row")).view(np.uint64)) == inside
-            yield batch.filter(pa.array(keep))
-
-    return run
-
-
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What is left of each text without its intervals, and the maximal removed spans."""
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    for batch in batches:
+    for batch in (whole.slice(lo, 256) for whole in batches for lo in range(0, whole.num_rows, 256)):
         ids, texts, gone = (batch.column(c).to_pylist() for c in ("doc_id", "text", "gone"))
         kept, spans = [], []
         for text, intervals in zip(texts, gone, strict=True):
@@ -430,14 +419,13 @@ def remove_repeats(documents: DataFrame, length: int = 50, gram: int = GRAM, lar
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"))
     docs = docs.withColumn("row", F.xxhash64("doc_id", "h"))
     able = docs.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= length))
-    row_schema = "doc_id long, text string, h long, row long"
 
     # copies behind the first one go whole
     digests = able.select("doc_id", "h", "row", F.unhex(F.sha2("text", 256)).alias("digest"), F.octet_length("text").cast("long").alias("end"))
     firsts = digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
     copies = stored(digests.join(firsts, "digest").filter("doc_id > first").select("doc_id", "h", "row", "end"), "copies")
     skip = broadcast(sketch(copies, "row"))
-    spared = able.mapInArrow(_routed(skip, True), row_schema).join(copies.select(*_ROW), _ROW, "left_anti")
+    spared = screened(able, "row", skip).join(copies.select(*_ROW), _ROW, "left_anti")
     spared = stored(spared.select("doc_id", "text", "h", "row"), "spared")  # proposed by the filter, but no copies
 
     def over(make, schema: str) -> DataFrame:
@@ -461,8 +449,8 @@ def remove_repeats(documents: DataFrame, length: int = 50, gram: int = GRAM, lar
     gone = stored(gone.groupBy(*_ROW).agg(F.collect_list(F.struct("start", "end")).alias("gone")), "gone")
 
     touched = broadcast(sketch(gone.select(F.xxhash64(*_ROW).alias("key"))))
-    whole = docs.mapInArrow(_routed(touched, False), row_schema)
-    cut = docs.mapInArrow(_routed(touched, True), row_schema).join(gone, _ROW, "left").select("doc_id", "text", "gone")
+    whole = screened(docs, "row", touched, inside=False)
+    cut = screened(docs, "row", touched).join(gone, _ROW, "left").select("doc_id", "text", "gone")
     no_spans = F.array().cast("array<struct<start:long,end:long>>")
     whole = whole.select("doc_id", "text", F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("kept"), no_spans.alias("spans"))
     return whole.unionByName(cut.mapInArrow(_cut, "doc_id long, text string, kept binary, spans array<struct<start:long,end:long>>"))
