@@ -345,8 +345,8 @@ def link(documents: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataFrame
     # rows that share the smallest id (null ids of one text, repeated rows) are one in each task, then one at all
     first = stored(first, "first")
     wanted = screened(docs.select("id", "text"), F.xxhash64("id"), sent(first, F.xxhash64("id")))
-    # written in between, as two Python steps in one task would be two workers
-    wanted = stored(wanted.join(first, "id").select("set_key", "text"), "wanted")
+    # dealt out in between, as two Python steps in one task would be two workers; a class's rows meet here
+    wanted = wanted.join(first, "id").select("set_key", "text").repartition("set_key")
     candidates = stored(
         wanted.mapInArrow(_candidates(n), "set_key long, n long, parity array<long>, text string"), "candidates"
     )
@@ -378,7 +378,7 @@ def link(documents: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataFrame
         ends = pairs.select(F.explode(F.array("a", "b")).alias("set_key"))
         texts = screened(candidates.select("set_key", "text"), F.xxhash64("set_key"), sent(ends, F.xxhash64("set_key")))
         left, right = (texts.toDF(side, f"text_{side}") for side in ("a", "b"))
-        both = stored(pairs.join(left, "a").join(right, "b"), "pair-texts")
+        both = pairs.join(left, "a").join(right, "b").repartition("a", "b")
         found = stored(both.mapInArrow(_linked(n, percent), "a long, b long"), "links")
         labels = merged(labels, found)
     for found in _short_links(docs, member, n, percent):
