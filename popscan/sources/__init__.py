@@ -8,10 +8,11 @@ from popscan.sources.cdm import (
     parse_date,
     validate_schema,
 )
-from popscan.sources.derived import DerivedTables
+from popscan.sources.derived import DerivedTables, StoredTables
 
 __all__ = [
     "DerivedTables",
+    "StoredTables",
     "adapt_v4",
     "load_cdm",
     "load_tables",

@@ -9,7 +9,7 @@ from popscan import schemas
 from popscan.catalogue import analyses, analysis_catalogue
 from popscan.operators import inverted_dates
 from popscan.sources import adapt_v4, load_cdm, normalise_dates, validate_schema
-from popscan.sources.derived import DerivedTables
+from popscan.sources.derived import DERIVED, DerivedTables, StoredTables
 
 
 def test_text_dates(spark):
@@ -77,3 +77,39 @@ def test_every_order_line_reaches_the_clinical_tables(spark):
     for table in ("drug_exposure", "procedure_occurrence", "drug_cost", "procedure_cost"):
         ids = derived[table].select(F.col(derived[table].columns[0]).alias("id"))
         assert (ids.count(), ids.distinct().count()) == (n, n)
+
+
+def test_order_lines_are_dealt_once(spark, tmp_path):
+    """Repeated pairs, lines and orders without a key: the rows of the plain text, from one exchange of the lines."""
+    day = dt.datetime(1996, 5, 1)
+    lines = [(k, n, 7, 8, float(q), 10.0 * q, 0.1, None, day, "R", "F") for k in (1, 2, 3, None) for n in (1, 1, 2) for q in (1, 2, 2)]
+    columns = (
+        "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_shipdate timestamp, l_returnflag string, l_linestatus string"
+    )
+    spark.createDataFrame(lines, columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, 5), (2, None), (None, 6)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    tables = DerivedTables(spark, str(tmp_path))
+    plain = spark.sql(DERIVED["order_line"], lineitem=tables["lineitem"], orders=tables["orders"])
+    assert sorted(map(repr, tables["order_line"].collect())) == sorted(map(repr, plain.collect()))
+    assert plain.count() == 18
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = DerivedTables(spark, str(tmp_path))["order_line"]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert text.count("Exchange") == 2, text  # the lines and the orders
+
+
+def test_stored_tables_are_written_when_asked_for(spark, tmp_path):
+    plain, tables = DerivedTables(spark, SF), StoredTables(spark, SF, str(tmp_path))
+    eras = tables["drug_era"]
+    assert {p.name for p in tmp_path.iterdir()} == {"order_line", "drug_era"}
+    assert all("drug_era" in f for f in eras.inputFiles())
+    for name in ("drug_era", "drug_exposure", "cohort"):
+        assert tables[name].dtypes == plain[name].dtypes
+        assert tables[name].exceptAll(plain[name]).isEmpty() and plain[name].exceptAll(tables[name]).isEmpty()
