@@ -204,3 +204,26 @@ def test_new_analyses_can_be_registered(derived):
             catalogue.analysis(99001, "again")(visits_by_care_site)
     finally:
         del catalogue._REGISTRY[99001]
+
+
+def test_demographics_with_repeated_persons(spark):
+    """An id that the person table repeats counts once in each group it belongs to; the joined rows need no distinct."""
+    events = spark.createDataFrame(
+        [(1, 9, 2000), (1, 9, 2000), (1, None, 2000), (2, 9, 2000), (None, 9, 2000), (3, 9, None), (4, 9, 2000)],
+        "person_id long, concept_id int, year int",
+    )
+    persons = spark.createDataFrame(
+        [(1, 8507, 1960), (1, 8507, 1960), (1, 8507, 1955), (1, 8532, 1960), (2, 8507, 1958), (None, 8507, 1960), (3, None, None)],
+        "person_id long, gender_concept_id int, year_of_birth int",
+    )
+    df = by_demographics(events, persons)
+    assert sorted(map(tuple, df.collect()), key=str) == sorted(
+        [(9, 2000, 8507, 4, 2), (9, 2000, 8532, 4, 1), (None, 2000, 8507, 4, 1), (None, 2000, 8532, 4, 1), (9, None, None, None, 1)],
+        key=str,
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = df._jdf.queryExecution().executedPlan().toString().split("Join")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert text[0].count(" HashAggregate(") == 2, text[0]  # the count by strata, in two steps
