@@ -146,3 +146,29 @@ def test_quantiles_are_ordered(derived):
         chain = [row.min_value, row.p10_value, row.p25_value, row.median_value, row.p75_value, row.p90_value,
                  row.max_value]
         assert chain == sorted(chain)
+
+
+def test_located_ranks_shuffle_buckets_not_values(spark, tmp_path):
+    """Values reach a shuffle only where their bucket holds a rank: the histogram is taken behind a semi join."""
+    df = spark.range(20000).selectExpr("id % 3 AS g", "id * 0.37 AS v")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        located = distribution(df, ["g"], "v", bounded=False)
+        text = located._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "LeftSemi" in text
+    assert located.drop("avg_value", "stdev_value").exceptAll(distribution(df, ["g"], "v").drop("avg_value", "stdev_value")).isEmpty()
+
+
+def test_one_value_has_no_deviation(spark):
+    df = spark.createDataFrame([("a", 104949.1), ("b", 0.3)], "g string, v double").crossJoin(spark.range(1000)).repartition(7)
+    assert all(r.stdev_value < 1e-9 for r in distribution(df, ["g"], "v", bounded=False).collect())
+
+
+def test_weights_of_located_ranks(spark):
+    rows = [(1.5, 3), (2.25, 1), (70.0, 6), (None, 2)]
+    plain = spark.createDataFrame([(v,) for v, n in rows for _ in range(n)], "v double")
+    weighted = distribution(spark.createDataFrame(rows, "v double, w long"), [], "v", weight="w", bounded=False)
+    want, got = one(distribution(plain, [], "v")), one(weighted)
+    assert got.keys() == want.keys() and all(math.isclose(got[c], want[c], rel_tol=1e-9) for c in want)

@@ -4,12 +4,17 @@ import json
 
 import pytest
 
+from conftest import SF
 from popscan import schemas
 from popscan.catalogue import analyses, pad
+from popscan.heel import run_heel
 from popscan.plans import run_analyses, work_folder
 from popscan.reports import Vocabulary, concept_documents, document, export_reports, report
 from popscan.results import (
+    AskedResults,
     FrameResults,
+    LiveResults,
+    StoredOrLive,
     StoredResults,
     compare_documents,
     compare_results,
@@ -146,3 +151,23 @@ def test_reports_without_persons_are_empty(spark, vocabulary):
     empty = FrameResults(spark.createDataFrame([], schemas.RESULTS), spark.createDataFrame([], schemas.RESULTS_DIST))
     assert report("person_year_of_birth_data", empty, vocabulary).collect() == []
     assert report("observationperiod_cumulative_duration", empty, vocabulary).collect() == []
+
+
+def test_asked_results_note_what_to_store(spark, derived):
+    asked = AskedResults(spark)
+    found = run_heel(asked, derived["concept"], rules=[2, 6], this_year=2024)
+    assert found.collect() == [] and {715, 400, 1609} <= asked.ids and 402 not in asked.ids
+
+
+def test_stored_results_with_other_versions_live(spark, derived, stored):
+    both = StoredOrLive(StoredResults(spark, stored), LiveResults(spark, derived))
+    assert {r.analysis_id for r in both.counts(2, 1609).collect()} == {2, 1609}  # the second is no analysis of version 5
+    assert both.counts(1609).collect() and both.dist(104).collect() == StoredResults(spark, stored).dist(104).collect()
+
+
+def test_rules_read_each_table_once(spark, tmp_path):
+    """The query of a rule computes over stored results, not over slices that derive the tables anew."""
+    import __spark_entry__ as entry
+
+    df = entry.queries()["heel_02"](spark, SF)
+    assert df.inputFiles() and not any(f.startswith(f"file://{SF}/") for f in df.inputFiles())
