@@ -105,6 +105,22 @@ def test_order_lines_are_dealt_once(spark, tmp_path):
     assert text.count("Exchange") == 2, text  # the lines and the orders
 
 
+def test_eras_are_added_up_in_more_tasks_than_other_exchanges_have(spark):
+    """The rows of the plain text, missing keys and repeats included, in four tasks for each shuffle partition."""
+
+    class Exposures(DerivedTables):
+        def __getitem__(self, name):
+            return exposures if name == "drug_exposure" else super().__getitem__(name)
+
+    days = [None, dt.date(1996, 5, 1), dt.date(1996, 7, 3), dt.date(1997, 1, 1)]
+    rows = [(p, c, d) for p in (1, 2, None) for c in (0, 210001, 210026, None) for d in days for _ in range(2)]
+    exposures = spark.createDataFrame(rows, "person_id long, drug_concept_id int, drug_exposure_start_date date")
+    eras, plain = Exposures(spark, SF)["drug_era"], spark.sql(DERIVED["drug_era"], drug_exposure=exposures)
+    assert eras.dtypes == plain.dtypes
+    assert sorted(map(repr, eras.collect())) == sorted(map(repr, plain.collect()))
+    assert eras.rdd.getNumPartitions() == 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_stored_tables_are_written_when_asked_for(spark, tmp_path):
     plain, tables = DerivedTables(spark, SF), StoredTables(spark, SF, str(tmp_path))
     eras = tables["drug_era"]
