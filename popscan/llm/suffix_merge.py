@@ -21,7 +21,7 @@ carries them back, so larger inputs send some contexts in vain, which costs shuf
 Defined results: null and empty texts have nothing to remove; a null id is neither smaller nor larger than any, so such
 rows stay whole and remove nothing; rows with equal ids do not remove each other's strings, and repeated rows give equal
 results; a string that starts twice in one document alone stays; an empty table gives no row; texts of any length are one
-piece, so a task holds some hundred times a slice of 2 MB or the longest text; other columns do not reach the result.
+piece, so a task holds some hundred times a slice of half a MB or the longest text; other columns do not reach the result.
 """
 
 from __future__ import annotations
@@ -43,6 +43,7 @@ GRAM = 16
 BATCH_ROWS = 1 << 14  # contexts judged together, unless one bucket has more
 PIECE = 1 << 15  # windows sorted together
 _CONTEXTS = 1 << 14  # contexts hashed together
+_ROWS, _BYTES = 256, 1 << 19  # rows, and bytes of text, whose anchors are looked for together: some fifty times the bytes are held
 _ROW = ["doc_id", "h"]
 
 
@@ -82,12 +83,12 @@ def anchors(data: np.ndarray, bounds: np.ndarray, length: int, gram: int) -> tup
 
 def _read(batches: Iterator[pa.RecordBatch], skip: Broadcast | None, length: int, gram: int):
     """Slices of the texts that are not skipped: ids, hashes, bytes, bounds, and their anchors."""
-    for batch in batches:
+    for batch in (whole.slice(lo, _ROWS) for whole in batches for lo in range(0, whole.num_rows, _ROWS)):
         if skip is not None:
             keep = ~skip.value.holds(np.asarray(batch.column("row")).view(np.uint64))
             batch = batch.filter(pa.array(keep))
         ids, h = np.asarray(batch.column("doc_id")), np.asarray(batch.column("h"))
-        for lo, hi, data, bounds in slices(batch.column("text")):
+        for lo, hi, data, bounds in slices(batch.column("text"), _BYTES):
             yield ids[lo:hi], h[lo:hi], data, bounds, anchors(data, bounds, length, gram)
 
 

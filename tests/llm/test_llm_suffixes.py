@@ -6,6 +6,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from popscan.llm import suffix_merge
@@ -171,3 +172,19 @@ def test_query_columns(spark):
     }
     assert {r[0]: tuple(r)[1:] for r in df.collect()} == want
     assert df.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+
+
+def test_anchors_are_looked_for_in_small_pieces(monkeypatch):
+    """However many rows a batch has, a task's working memory follows a few hundred of them."""
+    rng, seen, anchors = random.Random(5), [], suffix_merge.anchors
+    texts = ["".join(rng.choices("abcdef ", k=2000)) for _ in range(1500)]
+    ids = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, pa.array(texts), ids, ids], names=["doc_id", "text", "h", "row"])
+
+    def watched(data, bounds, length, gram):
+        seen.append(len(data))
+        return anchors(data, bounds, length, gram)
+
+    monkeypatch.setattr(suffix_merge, "anchors", watched)
+    list(suffix_merge._counted(50, 16, None)(iter([batch])))
+    assert sum(seen) == 3_000_000 and max(seen) <= 1 << 19
