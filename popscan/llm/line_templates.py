@@ -10,8 +10,9 @@ of one template: a leaf has as many templates as recur in it. Any other line is
 recurs in ``min_docs`` documents or more, copies of one text counted once, is dropped from all but the first document
 (the smallest id) that holds it.
 
-Lines are counted per leaf and template before words are exploded, and words only in leaves that recur, so a line that
-stands in a third of all documents is one row by then. Each further vote sees only lines that can still be in a template. Joins on a template's hash are plain equi-joins that adaptive
+Lines are masked and hashed once and kept as a table. They are counted per leaf and template before words are exploded,
+and words only in leaves that recur, so a line that stands in a third of all documents is one row by then. Each further
+vote sees only lines that can still be in a template. Joins on a template's hash are plain equi-joins that adaptive
 execution splits where one is hot.
 
 Defined results: null and empty texts have no lines and stay as they are; lines without a word are never dropped; a
@@ -78,13 +79,22 @@ def _voted(lines: DataFrame, votes: Column, min_docs: int, similarity: float) ->
     return joined.withColumn("member", F.col("agree") & F.col("found").isNotNull()).drop("agree", "found")
 
 
+def _hopeful(lines: DataFrame, weights: DataFrame, similarity: float) -> DataFrame:
+    """``group`` where so many places have a word of ``weights`` that a line can agree with enough of them."""
+    places = weights.groupBy("group").agg(F.count_distinct("place").alias("k"))
+    sizes = lines.groupBy("group").agg(F.min(F.size("words")).alias("size"))
+    return places.join(sizes, "group").filter(F.col("k") >= similarity * F.col("size")).select("group")
+
+
 def _deeper(lines: DataFrame, min_docs: int, similarity: float) -> DataFrame:
     """The lines that can still be in a template, their groups split by the word at one more place.
 
-    A constant of a template has at least half of ``min_docs`` in its group, so a line with too few such words is in none.
+    A constant of a template has at least half of ``min_docs`` in its group, so a line with too few such words is in none,
+    and the words of a group with such words at too few places are not looked at again.
     The place is the one where words of ``min_docs`` or more cover most; each of them becomes a group, as do the others.
     """
     weights = stored(_weights(lines, F.col("n")).filter(2 * F.col("s") >= min_docs), "weights")
+    lines = lines.join(_hopeful(lines, weights, similarity), "group", "left_semi")
     places = lines.select("group", "line", F.size("words").alias("size"), F.posexplode("words").alias("place", "word"))
     able = (
         places.join(weights, ["group", "place", "word"])
@@ -121,6 +131,7 @@ def generalised(lines: DataFrame, min_docs: int, similarity: float) -> DataFrame
         .filter((F.col("n") >= min_docs) & (F.col("n_lines") > 1))
         .select("leaf")
     )
+    leaves = stored(leaves, "leaves")  # of known size, so that lines are not shuffled to meet few leaves
     # lines meet the leaves first: whole lines are shuffled for leaves that recur only
     distinct = lines.select("leaf", "line", "masked").join(leaves, "leaf").distinct().join(counted, ["leaf", "line"])
     found, votes = [], F.lit(1)  # the leaf's vote is by distinct lines, later ones by documents
@@ -136,7 +147,7 @@ def generalised(lines: DataFrame, min_docs: int, similarity: float) -> DataFrame
 
 def recurring(documents: DataFrame, min_docs: int = 10, depth: int = 2, similarity: float = 0.6) -> DataFrame:
     """``_id, _row, pos`` of the lines to drop."""
-    lines = lines_of(documents, depth)
+    lines = stored(lines_of(documents, depth), "masked")
     members = generalised(lines, min_docs, similarity).withColumnRenamed("leaf", "_leaf")
     keyed = lines.select("_id", "_row", "doc_id", "_content", "pos", "line").join(members, "line", "left")
     template = F.coalesce("_leaf", "line").alias("template")
@@ -155,11 +166,13 @@ def recurring(documents: DataFrame, min_docs: int = 10, depth: int = 2, similari
 def drop_recurring(documents: DataFrame, **options) -> DataFrame:
     """``documents`` without recurring lines, and ``n_dropped``, the number of lines dropped from each."""
     documents = documents.drop("n_dropped")
-    # the input's columns travel in one of their own, so none of ours can clash with them
-    held = documents.select(F.struct("*").alias("_in"), "doc_id", "text")
+    # the input's columns travel under names of their own, so none of ours can clash with them; its text travels once
+    own = [f"_in_{i}" for i in range(len(documents.columns))]
+    held = documents.select("*", F.col("doc_id"), F.col("text")).toDF(*own, "doc_id", "text")
     gone = recurring(held, **options).groupBy("_id", "_row").agg(F.collect_list("pos").alias("_gone"))
-    joined = held.select("_in", "text", *row_key("text")).join(gone, ["_id", "_row"], "left")
-    columns = [without_lines("text", "_gone").alias(c) if c == "text" else F.col("_in")[c].alias(c) for c in documents.columns]
+    joined = held.select(*own, "text", *row_key("text")).join(gone, ["_id", "_row"], "left")
+    cut = without_lines("text", "_gone")
+    columns = [cut.alias(c) if c == "text" else F.col(o).alias(c) for o, c in zip(own, documents.columns, strict=True)]
     return joined.select(*columns, F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped"))
 
 

@@ -422,6 +422,29 @@ def test_recurring_templates_that_share_a_leaf(spark):
     assert all(got[i].text == texts[i].split("\n")[0] for i in range(3, 39))
 
 
+def test_lines_are_read_and_masked_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    docs = documents(spark, [f"build {i} of this page\nno other line is like {chr(97 + i)}" for i in range(14)])
+    seen = docs.mapInArrow(counted, docs.schema)
+    assert line_templates.recurring(seen).count() == 26  # both lines are templates, and the first document keeps its own
+    assert read.value == 14
+
+
+def test_groups_without_enough_frequent_places_are_not_looked_at(spark):
+    rows = [(1, "a b c d e".split()), (2, "a b f g h".split()), (2, "a b i j k".split())]
+    lines = spark.createDataFrame(rows, "group long, words array<string>")
+    weights = [(1, 0, "a", 9), (1, 1, "b", 9), (1, 4, "e", 5), (2, 0, "a", 9), (2, 1, "b", 5), (2, 1, "c", 5)]
+    weights = spark.createDataFrame(weights, "group long, place int, word string, s long")
+    assert [r.group for r in line_templates._hopeful(lines, weights, 0.6).collect()] == [1]
+    assert sorted(r.group for r in line_templates._hopeful(lines, weights, 0.4).collect()) == [1, 2]
+
+
 def test_links_that_come_later_merge_components(spark):
     rng = random.Random(5)
     given = [[(rng.randrange(60), rng.randrange(60)) for _ in range(k)] for k in (25, 1, 12)]
