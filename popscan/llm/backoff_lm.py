@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from popscan.llm.packed import Layout, bits_to_bytes, bytes_to_bits, decode, encode, layout, total_bytes
-from popscan.llm.storage import stored
+from popscan.llm.storage import stored_by
 from popscan.llm.textual import Words, bytes_list, mix, raw, slices, words_of
 
 BLOCK_BYTES = 4 << 20
@@ -182,7 +182,7 @@ def count_table(documents: DataFrame, order: int = 2) -> DataFrame:
 def score(documents: DataFrame, order: int = 2, min_count: int = 2, alpha: float = 0.4) -> DataFrame:
     """``doc_id, n_words, log_score`` of each document: the sum of its words' logarithmic scores."""
     lay = layout(total_bytes(documents), slack=20)
-    held = stored(blocks(documents), "blocks")
+    held = stored_by(blocks(documents), "blocks", "block")  # so texts are not shuffled to meet their answers
     asked = held.select("block", "texts").mapInArrow(_ask(order, lay), "bucket long, block long, keys binary, counts binary")
     answered = asked.groupBy("bucket").applyInArrow(_join, "block long, bucket long, totals binary")
     answers = answered.groupBy("block").agg(F.collect_list(F.struct("bucket", "totals")).alias("answers"))

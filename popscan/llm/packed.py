@@ -1,8 +1,9 @@
 """Sets of 64-bit keys sent through a shuffle in few bytes: sorted, cut into buckets by their leading bits, as gaps.
 
 A map task holds the keys of some million words, sends one row per bucket, and forgets them. A sorted gap takes some
-three bytes where a row takes sixteen. Keys are cut to as many bits as the size of the input asks for, so a cut key
-only proposes; what it proposes is checked on whole keys.
+three bytes where a row takes sixteen; gaps are laid by byte planes, so that the upper bytes, nearly all zero, are squeezed
+out by the shuffle's own compression. Keys are cut to as many bits as the size of the input asks for, so a cut key only
+proposes; what it proposes is checked on whole keys.
 """
 
 from __future__ import annotations
@@ -45,22 +46,22 @@ def layout(n_bytes: int, slack: int = 10, bytes_per_bucket: int = 8 << 20) -> La
 
 
 def encode(keys: np.ndarray) -> bytes:
-    """Sorted keys as first key, gap width and gaps."""
+    """Sorted keys as first key, gap width and gaps, all lowest bytes first."""
     if not len(keys):
         return b""
     gaps = np.diff(keys)
     width = max(1, (int(gaps.max()).bit_length() + 7) // 8) if len(gaps) else 1
     wide = gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
-    return int(keys[0]).to_bytes(8, "little") + bytes([width]) + wide.tobytes()
+    return int(keys[0]).to_bytes(8, "little") + bytes([width]) + wide.T.tobytes()
 
 
 def decode(blob: bytes) -> np.ndarray:
     if not blob:
         return np.empty(0, np.uint64)
     width = blob[8]
-    body = np.frombuffer(blob, np.uint8, offset=9).reshape(-1, width)
-    out = np.zeros((len(body) + 1, 8), np.uint8)
-    out[1:, :width] = body
+    body = np.frombuffer(blob, np.uint8, offset=9).reshape(width, -1)
+    out = np.zeros((body.shape[1] + 1, 8), np.uint8)
+    out[1:, :width] = body.T
     keys = out.view("<u8").ravel()
     keys[0] = int.from_bytes(blob[:8], "little")
     return np.cumsum(keys, dtype=np.uint64)

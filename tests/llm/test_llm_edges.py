@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from brute import words
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from popscan.llm import line_rules, line_templates, partenum, queries, string_tiling, warc_zstd
+from popscan.llm import backoff_lm, line_rules, line_templates, packed, partenum, queries, string_tiling, warc_zstd
 from popscan.llm.storage import shared_folder, stored
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -213,3 +215,29 @@ def test_stages_of_an_empty_table(spark, corpus):
         out = stored(stage(spark, docs, SF), name)
         assert out.count() == 0
         docs = out if name != "tokens" else docs
+
+
+# ---- what grows with the input
+
+
+def test_backoff_texts_stay_where_their_blocks_are(spark):
+    df = backoff_lm.score(documents(spark, [(i, f"a b c d{i % 3}", "h") for i in range(9)]).select("doc_id", "text"), order=3)
+    assert df.count() == 9
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Initial Plan")[0]
+    assert "Exchange hashpartitioning(block" in final
+    assert not [x for x in final.splitlines() if "Exchange" in x and "texts" in x]
+    assert final.count("Exchange hashpartitioning(block") == 1, plan
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("popscan_stored")]
+
+
+def test_packed_gaps_compress():
+    rng = np.random.default_rng(5)
+    keys = np.unique(rng.integers(0, 1 << 49, 1 << 17, dtype=np.uint64))
+    keys = keys[np.r_[True, np.diff(keys) > 0]]
+    blob = packed.encode(keys)
+    assert (packed.decode(blob) == keys).all()
+    wide = np.r_[keys, keys[-1] + np.uint64(1 << 33)]  # one wide gap
+    assert (packed.decode(packed.encode(wide)) == wide).all()
+    assert len(pa.compress(packed.encode(wide), codec="lz4")) < 4.6 * len(wide)
+    assert (packed.decode(packed.encode(keys[:1])) == keys[:1]).all()
