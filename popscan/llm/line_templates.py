@@ -11,9 +11,10 @@ recurs in ``min_docs`` documents or more, copies of one text counted once, is dr
 (the smallest id) that holds it.
 
 Lines are masked and hashed once and kept as a table. They are counted per leaf and template before words are exploded,
-and words only in leaves that recur, so a line that stands in a third of all documents is one row by then. Each further
-vote sees only lines that can still be in a template. Joins on a template's hash are plain equi-joins that adaptive
-execution splits where one is hot.
+and words only in leaves that recur, so a line that stands in a third of all documents is one row by then. A vote counts
+words by lines and by documents at once, and only groups that gave a template are counted again. Each further vote sees
+only lines that can still be in a template. Joins on a template's hash are plain equi-joins that adaptive execution
+splits where one is hot.
 
 Defined results: null and empty texts have no lines and stay as they are; lines without a word are never dropped; a
 null id comes after all others; rows that repeat (id and text) share one verdict; of words with equal votes at a place
@@ -25,7 +26,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from popscan.llm.line_rules import row_key, without_lines
@@ -52,21 +53,25 @@ def lines_of(documents: DataFrame, depth: int) -> DataFrame:
     )
 
 
-def _weights(lines: DataFrame, votes: Column) -> DataFrame:
-    """``group, place, word, s``: the votes for each word at each place of a group."""
-    places = lines.select("group", votes.alias("v"), F.posexplode("words").alias("place", "word"))
-    return places.groupBy("group", "place", "word").agg(F.sum("v").alias("s"))
+def _weights(lines: DataFrame) -> DataFrame:
+    """``group, place, word, lines, n``: the lines, and the documents, that have each word at each place of a group."""
+    places = lines.select("group", F.col("n").alias("v"), F.posexplode("words").alias("place", "word"))
+    return places.groupBy("group", "place", "word").agg(F.count(F.lit(1)).alias("lines"), F.sum("v").alias("n"))
 
 
-def _voted(lines: DataFrame, votes: Column, min_docs: int, similarity: float) -> DataFrame:
-    """``group, line, n, words`` and ``member``: whether the line belongs to its group's template, if that recurs."""
-    total = lines.groupBy("group").agg(F.sum(votes).alias("total"))
+def _voted(lines: DataFrame, votes: str, min_docs: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """``group, line, n, words`` and ``member``: whether the line belongs to its group's template, if that recurs.
+
+    Also ``group, place, word, n`` and ``constant``: words that are the group's constants or have half of ``min_docs``.
+    """
+    total = lines.groupBy("group").agg(F.count(F.lit(1)).alias("_lines"), F.sum("n").alias("_n"))
+    constant = 2 * F.col(votes) >= F.col(f"_{votes}")
+    weights = _weights(lines).join(total, "group").withColumn("constant", constant)
+    weights = stored(weights.filter(F.col("constant") | (2 * F.col("n") >= min_docs)).drop("_lines", "_n"), "weights")
     constants = (
-        _weights(lines, votes)
-        .join(total, "group")
-        .filter(2 * F.col("s") >= F.col("total"))
+        weights.filter("constant")
         .groupBy("group", "place")
-        .agg(F.max(F.struct("s", "word"))["word"].alias("word"))
+        .agg(F.max(F.struct(votes, "word"))["word"].alias("word"))
         .groupBy("group")
         .agg(F.collect_set(F.xxhash64("place", "word")).alias("constants"))
     )
@@ -76,7 +81,21 @@ def _voted(lines: DataFrame, votes: Column, min_docs: int, similarity: float) ->
     agreed = stored(agreed, "agreed")
     found = agreed.filter("agree").groupBy("group").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_docs)
     joined = agreed.join(found.select("group", F.lit(True).alias("found")), "group", "left")
-    return joined.withColumn("member", F.col("agree") & F.col("found").isNotNull()).drop("agree", "found")
+    return joined.withColumn("member", F.col("agree") & F.col("found").isNotNull()).drop("agree", "found"), weights
+
+
+def _weights_left(voted: DataFrame, weights: DataFrame, min_docs: int) -> DataFrame:
+    """``group, place, word, s``: documents of each word with half of ``min_docs`` in the lines that are no members.
+
+    A group that gave no template keeps its ``weights``. Of the others only those whose other lines still have ``min_docs``
+    are looked at again, as fewer hold no template.
+    """
+    found = stored(voted.filter("member").select("group").distinct(), "found")
+    kept = weights.join(found, "group", "left_anti").select("group", "place", "word", F.col("n").alias("s"))
+    rest = voted.filter("NOT member").join(found, "group", "left_semi")
+    able = rest.groupBy("group").agg(F.sum("n").alias("_n")).filter(F.col("_n") >= min_docs).select("group")
+    again = _weights(rest.join(able, "group", "left_semi")).select("group", "place", "word", F.col("n").alias("s"))
+    return kept.unionByName(again).filter(2 * F.col("s") >= min_docs)
 
 
 def _hopeful(lines: DataFrame, weights: DataFrame, similarity: float) -> DataFrame:
@@ -86,14 +105,15 @@ def _hopeful(lines: DataFrame, weights: DataFrame, similarity: float) -> DataFra
     return places.join(sizes, "group").filter(F.col("k") >= similarity * F.col("size")).select("group")
 
 
-def _deeper(lines: DataFrame, min_docs: int, similarity: float) -> DataFrame:
+def _deeper(voted: DataFrame, weights: DataFrame, min_docs: int, similarity: float) -> DataFrame:
     """The lines that can still be in a template, their groups split by the word at one more place.
 
     A constant of a template has at least half of ``min_docs`` in its group, so a line with too few such words is in none,
     and the words of a group with such words at too few places are not looked at again.
     The place is the one where words of ``min_docs`` or more cover most; each of them becomes a group, as do the others.
     """
-    weights = stored(_weights(lines, F.col("n")).filter(2 * F.col("s") >= min_docs), "weights")
+    weights = stored(_weights_left(voted, weights, min_docs), "weights")
+    lines = voted.filter("NOT member").drop("member")
     lines = lines.join(_hopeful(lines, weights, similarity), "group", "left_semi")
     places = lines.select("group", "line", F.size("words").alias("size"), F.posexplode("words").alias("place", "word"))
     able = (
@@ -134,13 +154,14 @@ def generalised(lines: DataFrame, min_docs: int, similarity: float) -> DataFrame
     leaves = stored(leaves, "leaves")  # of known size, so that lines are not shuffled to meet few leaves
     # lines meet the leaves first: whole lines are shuffled for leaves that recur only
     distinct = lines.select("leaf", "line", "masked").join(leaves, "leaf").distinct().join(counted, ["leaf", "line"])
-    found, votes = [], F.lit(1)  # the leaf's vote is by distinct lines, later ones by documents
+    found, votes = [], "lines"  # the leaf's vote is by distinct lines, later ones by documents
     open_ = stored(distinct.select(F.col("leaf").alias("group"), "line", "n", F.split("masked", " ").alias("words")), "leaf-lines")
     while True:
-        voted = stored(_voted(open_, votes, min_docs, similarity), "voted")
+        voted, weights = _voted(open_, votes, min_docs, similarity)
+        voted = stored(voted, "voted")
         found.append(voted.filter("member").select("line", F.col("group").alias("leaf")))
-        open_ = stored(_deeper(voted.filter("NOT member").drop("member"), min_docs, similarity), "deeper")
-        votes = F.col("n")
+        open_ = stored(_deeper(voted, weights, min_docs, similarity), "deeper")
+        votes = "n"
         if open_.isEmpty():
             return reduce(DataFrame.unionAll, found)
 

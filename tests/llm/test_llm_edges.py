@@ -220,6 +220,27 @@ def test_stages_of_an_empty_table(spark, corpus):
 # ---- what grows with the input
 
 
+def test_words_of_groups_without_a_template_are_counted_once(spark, monkeypatch):
+    """Two leaves of a common start: the lines of one agree, those of the other do not."""
+    lines = [f"open the door named {chr(97 + i) * 2} please sir" for i in range(12)]
+    lines += ["close the " + " ".join(chr(97 + i) * k for k in (2, 3, 4, 5)) for i in range(12)]
+    rows = [(i, t, "h") for i, t in enumerate(lines)]
+    looked, weights = [], line_templates._weights
+    monkeypatch.setattr(line_templates, "_weights", lambda df: looked.append(df.count()) or weights(df))
+    cut = line_templates.drop_recurring(documents(spark, rows), min_docs=10).collect()
+    assert sorted(r.doc_id for r in cut if r.n_dropped) == list(range(1, 12))
+    assert looked == [24, 0]
+
+
+def test_templates_behind_a_template_of_their_leaf(spark):
+    """A leaf whose vote gives a template, and whose other lines hold one more."""
+    one = [f"see the same words of this line {i}x" for i in range(20)]
+    two = [f"see the quite other text which came {i}x" for i in range(11)]
+    rows = [(i, t, "h") for i, t in enumerate([*one, *two, "see the sole one that none has got"])]
+    cut = {r.doc_id: r.n_dropped for r in line_templates.drop_recurring(documents(spark, rows), min_docs=10).collect()}
+    assert sorted(i for i, n in cut.items() if n) == [*range(1, 20), *range(21, 31)]
+
+
 def test_backoff_texts_stay_where_their_blocks_are(spark):
     df = backoff_lm.score(documents(spark, [(i, f"a b c d{i % 3}", "h") for i in range(9)]).select("doc_id", "text"), order=3)
     assert df.count() == 9
