@@ -10,8 +10,8 @@ rare (under one in ten million); they are held against all documents in blocks i
 
 Equal sets are one class, found by a 64-bit key of the set before anything is paired. Sets that share a signature are
 candidates: the most connected one of each signature's sets is paired with the others first; then only sets that are
-still in different components are paired with each other, and pairs whose parity vectors prove them too different are
-left out. Every remaining pair is verified on the texts themselves. Components come from the links by passing
+still in different components are paired with each other, and pairs whose parity vectors (as long as the sets ask for)
+prove them too different are left out. Every remaining pair is verified on the texts themselves. Components come from the links by passing
 smallest labels on, over tables; later links only merge components found before.
 
 Defined results: texts that are null or have no word have the empty set and link with nothing (each its own
@@ -35,7 +35,7 @@ from popscan.llm.sketch import screened, sent
 from popscan.llm.storage import stored
 from popscan.llm.textual import mix, raw, sliced_words, words_of
 
-BAND_RATIO, SPARE, PARITY = 1.6, 14, 16  # width of a band, partitions beyond the least, longs of a parity vector
+BAND_RATIO, SPARE, PARITY = 1.6, 14, 16  # width of a band, partitions beyond the least, longs of the shortest parity vector
 
 
 class Sets:
@@ -72,12 +72,67 @@ class Sets:
         """A key for each whole set; sets agree in it if they are equal."""
         return mix(self.totals(mix(self.key ^ np.uint64(0x5851F42D4C957F2D))) + self.size.astype(np.uint64)).astype(np.int64)
 
-    def parities(self) -> np.ndarray:
-        """For each set, whether an odd number of its n-grams falls into each of some buckets, as longs."""
-        bucket = (self.key >> np.uint64(40)).astype(np.int64) % (64 * PARITY)
-        odd = np.zeros((len(self.size), 64 * PARITY), np.uint8)
-        np.add.at(odd, (self.doc, bucket), 1)
-        return np.packbits(odd & 1, axis=1).view("<i8")
+    def parities(self, percent: int) -> pa.ListArray:
+        """For each set, whether an odd number of its n-grams falls into each of some buckets, as longs.
+
+        There are three buckets or more for each difference that linked sets of its size can have, as otherwise those of
+        any two large sets prove nothing. Lengths are powers of two, so that a longer vector folds to a shorter one's.
+        """
+        most = 2 * (100 - percent) * self.size // (100 + percent)
+        length = np.full(len(self.size), PARITY, np.int64)
+        while (few := 64 * length < 3 * most).any():
+            length[few] *= 2
+        first = np.concatenate(([0], np.cumsum(length)))
+        bucket = (self.key >> np.uint64(24)).astype(np.int64) % (64 * length[self.doc])
+        odd = np.zeros(64 * first[-1], np.uint8)
+        np.add.at(odd, 64 * first[self.doc] + bucket, 1)
+        longs = np.packbits(odd & 1).view("<i8")
+        return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(longs, pa.int64()))
+
+
+class Parities:
+    """The parity vectors of some sets, to count the buckets in which two differ: never more than their n-grams apart."""
+
+    def __init__(self, vectors: pa.ListArray):
+        self.length = np.asarray(vectors.value_lengths()).astype(np.int64)
+        first = np.cumsum(self.length) - self.length
+        longs = np.asarray(vectors.flatten()).view(np.uint64)
+        self.folded = {}  # by length: the vectors of that length or more, folded to it
+        for size in np.unique(self.length).tolist():
+            out = np.zeros((len(self.length), size), np.uint64)
+            for long in np.unique(self.length[self.length >= size]).tolist():
+                at = np.flatnonzero(self.length == long)
+                whole = longs[first[at][:, None] + np.arange(long)]
+                out[at] = np.bitwise_xor.reduce(whole.reshape(len(at), long // size, size), axis=1)
+            self.folded[size] = out
+
+    def apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Left sets by right sets."""
+        out = np.zeros((len(left), len(right)), np.int64)
+        a, b = self.length[left], self.length[right]
+        for size, odd in self.folded.items():
+            for x, y in ((np.flatnonzero(a == size), np.flatnonzero(b >= size)), (np.flatnonzero(a > size), np.flatnonzero(b == size))):
+                if len(x) and len(y):
+                    total = np.zeros((len(x), len(y)), np.int64)
+                    for k in range(size):
+                        total += np.bitwise_count(odd[left[x], k][:, None] ^ odd[right[y], k][None, :])
+                    out[np.ix_(x, y)] = total
+        return out
+
+
+def _apart(a: str, b: str) -> F.Column:
+    """The buckets in which two parity vectors differ, the longer one folded."""
+    least = F.least(F.size(a), F.size(b))
+
+    def folded(v: str) -> F.Column:
+        fold = lambda i: F.aggregate(
+            F.sequence(i, F.size(v) - 1, least), F.lit(0).cast("long"), lambda x, j: x.bitwiseXOR(F.get(v, j))
+        )
+        return F.when(F.size(v) == least, F.col(v)).otherwise(F.transform(F.sequence(F.lit(0), least - 1), fold))
+
+    return F.aggregate(
+        F.zip_with(folded(a), folded(b), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x
+    )
 
 
 class Bands:
@@ -187,7 +242,7 @@ def _sign(n: int, percent: int, known: Broadcast | None = None):
     return run
 
 
-def _candidates(n: int):
+def _candidates(n: int, percent: int):
     """Text, size and parity vector of the classes that share a signature with another, each once in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,11 +255,11 @@ def _candidates(n: int):
                 _, once = np.unique(want[lo + same], return_index=True)
                 same = np.sort(same[once])
                 met = np.concatenate((met, want[lo + same]))
-                vectors = sets.parities()
+                vectors = sets.parities(percent)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(want[lo + same]), pa.array(sets.size[same].astype(np.int64)),
-                        pa.array(vectors[same].tolist(), pa.list_(pa.int64())),
+                        vectors.take(pa.array(same)),
                         batch.column("text").take(pa.array(lo + same)),
                     ],
                     names=["set_key", "n", "parity", "text"],
@@ -228,7 +283,7 @@ def _propose(percent: int, everything: bool):
         label = np.asarray(table.column("label"))
         part = np.asarray(table.column("part"))
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        odd = np.asarray(table.column("parity").combine_chunks().flatten()).astype(np.uint64).reshape(len(key), -1)
+        odd = Parities(pa.concat_arrays(table.column("parity").chunks))
         a: list[np.ndarray] = []
         b: list[np.ndarray] = []
         rows = np.flatnonzero(part == i)
@@ -237,9 +292,7 @@ def _propose(percent: int, everything: bool):
         near_a, near_b = [], []
         for lo in range(0, len(rows), 256):
             r = rows[lo : lo + 256]
-            apart = np.zeros((len(r), len(others)), np.int64)
-            for k in range(odd.shape[1]):
-                apart += np.bitwise_count(odd[r][:, None, k] ^ odd[others][None, :, k])
+            apart = odd.apart(r, others)
             total += apart.sum(0)
             size, other = n[r][:, None], n[others][None, :]
             may = apart <= (100 - percent) * (size + other) // (100 + percent)
@@ -256,7 +309,7 @@ def _propose(percent: int, everything: bool):
                 near_b.append(key[others[y[x]]])
         if not everything and len(others):
             hub = others[total.argmin()]
-            apart = np.bitwise_count(odd[rows] ^ odd[hub]).sum(1).astype(np.int64)
+            apart = odd.apart(rows, np.array([hub]))[:, 0]
             may = apart <= (100 - percent) * (n[rows] + n[hub]) // (100 + percent)
             may &= (label[rows] != label[hub]) & (key[rows] != key[hub])
             a, b = [*near_a, key[rows[may]]], [*near_b, np.full(int(may.sum()), key[hub])]
@@ -348,7 +401,7 @@ def link(documents: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataFrame
     # dealt out in between, as two Python steps in one task would be two workers; a class's rows meet here
     wanted = wanted.join(first, "id").select("set_key", "text").repartition("set_key")
     candidates = stored(
-        wanted.mapInArrow(_candidates(n), "set_key long, n long, parity array<long>, text string"), "candidates"
+        wanted.mapInArrow(_candidates(n, percent), "set_key long, n long, parity array<long>, text string"), "candidates"
     )
     if not candidates.groupBy("set_key").count().filter("count > 1").isEmpty():
         candidates = stored(candidates.dropDuplicates(["set_key"]), "candidates")
@@ -356,10 +409,7 @@ def link(documents: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataFrame
     two = groups.filter("members = 2").groupBy("sig").agg(F.min("set_key").alias("a"), F.max("set_key").alias("b"))
     for side in ("a", "b"):
         two = two.join(vectors.select(F.col("set_key").alias(side), F.col("n").alias(f"n_{side}"), F.col("parity").alias(f"p_{side}")), side)
-    apart = F.aggregate(
-        F.zip_with("p_a", "p_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x
-    )
-    two = two.filter((100 + percent) * apart <= (100 - percent) * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+    two = two.filter((100 + percent) * _apart("p_a", "p_b") <= (100 - percent) * (F.col("n_a") + F.col("n_b"))).select("a", "b")
     part = F.pmod(F.xxhash64("set_key"), F.col("parts")).cast("int")
     laid = groups.filter("members > 2").withColumn("part", part).withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     laid = laid.select("sig", "set_key", "part", F.least("part", "_o").alias("i"), F.greatest("part", "_o").alias("j"))

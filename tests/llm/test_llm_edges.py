@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from popscan.llm import backoff_lm, line_rules, line_templates, packed, partenum, queries, string_tiling, warc_zstd
 from popscan.llm.storage import shared_folder, stored
+from popscan.llm.textual import raw, words_of
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that the operators use inside.
@@ -241,6 +242,23 @@ def test_templates_behind_a_template_of_their_leaf(spark):
     assert sorted(i for i, n in cut.items() if n) == [*range(1, 20), *range(21, 31)]
 
 
+def test_parity_tells_large_sets_apart(spark):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(map(str, rng.integers(0, 10**6, n))) for n in (3, 40, 3000, 4000, 6000, 12000)]
+    texts.append(texts[3] + " one word more")
+    sets = partenum.Sets(words_of(*raw(pa.array(texts)), fold=True), 5)
+    vectors = sets.parities(80)
+    every = np.arange(len(texts))
+    apart = partenum.Parities(vectors).apart(every, every)
+    own = [set(sets.key[a:b].tolist()) for a, b in zip(sets.first, sets.first[1:], strict=False)]
+    assert all(apart[i, j] <= len(own[i] ^ own[j]) for i in every for j in every)
+    most = 20 * (sets.size[:, None] + sets.size[None, :]) // 180
+    linked = {(i, j) for i in every for j in every if i != j and apart[i, j] <= most[i, j] and max(i, j) > 2 and min(i, j) > 1}
+    assert {(3, 6), (6, 3)} <= linked and not {(2, 3), (3, 4), (4, 6)} & linked
+    pairs = spark.createDataFrame([(int(i), int(j), vectors[i].as_py(), vectors[j].as_py()) for i in every for j in every], "i int, j int, a array<long>, b array<long>")
+    assert all(r.x == apart[r.i, r.j] for r in pairs.select("i", "j", partenum._apart("a", "b").alias("x")).collect())
+
+
 def test_backoff_texts_stay_where_their_blocks_are(spark):
     df = backoff_lm.score(documents(spark, [(i, f"a b c d{i % 3}", "h") for i in range(9)]).select("doc_id", "text"), order=3)
     assert df.count() == 9
