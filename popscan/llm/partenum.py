@@ -11,7 +11,8 @@ rare (under one in ten million); they are held against all documents in blocks i
 Equal sets are one class, found by a 64-bit key of the set before anything is paired. Sets that share a signature are
 candidates: the most connected one of each signature's sets is paired with the others first; then only sets that are
 still in different components are paired with each other, and pairs whose parity vectors (as long as the sets ask for)
-prove them too different are left out. Every remaining pair is verified on the texts themselves. Components come from the links by passing
+prove them too different are left out. Sizes and vectors are stored with the set keys, so only the texts of remaining
+pairs are fetched, and every one of these is verified on the texts themselves. Components come from the links by passing
 smallest labels on, over tables; later links only merge components found before.
 
 Defined results: texts that are null or have no word have the empty set and link with nothing (each its own
@@ -83,10 +84,15 @@ class Sets:
         while (few := 64 * length < 3 * most).any():
             length[few] *= 2
         first = np.concatenate(([0], np.cumsum(length)))
-        bucket = (self.key >> np.uint64(24)).astype(np.int64) % (64 * length[self.doc])
-        odd = np.zeros(64 * first[-1], np.uint8)
-        np.add.at(odd, 64 * first[self.doc] + bucket, 1)
-        longs = np.packbits(odd & 1).view("<i8")
+        longs = np.empty(first[-1], np.int64)
+        for lo in range(0, len(length), 1024):  # sets at a time, as a bucket is a byte at first
+            hi = min(lo + 1024, len(length))
+            own = slice(self.first[lo], self.first[hi])
+            doc = self.doc[own]
+            bucket = (self.key[own] >> np.uint64(24)).astype(np.int64) % (64 * length[doc])
+            odd = np.zeros(64 * (first[hi] - first[lo]), np.uint8)
+            np.add.at(odd, 64 * (first[doc] - first[lo]) + bucket, 1)
+            longs[first[lo] : first[hi]] = np.packbits(odd & 1).view("<i8")
         return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(longs, pa.int64()))
 
 
@@ -196,7 +202,7 @@ def _ident() -> F.Column:
 
 
 def _members(n: int, percent: int):
-    """Each document's set: its key and size, and whether it lacks non-empty partitions."""
+    """Each document's set: its key, size and parity vector, and whether it lacks non-empty partitions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
@@ -208,22 +214,21 @@ def _members(n: int, percent: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id")[lo:hi], batch.column("id")[lo:hi], pa.array(sets.set_keys()),
-                        pa.array(sets.size.astype(np.int64)), pa.array(short),
+                        pa.array(sets.size.astype(np.int64)), pa.array(short), sets.parities(percent),
                     ],
-                    names=["doc_id", "id", "set_key", "n_shingles", "short"],
+                    names=["doc_id", "id", "set_key", "n_shingles", "short", "parity"],
                 )
 
     return run
 
 
 def _sign(n: int, percent: int, known: Broadcast | None = None):
-    """Signatures of the sets that are new to the task; only those that may be ``known``, where given."""
+    """Signatures of the sets that are new to the task; with ``known``, those that may be in it, with their sets' keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, met = Bands(percent), np.empty(0, np.int64)
         for batch in batches:
-            ids = np.asarray(batch.column("id"))
-            for lo, _, w in sliced_words(batch.column("text"), fold=True):
+            for _, _, w in sliced_words(batch.column("text"), fold=True):
                 sets = Sets(w, n)
                 keys = sets.set_keys()
                 _, first = np.unique(keys, return_index=True)
@@ -233,37 +238,32 @@ def _sign(n: int, percent: int, known: Broadcast | None = None):
                 met = np.concatenate((met, keys[fresh]))
                 index, sig, _ = signatures(sets, bands)
                 keep = fresh[index]
-                if known is not None:
-                    keep[keep] = known.value.holds(sig[keep])
+                if known is None:
+                    yield pa.RecordBatch.from_arrays([pa.array(sig[keep].astype(np.int64))], names=["sig"])
+                    continue
+                keep[keep] = known.value.holds(sig[keep])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(sig[keep].astype(np.int64)), pa.array(ids[lo + index[keep]])], names=["sig", "id"]
+                    [pa.array(sig[keep].astype(np.int64)), pa.array(keys[index[keep]])], names=["sig", "set_key"]
                 )
 
     return run
 
 
-def _candidates(n: int, percent: int):
-    """Text, size and parity vector of the classes that share a signature with another, each once in a task."""
+def _texts(n: int, known: Broadcast):
+    """Key and text of the sets of rows whose ``id_key`` may be ``known``, each set once in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met = np.empty(0, np.int64)
-        for batch in batches:
-            want = np.asarray(batch.column("set_key"))
-            for lo, hi, w in sliced_words(batch.column("text"), fold=True):
-                sets = Sets(w, n)
-                same = np.flatnonzero((sets.set_keys() == want[lo:hi]) & ~np.isin(want[lo:hi], met))
-                _, once = np.unique(want[lo + same], return_index=True)
-                same = np.sort(same[once])
-                met = np.concatenate((met, want[lo + same]))
-                vectors = sets.parities(percent)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(want[lo + same]), pa.array(sets.size[same].astype(np.int64)),
-                        vectors.take(pa.array(same)),
-                        batch.column("text").take(pa.array(lo + same)),
-                    ],
-                    names=["set_key", "n", "parity", "text"],
-                )
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):  # so that no second copy of a batch is held
+                batch = whole.slice(at, 1024)
+                text = batch.column("text").filter(pa.array(known.value.holds(np.asarray(batch.column("id_key")).view(np.uint64))))
+                for lo, _, w in sliced_words(text, fold=True):
+                    keys, first = np.unique(Sets(w, n).set_keys(), return_index=True)
+                    new = ~np.isin(keys, met)
+                    keys, first = keys[new], first[new]
+                    met = np.concatenate((met, keys))
+                    yield pa.RecordBatch.from_arrays([pa.array(keys), text.take(pa.array(lo + first))], names=["set_key", "text"])
 
     return run
 
@@ -374,38 +374,33 @@ def _short_links(docs: DataFrame, member: DataFrame, n: int, percent: int, block
 
 
 def link(documents: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
-    """``doc_id, id, set_key, n_shingles, short`` of every document, and ``node, component`` of every linked set key."""
+    """``doc_id, id, set_key, n_shingles, short, parity`` of every document; ``node, component`` of every linked set key."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), _ident().alias("id"), "text")
     member = stored(
-        docs.mapInArrow(_members(n, percent), "doc_id long, id long, set_key long, n_shingles long, short boolean"), "sets"
+        docs.mapInArrow(
+            _members(n, percent), "doc_id long, id long, set_key long, n_shingles long, short boolean, parity array<long>"
+        ),
+        "sets",
     )
     # signatures are counted first, and only those of several sets are sent with their sets: most stand once
-    signed = docs.select("id", "text").mapInArrow(_sign(n, percent), "sig long, id long")
+    signed = docs.select("text").mapInArrow(_sign(n, percent), "sig long")
     several = sent(signed.groupBy("sig").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"), "sig")
-    shared = docs.select("id", "text").mapInArrow(_sign(n, percent, several), "sig long, id long")
-    keyed = stored(shared.join(member.select("id", "set_key").distinct(), "id").select("sig", "set_key").distinct(), "shared")
-    groups = (
+    shared = docs.select("text").mapInArrow(_sign(n, percent, several), "sig long, set_key long")
+    keyed = stored(shared.distinct(), "shared")
+    groups = stored(
         keyed.groupBy("sig")
-        .agg(F.count(F.lit(1)).alias("_n"), F.sum(F.xxhash64("set_key").cast("decimal(20,0)")).alias("_h"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.bit_xor(F.xxhash64("set_key")).alias("_h"))
         .filter("_n > 1")
         .groupBy("_n", "_h")  # signatures of the same sets need one look
         .agg(F.min("sig").alias("sig"))
-        .select("sig", F.col("_n").alias("members"), F.ceil(F.col("_n") / GROUP_BLOCK).cast("int").alias("parts"))
-    )
-    groups = stored(keyed.join(groups, "sig"), "groups")
-    classes = groups.select("set_key").distinct()
-    first = member.groupBy("set_key").agg(F.min("id").alias("id")).join(classes, "set_key")
-    # rows that share the smallest id (null ids of one text, repeated rows) are one in each task, then one at all
-    first = stored(first, "first")
-    wanted = screened(docs.select("id", "text"), F.xxhash64("id"), sent(first, F.xxhash64("id")))
-    # dealt out in between, as two Python steps in one task would be two workers; a class's rows meet here
-    wanted = wanted.join(first, "id").select("set_key", "text").repartition("set_key")
-    candidates = stored(
-        wanted.mapInArrow(_candidates(n, percent), "set_key long, n long, parity array<long>, text string"), "candidates"
+        .select("sig", F.col("_n").alias("members"), F.ceil(F.col("_n") / GROUP_BLOCK).cast("int").alias("parts")),
+        "signatures",
     )
-    if not candidates.groupBy("set_key").count().filter("count > 1").isEmpty():
-        candidates = stored(candidates.dropDuplicates(["set_key"]), "candidates")
-    vectors = candidates.select("set_key", "n", "parity")
+    groups = stored(screened(keyed, "sig", sent(groups, "sig")).join(groups, "sig"), "groups")
+    classes = stored(groups.select("set_key").distinct(), "classes")
+    first = stored(member.groupBy("set_key").agg(F.min("id").alias("id")).join(classes, "set_key"), "first")
+    vectors = member.select("set_key", F.col("n_shingles").alias("n"), "parity")
+    vectors = stored(screened(vectors, "set_key", sent(classes, "set_key")).dropDuplicates(["set_key"]), "vectors")
     two = groups.filter("members = 2").groupBy("sig").agg(F.min("set_key").alias("a"), F.max("set_key").alias("b"))
     for side in ("a", "b"):
         two = two.join(vectors.select(F.col("set_key").alias(side), F.col("n").alias(f"n_{side}"), F.col("parity").alias(f"p_{side}")), side)
@@ -425,8 +420,13 @@ def link(documents: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataFrame
             labelled = labelled.join(open_.select("sig"), "sig")
         pairs = labelled.groupBy("sig", "i", "j").applyInArrow(_propose(percent, everything), "a long, b long")
         pairs = stored((pairs.union(two) if labels is None else pairs).distinct(), "pairs")
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("set_key"))
-        texts = screened(candidates.select("set_key", "text"), F.xxhash64("set_key"), sent(ends, F.xxhash64("set_key")))
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("set_key")).distinct()
+        known = sent(first.join(ends, "set_key"), F.xxhash64("id"))
+        texts = docs.select(F.xxhash64("id").alias("id_key"), "text").mapInArrow(_texts(n, known), "set_key long, text string")
+        texts = stored(texts, "texts")
+        # rows that share the smallest id (null ids of one text, repeated rows) are one in each task, then one at all
+        if not texts.groupBy("set_key").count().filter("count > 1").isEmpty():
+            texts = stored(texts.dropDuplicates(["set_key"]), "texts")
         left, right = (texts.toDF(side, f"text_{side}") for side in ("a", "b"))
         both = pairs.join(left, "a").join(right, "b").repartition("a", "b")
         found = stored(both.mapInArrow(_linked(n, percent), "a long, b long"), "links")

@@ -259,6 +259,29 @@ def test_parity_tells_large_sets_apart(spark):
     assert all(r.x == apart[r.i, r.j] for r in pairs.select("i", "j", partenum._apart("a", "b").alias("x")).collect())
 
 
+def test_only_texts_of_remaining_pairs_are_fetched(spark, monkeypatch):
+    """Forty texts share signatures by a common passage, and parity rules all of them out: none of them is sent."""
+    rng, inner, sent = random.Random(6), partenum.stored, {}
+    passage = " ".join(f"p{i}" for i in range(20))
+    rows = [(i, f"{passage} " + " ".join(f"w{rng.randrange(10**9)}" for _ in range(5)), "s") for i in range(40)]
+    near = " ".join(f"n{i}" for i in range(60))
+    rows += [(40, near, "s"), (41, near + " more", "s")]
+
+    def counting(df, name, *args):
+        out = inner(df, name, *args)
+        if "text" in out.columns:
+            sent.setdefault(name, []).append(out.count())
+        if name == "groups":
+            sent[name] = [out.select("set_key").distinct().count()]
+        return out
+
+    monkeypatch.setattr(partenum, "stored", counting)
+    got = {r.doc_id: r.component_id for r in partenum.near_duplicates(documents(spark, rows), 4, 85).collect()}
+    assert got == {**{i: i for i in range(41)}, 41: 40}
+    assert sent.pop("groups")[0] > 20  # sets that share a signature
+    assert sum(sum(counts) for counts in sent.values()) == 2
+
+
 def test_backoff_texts_stay_where_their_blocks_are(spark):
     df = backoff_lm.score(documents(spark, [(i, f"a b c d{i % 3}", "h") for i in range(9)]).select("doc_id", "text"), order=3)
     assert df.count() == 9
