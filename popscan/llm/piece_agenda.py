@@ -20,7 +20,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -121,47 +121,75 @@ class Pieces:
         return out
 
     def encode_chunks(self, chunks_: list[str], longest: int = 48) -> list[list[int]]:
-        """Ids of many chunks: one agenda in arrays for the short ones, a heap for each of the others."""
+        """Ids of many chunks: one agenda in arrays for the short ones of like size, a heap for each of the others."""
         out: list[list[int]] = [[]] * len(chunks_)
-        sizes = np.array([len(c) for c in chunks_], np.int64)
+        sizes = np.fromiter(map(len, chunks_), np.int64, len(chunks_))
         code = np.frombuffer("".join(chunks_).encode("utf-32-le"), "<u4").astype(np.int64)
         symbol = self.of_char[np.minimum(code, len(self.of_char) - 1)]
-        chunk = np.repeat(np.arange(len(chunks_)), sizes)
         symbol = np.where(symbol < 0, self.top + code, symbol)  # outside the vocabulary: joins nothing
-        odd = sizes > longest
-        for i in np.flatnonzero(odd).tolist():
+        start = np.cumsum(sizes) - sizes
+        for i in np.flatnonzero(sizes > longest).tolist():
             out[i] = self.encode_chunk(chunks_[i])
-        keep = ~odd[chunk]
-        symbol, chunk = symbol[keep], chunk[keep]
-        done: list[tuple[np.ndarray, np.ndarray]] = []
-        while len(symbol):
-            union = np.full(len(symbol), -1, np.int64)
-            union[:-1] = np.where(chunk[:-1] == chunk[1:], self._joined(symbol[:-1], symbol[1:]), -1)
-            rank = np.where(union >= 0, self.symbol_rank[union], 1 << 30)
-            first = np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1]])
-            best = np.minimum.reduceat((rank << 31) | np.arange(len(symbol)), first)  # the leftmost of equals
-            more = (best >> 31) < (1 << 30)
-            size = np.diff(np.r_[first, len(symbol)])
-            ended = np.repeat(~more, size)
-            if ended.any():
-                done.append((chunk[ended], symbol[ended]))
-            at = best[more] & ((1 << 31) - 1)
-            symbol[at] = union[at]
-            ended[at + 1] = True  # the right half of each union goes
-            symbol, chunk = symbol[~ended], chunk[~ended]
-        if done:
-            chunk, symbol = np.concatenate([c for c, _ in done]), np.concatenate([s for _, s in done])
-            order = np.argsort(chunk, kind="stable")
-            chunk, symbol = chunk[order], symbol[order]
-            edge = np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1]])
-            flat = symbol.tolist()
-            for i, lo, hi in zip(chunk[edge].tolist(), edge.tolist(), np.r_[edge[1:], len(flat)].tolist(), strict=True):
-                out[i] = flat[lo:hi]
-            size = len(self.text)
-            for i in np.unique(chunk[symbol >= size]).tolist():
-                out[i] = [x for s in out[i] for x in self._spelled(s, size)]
+        least = 0
+        for width in (*range(4, min(longest, 16), 4), *range(16, longest, 8), longest):
+            mine = np.flatnonzero((sizes > least) & (sizes <= width))
+            least = width
+            if len(mine):
+                flat, ends = self._agenda(symbol, start[mine], sizes[mine], width)
+                spelled = np.unique(np.searchsorted(ends, np.flatnonzero(flat >= len(self.text)), "right")).tolist()
+                ids, edges, at = flat.tolist(), ends.tolist(), mine.tolist()
+                lo = 0
+                for i, hi in zip(at, edges, strict=True):
+                    out[i] = ids[lo:hi]
+                    lo = hi
+                for k in spelled:
+                    out[at[k]] = [x for s in out[at[k]] for x in self._spelled(s, len(self.text))]
         return out
 
+    def _agenda(self, symbol: np.ndarray, start: np.ndarray, size: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """What is left of chunks after all unions, one behind the other, and where each ends.
+
+        A chunk is a row of ``width`` places. A union stays at its left place and empties its right one, so the lowest
+        rank's first place in a row is the leftmost of equals; only the pairs on both sides of it are looked up again.
+        """
+        none = np.int32(1 << 30)
+        place = np.arange(width)
+        held = place < size[:, None]
+        rows = np.where(held, symbol[np.minimum(start[:, None] + place, len(symbol) - 1)], -1)
+        pair = held[:, 1:]
+        union = np.full(rows.shape, -1, np.int64)
+        union[:, :-1][pair] = self._joined(rows[:, :-1][pair], rows[:, 1:][pair])
+        rank = np.where(union >= 0, self.symbol_rank[union], none).astype(np.int32)
+        after = np.broadcast_to(place + 1, rows.shape).copy()  # ``size`` behind the last
+        before = np.broadcast_to(place - 1, rows.shape).copy()
+        row = np.arange(len(rows))
+        while len(row):
+            at = (rank if len(row) == len(rank) else rank[row]).argmin(axis=1)
+            more = rank[row, at] < none
+            row, at = row[more], at[more]
+            gone = after[row, at]
+            follows = after[row, gone]
+            rows[row, at] = union[row, at]
+            rows[row, gone] = -1
+            rank[row, gone] = none
+            after[row, at] = follows
+            inner = follows < size[row]
+            before[row[inner], follows[inner]] = at[inner]
+            self._paired(rows, union, rank, row, at, follows, inner)
+            ahead = before[row, at]
+            self._paired(rows, union, rank, row, ahead, at, ahead >= 0)
+        left = rows >= 0
+        return rows[left], np.cumsum(left.sum(axis=1))
+
+    def _paired(self, rows, union, rank, row, left, right, held) -> None:
+        """Look up the pairs of places ``left`` and ``right`` again; where ``held`` is false, there is none."""
+        none = np.int32(1 << 30)
+        rank[row[~held], left[~held]] = none
+        r, a, b = row[held], left[held], right[held]
+        found = self._joined(rows[r, a], rows[r, b])
+        union[r, a] = found
+        rank[r, a] = np.where(found >= 0, self.symbol_rank[found], none)
+
     def _spelled(self, symbol: int, size: int) -> list[int]:
         if symbol < size:
             return [symbol]
@@ -280,22 +308,48 @@ def chunks(text: str) -> list[str]:
 
 
 class Encoder:
-    """Whole texts, chunk by chunk, with a bounded memory of chunks met before."""
+    """Whole texts, chunk by chunk, with a bounded memory of chunks met before: when it is full, those met again stay."""
 
-    def __init__(self, model_file: str, check: str | None = "chunks", remembered: int = 300_000):
+    def __init__(self, model_file: str, check: str | None = "chunks", remembered: int = 500_000):
         self.pieces = Pieces(model_file)
-        self.names = [str(i) for i in range(len(self.pieces.text))]
+        self.names = [f"{i}," for i in range(len(self.pieces.text))]
         self.check, self.remembered = check, remembered
-        self.known: dict[str, tuple[str, str]] = {}  # of a chunk: its ids, and what they decode to
+        self.known: dict[str, int] = {}  # number of a chunk, in order
+        self.back: list[str] = []  # by number: what its ids decode to
+        self.flat, self.ends = np.empty(1 << 16, np.int32), np.zeros(1 << 14, np.int64)  # ids of all numbers, and their ends
+        self.again = np.zeros(1 << 14, bool)  # by number: met in a later batch
+
+    def forget(self, room: int) -> None:
+        """Make room for so many chunks: those not met again go, or all if that is not enough."""
+        n = len(self.back)
+        keep = np.flatnonzero(self.again[:n])
+        if len(keep) + room > self.remembered:
+            keep = keep[:0]
+        name, flat, edges = list(self.known), *self.ids(keep, np.array([0, len(keep)]))
+        size = self.ends[keep + 1] - self.ends[keep]
+        self.known = {name[i]: k for k, i in enumerate(keep.tolist())}
+        self.back = [self.back[i] for i in keep.tolist()]
+        self.flat[: len(flat)] = flat
+        self.ends[1 : len(keep) + 1] = np.cumsum(size)
+        self.again[:] = False
 
     def learn(self, new: list[str]) -> None:
-        pieces, name = self.pieces, self.names
+        pieces = self.pieces
         ids = pieces.encode_chunks([(c if c[:1] == "\n" else MARK + c).replace(" ", MARK) for c in new])
         back = [pieces.decode(x) for x in ids]
         if self.check == "chunks":
             self._compare(new, ids, back)
-        for c, x, b in zip(new, ids, back, strict=True):
-            self.known[c] = (",".join([name[i] for i in x]), b if c[:1] == "\n" else " " + b)
+        n, m = len(self.back), len(self.back) + len(new)
+        self.known.update(zip(new, range(n, m), strict=True))
+        self.back += [b if c[:1] == "\n" else " " + b for c, b in zip(new, back, strict=True)]
+        ends = self.ends[n] + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+        if m >= len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros(m, np.int64)])
+            self.again = np.concatenate([self.again, np.zeros(m, bool)])
+        if ends[-1] > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty(ends[-1], np.int32)])
+        self.flat[self.ends[n] : ends[-1]] = np.fromiter(chain.from_iterable(ids), np.int32)
+        self.ends[n + 1 : m + 1] = ends
 
     def _compare(self, new: list[str], ids: list[list[int]], back: list[str]) -> None:
         """New chunks, some dozen to a text, against the library."""
@@ -315,26 +369,54 @@ class Encoder:
         if lib.encode(texts, num_threads=1) != mine or lib.decode(mine, num_threads=1) != decoded:
             raise ValueError("agenda and library differ")
 
-    def batch(self, texts: list[str]) -> Iterator[tuple[str, str]]:
-        """Ids joined by commas, and the decoded text, of each text."""
+    def numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the chunks of all texts, and where each text ends, led by 0; chunks not met before are learned."""
         split = [chunks(text) for text in texts]
-        found = [list(map(self.known.get, parts)) for parts in split]
-        new = {c for parts, got in zip(split, found, strict=True) if None in got for c, x in zip(parts, got, strict=True) if x is None}
-        if new:
-            if len(self.known) + len(new) > self.remembered:
-                self.known.clear()
-                new = set(chain.from_iterable(split))
+        parts = list(chain.from_iterable(split))
+        of = self._looked_up(parts)
+        before = len(self.back)
+        holes = np.flatnonzero(of < 0).tolist()
+        if holes:
+            new = {parts[i] for i in holes}
+            if before + len(new) > self.remembered:
+                self.forget(len(new))
+                of = self._looked_up(parts)
+                before = len(self.back)
+                holes = np.flatnonzero(of < 0).tolist()
+                new = {parts[i] for i in holes}
             self.learn(list(new))
-        for text, parts, got in zip(texts, split, found, strict=True):
-            if new and None in got:
-                got = list(map(self.known.__getitem__, parts))
-            ids = ",".join([x for x, _ in got])
-            back = "".join([b for _, b in got])[1:]
-            if self.check == "texts":
+            of[holes] = [self.known[parts[i]] for i in holes]
+        self.again[of[of < before]] = True
+        edges = np.r_[0, np.cumsum(np.fromiter(map(len, split), np.int64, len(split)))]
+        if self.check == "texts":
+            flat, ends = self.ids(of, edges)
+            for text, back, lo, hi in zip(texts, self.decoded(of, edges), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
                 theirs = self.pieces.library.encode(text)
-                if ids != ",".join(map(str, theirs)) or back != self.pieces.library.decode(theirs):
+                if flat[lo:hi].tolist() != theirs or back != self.pieces.library.decode(theirs):
                     raise ValueError("agenda and library differ on a text")
-            yield ids, back
+        return of, edges
+
+    def _looked_up(self, parts: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.known.get, parts, repeat(-1)), np.int64, len(parts))
+
+    def ids(self, of: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one behind the other, and where each text ends, led by 0."""
+        size = self.ends[of + 1] - self.ends[of]
+        upto = np.r_[0, np.cumsum(size)]
+        flat = self.flat[np.repeat(self.ends[of] - upto[:-1], size) + np.arange(upto[-1])]
+        return flat, upto[edges]
+
+    def decoded(self, of: np.ndarray, edges: np.ndarray) -> list[str]:
+        backs, at = list(map(self.back.__getitem__, of.tolist())), edges.tolist()
+        return ["".join(backs[lo:hi])[1:] for lo, hi in zip(at, at[1:])]
+
+    def batch(self, texts: list[str]) -> Iterator[tuple[str, str]]:
+        """Ids joined by commas, and the decoded text, of each text."""
+        of, edges = self.numbers(texts)
+        flat, ends = self.ids(of, edges)
+        named, at = list(map(self.names.__getitem__, flat.tolist())), ends.tolist()
+        for lo, hi, back in zip(at, at[1:], self.decoded(of, edges)):
+            yield "".join(named[lo:hi])[:-1], back
 
 
 _encoders: dict[tuple, Encoder] = {}  # one for each worker process
@@ -375,10 +457,11 @@ def encode(documents: DataFrame, model_file: str, check: str | None = "chunks",
                         b.append(hashlib.sha256(back.encode()).hexdigest())
                     new = [pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
                 else:
-                    rows = list(coder.batch(texts))
+                    of, edges = coder.numbers(texts)
+                    flat, ends = coder.ids(of, edges)
                     new = [
-                        pa.array([[int(x) for x in ids.split(",")] if ids else [] for ids, _ in rows], pa.list_(pa.int32())),
-                        pa.array([b for _, b in rows], pa.string()),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32())),
+                        pa.array(coder.decoded(of, edges), pa.string()),
                     ]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[f.name for f in schema])
 

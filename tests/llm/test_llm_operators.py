@@ -157,6 +157,23 @@ def test_pieces_by_heap_and_by_arrays_agree():
     assert pieces.encode_chunks(chunks) == [pieces.encode_chunk(c) for c in chunks]
 
 
+def test_pieces_met_again_outlast_a_full_memory():
+    """What recurs is learned once, however many chunks come once; ids and texts stay those of the library."""
+    coder, learned = piece_agenda.Encoder(MODEL, remembered=40), []
+    learn, lib = coder.learn, coder.pieces.library
+    coder.learn = lambda new: (learned.extend(new), learn(new))[1]
+    for k in range(12):
+        texts = [f"the cat w{k}x{i} sat\nthe cat" for i in range(9)] + ["", "a  b ", "漢\n\n"]
+        for text, (ids, back) in zip(texts, coder.batch(texts), strict=True):
+            want = lib.encode(text)
+            assert (ids, back) == (",".join(map(str, want)), lib.decode(want))
+    assert learned.count("cat") == 1 and learned.count("\nthe") == 1
+    assert len(coder.known) <= 40
+    few = piece_agenda.Encoder(MODEL, check="texts", remembered=3)  # a batch has more than is remembered
+    assert [b for _, b in few.batch(["a b c d e", "c d f"])] == ["a b c d e", "c d f"]
+    assert [b for _, b in few.batch(["x y a b"])] == ["x y a b"]
+
+
 def test_tiles_equal_the_plain_tiling():
     rng = random.Random(3)
     names = textual.mix(np.arange(1, 5, dtype=np.uint64))
