@@ -19,14 +19,10 @@ from popscan.operators import distribution, relative_to_range
 
 def unpivot(df: DataFrame, strata: Sequence[str], measures: Mapping[int, Column]) -> DataFrame:
     """``analysis_id, strata, value``: one row per input row and non-null measure."""
-    pairs = F.array(
-        *[
-            F.struct(F.lit(i).alias("analysis_id"), c.cast("double").alias("value"))
-            for i, c in measures.items()
-        ]
-    )
-    long = df.select(*strata, F.explode(pairs).alias("m"))
-    return long.select("m.analysis_id", *strata, "m.value").filter(F.col("value").isNotNull())
+    # plain doubles by position: an array of structs would be boxed for every row
+    long = df.select(*strata, F.posexplode(F.array(*[c.cast("double") for c in measures.values()])).alias("at", "value"))
+    number = F.get(F.array(*[F.lit(i) for i in measures]), F.col("at"))
+    return long.filter(F.col("value").isNotNull()).select(number.alias("analysis_id"), *strata, "value")
 
 
 def _length(cdm: Cdm, d: Domain) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import random
 import statistics
 
@@ -161,6 +162,17 @@ def test_located_ranks_shuffle_buckets_not_values(spark, tmp_path):
     assert located.drop("avg_value", "stdev_value").exceptAll(distribution(df, ["g"], "v").drop("avg_value", "stdev_value")).isEmpty()
 
 
+def test_located_ranks_read_their_rows_twice(spark):
+    """Statistics and ranks share the pass over the rows that fills the buckets; the second one looks for the ranks."""
+    df = spark.range(2000).selectExpr("id % 3 AS g", "id * 0.37 AS v")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = distribution(df, ["g"], "v", bounded=False)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(re.findall(r"\bRange \(", text)) == 2
+
+
 def test_one_value_has_no_deviation(spark):
     df = spark.createDataFrame([("a", 104949.1), ("b", 0.3)], "g string, v double").crossJoin(spark.range(1000)).repartition(7)
     assert all(r.stdev_value < 1e-9 for r in distribution(df, ["g"], "v", bounded=False).collect())

@@ -138,6 +138,18 @@ def test_checks_scan_their_table_once(spark, derived, tmp_path, plain_plans):
     assert rows_of(together) == sorted((r for i in (409, 411, 412, 413) for r in rows_of(analyses()[i].frame(derived))), key=str)
 
 
+def test_checks_count_without_sorting_or_joining_keys(spark, plain_plans):
+    facts = spark.createDataFrame([(1, 5, 5), (2, 6, None), (3, None, 7), (4, 6, 7)], "person_id long, a int, b long")
+    tables = {"other": spark.createDataFrame([(5,), (5,), (None,)], "id long"), "person": facts.select("person_id").limit(3)}
+    checks = {
+        1: orphan_check("a", "other", "id"), 2: orphan_check("b", "other", "id", keep_null_key=True),
+        3: orphan_check("person_id", "person", "person_id"), 4: no_value_check(["a"]), 5: inverted_check("b", "a"),
+    }
+    found = check_all(facts, checks, tables)
+    assert "Join" not in plan(found)
+    assert {r.analysis_id: r.count_value for r in found.collect()} == {1: 2, 2: 3, 3: 1, 4: 1, 5: 1}
+
+
 # ---- calendar
 
 
